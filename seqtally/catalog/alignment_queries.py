@@ -124,10 +124,10 @@ LINEAGE = {
 
 
 def lin(v):
-    return tx.lineage(v.nodes, v.leaves, v.nodes)
+    return v.stage("lineage", lambda w: tx.lineage(w.nodes, w.leaves, w.nodes))
 
 
-register("lineage", lin, "select * from {lin}", LINEAGE, recursive=True)
+register("lineage", lambda v: tx.lineage(v.nodes, v.leaves, v.nodes), "select * from {lin}", LINEAGE, recursive=True)
 
 
 def _rank_rows() -> str:
@@ -201,8 +201,7 @@ def aln_abundance(v):
 
 
 def aln_rank(v, rank):
-    lineage = lin(v)
-    return tx.rank_rollup(tx.taxon_abundance(al.fractional_counts(v.aln, "taxid"), v.ref, lineage), lineage, rank)
+    return tx.rank_rollup(aln_abundance(v), lin(v), rank)
 
 
 register("taxon_abundance", aln_abundance, """
@@ -331,7 +330,8 @@ register("bin_contigs_species", species_bins, "select * from {named}", SPECIES_B
 
 
 def host_bins(v):
-    return bn.bin_host(species_bins(v), v.contig_aln, v.contig_ref.where("taxid = 200000001"), min_share=0.3)
+    return v.stage("host_bins", lambda w: bn.bin_host(
+        w.stage("species_bins", species_bins), w.contig_aln, w.contig_ref.where("taxid = 200000001"), min_share=0.3))
 
 
 HOST_BINS = {

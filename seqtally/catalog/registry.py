@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtally.catalog.views import view, with_views
+from seqtally.session import cut_lineage
 
 
 class Query(NamedTuple):
@@ -24,6 +25,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._stages: dict[str, DataFrame] = {}
+
+    def stage(self, name: str, build: Callable[[Inputs], DataFrame]) -> DataFrame:
+        """An intermediate table that several later steps read, written once."""
+        if name not in self._stages:
+            self._stages[name] = cut_lineage(build(self))
+        return self._stages[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name)

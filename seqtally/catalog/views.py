@@ -105,7 +105,7 @@ VIEWS: dict[str, str] = {
         select p_partkey as subject, 50 + p_size as model_len, 'COG' || lpad(cast(p_partkey as string), 8, '0') as acc,
           p_name as name, p_type as descr from {part}""",
     "query_depth": """
-        select l_orderkey as query, count(*) * 0.5 as depth from {lineitem} group by l_orderkey""",
+        select l_orderkey as query, count(*) * 5e-1 as depth from {lineitem} group by l_orderkey""",
     "class_map": """
         select case p_partkey % 4 when 0 then 'J' when 1 then 'K' when 2 then 'JK' else 'L' end as letters,
           'COG' || lpad(cast(p_partkey as string), 8, '0') as family from {part}""",
@@ -143,11 +143,11 @@ VIEWS: dict[str, str] = {
     "gene_ann": """
         select orf_id, case when p % 5 = 0 then 'Unknown' else 'Species ' || cast(p % 20 as string) end as species,
           case when n % 11 = 0 then '' else 'K' || lpad(cast(n % 320 as string), 5, '0') end as ko,
-          case when n % 3 = 0 then null else (n % 64 + 1) / 64.0 end as frac
+          case when n % 3 = 0 then null else (n % 97 + 1) / 97e0 end as frac
         from (select o.orf_id, o.p, max(l.l_orderkey) as n from {orf} o join {lineitem} l
               on l.l_partkey = o.p and l.l_suppkey % 7 = o.g group by o.orf_id, o.p) x""",
     "gene_depth": """
-        select orf_id, (p % 8) * 0.25 as depth from {orf}""",
+        select orf_id, (p % 8) * 25e-2 as depth from {orf}""",
     # A hierarchy file per brand: type, size word, path, and a KO line per part.
     "keg": """
         select p_brand as file, ' 1' as ord, '+D KO' as value from {part} group by p_brand

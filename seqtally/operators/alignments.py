@@ -114,18 +114,17 @@ def top_scored(aln: DataFrame, min_score: int = 75, by: Sequence[str] = ()) -> D
               .withColumn("_source", F.when(couple, "R12").when(r1 > r2, "R1").otherwise("R2"))
               .withColumn("_read_paired", F.max("_last").over(of_read)["_paired"])
               .withColumn("_best", F.max("_score").over(of_read))
-              .withColumn("_best_first", F.max("r1.score").over(of_read)))
-
-    paired = scored.where(F.col("_read_paired") & (F.col("_score") == F.col("_best")))
-    paired = _emit(paired.select(
+              .where(F.col("_read_paired") & (F.col("_score") == F.col("_best"))))
+    paired = _emit(scored.select(
         F.when(F.col("_source") != "R2", F.col("r1")).alias("r1"),
         F.when(F.col("_source") != "R1", F.col("r2")).alias("r2")))
 
-    single_best = (scored.where(~F.col("_read_paired") & (F.col("r1.score") == F.col("_best_first")))
-                   .select(*key, "ref_id", F.col("_best_first").alias("score")))
-    # Joined on the reference and the score as well: a read with very many tied rows is spread over both.
-    single = (kept.where(~in_second)
-              .join(single_best, [*key, "ref_id", "score"], "left_semi").select(*aln.columns))
+    # Single-end reads need just their best score; its rows are then met on read and score, so that a read with
+    # very many rows is not one key.
+    single_best = (kept.groupBy(*key).agg(F.max(F.struct("ord", "_paired")).alias("_last"),
+                                          F.max(F.when(~in_second, F.col("score"))).alias("score"))
+                   .where(~F.col("_last._paired")).select(*key, "score"))
+    single = kept.where(~in_second).join(single_best, [*key, "score"], "left_semi").select(*aln.columns)
     return paired.unionByName(single)
 
 

@@ -37,12 +37,18 @@ def scalar_of(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("_total")).scalar()
 
 
-def with_group_total(df: DataFrame, total: Column, name: str, by: Sequence[str]) -> DataFrame:
-    """Add a total per `by` group to an already aggregated table.
+def with_totals(df: DataFrame, source: DataFrame, totals: dict[str, Column], by: Sequence[str]) -> DataFrame:
+    """Add totals over an already aggregated `source` to the rows of `df`, per `by` group if there is one.
 
-    Without `by` the total is a scalar subquery; with it, a join to one row per group.
+    Without `by` all totals come from one scalar subquery; with it, from a join to one row per group.
     """
-    if not by:
-        return df.withColumn(name, scalar_of(df, total))
-    totals = df.groupBy(*by).agg(total.alias(name))
-    return df.join(totals, list(by), "left")
+    named = [value.alias(name) for name, value in totals.items()]
+    if by:
+        return df.join(source.groupBy(*by).agg(*named), list(by), "left")
+    one = source.agg(*named).select(F.struct(*totals).alias("_t")).scalar()
+    return df.withColumn("_t", one).select("*", *[F.col("_t")[name].alias(name) for name in totals]).drop("_t")
+
+
+def with_group_total(df: DataFrame, total: Column, name: str, by: Sequence[str]) -> DataFrame:
+    """Add one total over the table itself."""
+    return with_totals(df, df, {name: total}, by)

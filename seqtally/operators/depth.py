@@ -69,8 +69,8 @@ def pileup_alleles(pileup: DataFrame) -> DataFrame:
     plain = F.concat(F.regexp_replace(bases, r"[+-]\d+[ACGTN]+", ""), F.array_join(extra, ""))
     letters = F.filter(F.split(plain, ""), lambda x: x.rlike("[ACGTN.,]"))
     named = F.transform(letters, lambda x: F.when(x.isin(".", ","), F.upper("ref")).otherwise(x))
-    return (pileup.select("seq_id", "pos", F.upper("ref").alias("ref"), F.explode(F.concat(named, cut)).alias("allele"))
-            .groupBy("seq_id", "pos", "ref", "allele").agg(F.count(F.lit(1)).alias("n")))
+    return (pileup.select("seq_id", "pos", F.upper("ref").alias("_ref"), F.explode(F.concat(named, cut)).alias("allele"))
+            .groupBy("seq_id", "pos", F.col("_ref").alias("ref"), "allele").agg(F.count(F.lit(1)).alias("n")))
 
 
 def call_variants(alleles: DataFrame, min_cov: int = 3, min_reads2: int = 2, min_freq: float = 0.66,

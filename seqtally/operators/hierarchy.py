@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, trunc_to
-from seqtally.operators.common import names, scalar_of
+from seqtally.operators.common import names, scalar_of, with_totals
 
 LEVELS = ["A", "B", "C", "D", "E"]
 # Which level markers close an open node. A closes all; E stays open until the next A.
@@ -122,23 +122,12 @@ def ko_abundance(orf_ann: DataFrame, scope: DataFrame, depth: DataFrame | None =
         F.sum((F.col("_fr") * F.col("_dp")).cast(EXACT)).alias("_da"))
 
     found = per_ko.join(scope.select("ko", "descr"), "ko")
-    totals = [("_sum", _exact("_d")), ("_sum_adj", _exact("_da"))]
-    if by:
-        out = found.join(found.groupBy(*by).agg(*[t.alias(n) for n, t in totals]), list(by))
-    else:
-        out = found
-        for name, total in totals:
-            out = out.withColumn(name, scalar_of(found, total))
+    out = with_totals(found, found, {"_sum": _exact("_d"), "_sum_adj": _exact("_da")}, by)
     if single_copy is not None:
         n_ref = scalar_of(single_copy, F.count_distinct("ko"))
         ref = per_ko.join(single_copy.select("ko"), "ko", "left_semi")
-        means = [("_ref", _exact("_d")), ("_ref_adj", _exact("_da"))]
-        if by:
-            out = out.join(ref.groupBy(*by).agg(*[t.alias(n) for n, t in means]), list(by), "left")
-        else:
-            for name, total in means:
-                out = out.withColumn(name, scalar_of(ref, total))
-        for name, _ in means:
+        out = with_totals(out, ref, {"_ref": _exact("_d"), "_ref_adj": _exact("_da")}, by)
+        for name in ("_ref", "_ref_adj"):
             out = out.withColumn(name, F.coalesce(name, F.lit(0.0)) / n_ref)
     else:
         out = out.withColumn("_ref", F.lit(1.0)).withColumn("_ref_adj", F.lit(1.0))

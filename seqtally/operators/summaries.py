@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT
@@ -54,9 +54,11 @@ def resistance_rollup(rgi: DataFrame, depth: DataFrame, bins: DataFrame | None =
                          names(by, "scaffold"), "left").withColumn("bin", F.coalesce("bin", F.lit("Unknown")))
     else:
         rows = rows.withColumn("bin", F.lit("Unknown"))
-    values = F.concat(*[
-        F.transform(F.array_distinct(F.split(F.col(c).cast("string"), r";\s*")),
-                    lambda v, c=c: F.struct(F.lit(c).alias("level"), v.alias("value"))) for c in RESISTANCE_LEVELS])
+    def listed(level: str) -> Column:
+        parts = F.array_distinct(F.split(F.col(level).cast("string"), r";\s*"))
+        return F.transform(parts, lambda v: F.struct(F.lit(level).alias("level"), v.alias("value")))
+
+    values = F.concat(*[listed(c) for c in RESISTANCE_LEVELS])
     per_bin = (rows.select(*names(by), "bin", "depth", F.explode(values).alias("_v"))
                .where(F.col("_v.value") != "")
                .groupBy(*names(by), F.col("_v.level").alias("level"), F.col("_v.value").alias("value"), "bin")

@@ -27,7 +27,7 @@ def _ti(rank: str) -> str:
     return f"{rank}_ti"
 
 
-def lineage_ids(nodes: DataFrame, leaves: DataFrame, levels_per_step: int = 8, max_levels: int = 400) -> DataFrame:
+def lineage_ids(nodes: DataFrame, leaves: DataFrame, levels_per_step: int = 4, max_levels: int = 400) -> DataFrame:
     """Ancestor id of each leaf at each rank, found by climbing the parent links.
 
     All leaves climb together, `levels_per_step` joins at a time, and go on from a checkpoint until no leaf is

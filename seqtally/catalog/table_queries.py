@@ -243,8 +243,10 @@ register("pool_groups", lambda v: mx.pool_groups(_by_nation(v), _sheet(v), group
 register("pool_groups_one", lambda v: mx.pool_groups(_by_nation(v), _sheet(v), group="all samples"),
          f"select n_name as sample_id, c_custkey, 'all_samples' as \"group\" {_NATIONS}")
 register("missing_sources", lambda v: mx.missing_sources(
-    v.supplier.select(F.concat(F.lit("NATION_"), F.col("s_nationkey")).alias("sample_id")), _sheet(v)),
-         "select n_name as sample_id from nation where n_nationkey not in (select s_nationkey from supplier)")
+    v.supplier.where("s_acctbal > 8000").select(F.concat(F.lit("NATION_"), F.col("s_nationkey")).alias("sample_id")),
+    _sheet(v)), """
+    select n_name as sample_id from nation
+    where n_nationkey not in (select s_nationkey from supplier where s_acctbal > 8000)""")
 
 CPM = {"cpm": "select sample, feature, value * 1e6 / sum(value) over (partition by sample) as value from "
               "(select sample, feature, cast(value as double) as value from {tall}) x"}

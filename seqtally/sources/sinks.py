@@ -33,9 +33,9 @@ def write_fasta(seq: DataFrame, path: str) -> None:
     _write_text(fasta_text(seq), path)
 
 
-def fastq_text(reads: DataFrame) -> DataFrame:
+def fastq_text(reads: DataFrame, *keep: str) -> DataFrame:
     head = F.concat(F.lit("@"), F.concat_ws(" ", F.col("read_id"), F.nullif(F.col("descr"), F.lit(""))))
-    return reads.select(F.concat_ws("\n", head, "seq", F.lit("+"), "qual").alias("value"))
+    return reads.select(F.concat_ws("\n", head, "seq", F.lit("+"), "qual").alias("value"), *keep)
 
 
 def write_fastq(reads: DataFrame, path: str) -> None:

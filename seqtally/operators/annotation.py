@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, contig_of, extract_tag, orf_info, trunc_to
-from seqtally.operators.common import names
+from seqtally.operators.common import names, spread_join
 from seqtally.operators.taxonomy import RANKS
 
 UNKNOWN = "Unknown"
@@ -147,30 +147,30 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
 
     `frac` is null where the text form shows `-` (a gene without a hit on a scaffold without a taxon).
     """
+    about = clusters.select(F.col("ref_id").alias("subject"), "ko", "descr")
     hit = (best.withColumnRenamed("query", "orf_id")
            .withColumn("_frac", trunc_to(F.col("aln_len") / F.col("ref_len"), 4))
-           .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")))
-    about = clusters.select(F.col("ref_id").alias("subject"), "ko", "descr")
-    rows = (orf.withColumn("_pos", orf_info("header"))
-            .join(hit, names(by, "orf_id"), "left").join(about, "subject", "left")
-            .join(assigned.select(*names(by, "scaffold", "taxid", "evidence")), names(by, "scaffold"), "left"))
+           .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")).join(about, "subject", "left"))
+    # Taxon, evidence and depth are put together per scaffold, so genes meet one scaffold table.
+    scaffold = assigned.select(*names(by, "scaffold", "taxid", "evidence"))
     if depth is not None:
-        rows = rows.join(depth.select(*names(by), F.col("contig").alias("scaffold"), "depth"),
-                         names(by, "scaffold"), "left")
+        known = depth.select(*names(by), F.col("contig").alias("scaffold"), "depth")
+        scaffold = scaffold.join(known, names(by, "scaffold"), "full")
     else:
-        rows = rows.withColumn("depth", F.lit(None).cast("double"))
-    found, placed = F.col("pct_iden").isNotNull(), F.col("taxid").isNotNull()
-    rows = (rows.withColumn("iden", F.when(found, F.concat(F.col("pct_iden").cast("string"), F.lit("%")))
-                            .otherwise("-"))
-            .withColumn("frac", F.when(found, F.col("_frac")).when(placed, 1.0))
-            .withColumn("ko", F.coalesce("ko", F.lit("")))
-            .withColumn("descr", F.when(found & ~placed, F.coalesce("descr", F.lit("")))
-                        .otherwise(F.coalesce("descr", F.lit("hypothetical protein"))))
-            .withColumn("evidence", F.coalesce("evidence", F.lit("None"))))
-    rows, taxon = _with_taxon(rows, lineage)
-    return rows.select(*names(by), *taxon, "scaffold", "orf_id", F.col("_pos.start").alias("start"),
-                       F.col("_pos.end").alias("end"), F.col("_pos.frame").alias("frame"), "iden", "frac", "ko",
-                       "descr", "depth", "evidence")
+        scaffold = scaffold.withColumn("depth", F.lit(None).cast("double"))
+    scaffold = scaffold.withColumn("_placed", F.col("taxid").isNotNull())
+    scaffold, taxon = _with_taxon(scaffold, lineage)
+    rows = orf.select(*names(by, "orf_id", "scaffold", "header")).join(hit, names(by, "orf_id"), "left")
+    rows = spread_join(rows, scaffold, names(by, "scaffold"), "left")
+    found, placed = F.col("pct_iden").isNotNull(), F.coalesce("_placed", F.lit(False))
+    return rows.select(
+        *names(by), *[F.coalesce(c, F.when(~placed, UNKNOWN)).alias(c) for c in taxon], "scaffold", "orf_id",
+        *[orf_info("header")[p].alias(p) for p in ("start", "end", "frame")],
+        F.when(found, F.concat(F.col("pct_iden").cast("string"), F.lit("%"))).otherwise("-").alias("iden"),
+        F.when(found, F.col("_frac")).when(placed, 1.0).alias("frac"), F.coalesce("ko", F.lit("")).alias("ko"),
+        F.when(found & ~placed, F.coalesce("descr", F.lit("")))
+        .otherwise(F.coalesce("descr", F.lit("hypothetical protein"))).alias("descr"),
+        "depth", F.coalesce("evidence", F.lit("None")).alias("evidence"))
 
 
 def _scaffold_rows(bins: DataFrame, orf: DataFrame, assigned: DataFrame, depth: DataFrame,

@@ -17,21 +17,33 @@ def pick_first(row: Column, order: Column, when: Column | None = None) -> Column
     return F.min_by(row, order if when is None else F.when(when, order))
 
 
-def keep_or_drop(rows: DataFrame, ids: DataFrame, on: Sequence[str], how: str, spread: int = 8) -> DataFrame:
-    """Semi or anti join of fact rows with an id list, safe when one id owns a large share of the rows.
+def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", spread: int = 8) -> DataFrame:
+    """Join fact rows to a lookup with one row per key, safe when one key owns a large share of the rows.
 
-    Each row takes one of `spread` lanes from a hash of its content and every id is offered in all lanes, so
-    an id's rows are split over `spread` tasks. The id list is de-duplicated first; as the lane is made
-    above that, both sides meet in a fresh exchange, which lets adaptive execution split a lane further, or
-    turn the join into a broadcast after it has measured the list.
+    Each row takes one of `spread` lanes from a hash of its content and every lookup row is offered in all
+    lanes, so a key's rows are split over `spread` tasks. As the lanes are made above whatever produced the
+    lookup, both sides meet in a fresh exchange: adaptive execution can split a lane further, or turn the
+    join into a broadcast once it has measured the lookup.
     """
-    on = list(on)
     lane = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(spread)).cast("int")
-    offered = (ids.select(*on).distinct()
-               .withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))))
+    offered = lookup.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return rows.withColumn("_lane", lane).join(offered, [*on, "_lane"], how).drop("_lane")
 
 
+def keep_or_drop(rows: DataFrame, ids: DataFrame, on: Sequence[str], how: str, spread: int = 8) -> DataFrame:
+    """Semi or anti join of fact rows with an id list, split over lanes like `spread_join`."""
+    return spread_join(rows, ids.select(*on).distinct(), on, how, spread)
+
+
+def checked_broadcast(lookup: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Ask for a broadcast of a narrow lookup if it has at most `max_rows` rows; otherwise leave it as it is.
+
+    For lookups whose size follows the reference collection, joined to fact rows on a key that may be hot:
+    the fact rows are then not shuffled at all. Counting stops one row past the bound.
+    """
+    return F.broadcast(lookup) if lookup.limit(max_rows + 1).count() <= max_rows else lookup
+
+
 def scalar_of(df: DataFrame, value: Column) -> Column:
     """One total as an uncorrelated scalar subquery."""
     return df.agg(value.alias("_total")).scalar()

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, trunc_to
-from seqtally.operators.common import names
+from seqtally.operators.common import checked_broadcast, names
+from seqtally.session import cut_lineage
 
 
 def windowed_depth(depth: DataFrame, columns: Sequence[str], step: int = 20, by: Sequence[str] = ()) -> DataFrame:
@@ -47,7 +48,7 @@ def keep_passing(pileup: DataFrame, taxa: DataFrame) -> DataFrame:
     """Pileup rows of the listed taxids, matched on the taxid in the id rather than by text search."""
     keyed = pileup.withColumn("_t", extract_tag("seq_id", "taxid").cast("long"))
     listed = taxa.select(F.col("taxid").cast("long").alias("_t")).distinct()
-    return keyed.join(listed, "_t", "left_semi").drop("_t")
+    return keyed.join(checked_broadcast(cut_lineage(listed)), "_t", "left_semi").drop("_t")
 
 
 def pileup_alleles(pileup: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, header_depth, without_space
-from seqtally.operators.common import keep_or_drop, names
+from seqtally.operators.common import keep_or_drop, names, spread_join
 from seqtally.session import cut_lineage
 
 
@@ -48,18 +48,19 @@ def sort_by_len(seq: DataFrame, decreasing: bool = True) -> DataFrame:
 def numbered(df: DataFrame, order: str = "ord", start: int = 1, by: Sequence[str] = ()) -> DataFrame:
     """Add `number`: start, start + 1, ... in the given order, separately within each `by` group.
 
-    The rows are range-sorted and written to the checkpoint folder, which fixes the partitions. Each then
-    needs just the sizes of those before it: a table of one row per partition (and group).
+    The rows are range-sorted and written out, which fixes their place: the files follow the order by name and
+    a row knows its index in its file. A row then needs just the sizes of the files before its own, a table
+    of one row per file (and group). No task ever sees more than its range.
     """
+    columns = df.columns
     placed = cut_lineage(df.orderBy(*by, order)).select(
-        "*", F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_pos"))
-    sizes = placed.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*by, "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return (placed.join(offsets, [*by, "_part"])
+        *columns, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_pos"))
+    sizes = placed.groupBy(*by, "_file").agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*by).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(offsets, [*by, "_file"])
             .withColumn("number", F.col("_before") + F.col("_pos") - F.col("_first") + start)
-            .drop("_part", "_pos", "_first", "_before"))
+            .select(*columns, "number"))
 
 
 def renumber(seq: DataFrame, prefix: str, start: int = 1, by: Sequence[str] = ()) -> DataFrame:
@@ -167,8 +168,9 @@ def rep_genomes_for(species: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def pass_depth(orf: DataFrame, depth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Contig depth handed down to genes; genes of a contig with no or zero depth are dropped."""
-    return (orf.select(*names(by, "orf_id"), F.col("scaffold").alias("contig"))
-            .join(depth.where(F.col("depth") != 0), names(by, "contig")).select(*names(by, "orf_id"), "depth"))
+    genes = orf.select(*names(by, "orf_id"), F.col("scaffold").alias("contig"))
+    known = depth.where(F.col("depth") != 0).select(*names(by, "contig"), "depth")
+    return spread_join(genes, known, names(by, "contig")).select(*names(by, "orf_id"), "depth")
 
 
 def filter_reads(reads: DataFrame, hits_by_db: DataFrame, key: str = "read_id") -> DataFrame:

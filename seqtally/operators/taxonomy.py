@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, expected_breadth, trunc_to
 from seqtally.operators.alignments import classified_targets
-from seqtally.operators.common import names, scalar_of, with_group_total
+from seqtally.operators.common import checked_broadcast, names, scalar_of, with_group_total
 from seqtally.session import cut_lineage
 
 # Ranks from the root down, and the four superkingdoms that are reported.
@@ -118,7 +118,8 @@ def exclude_taxa(df: DataFrame, spark_ids: DataFrame | None = None, text: str |
     out = df
     if spark_ids is not None:
         listed = spark_ids.select(F.col("taxid").cast("string").alias("_t")).where(F.col("_t").rlike(r"^\d+$"))
-        out = out.join(listed.select(F.col("_t").cast("long").alias("taxid")).distinct(), "taxid", "left_anti")
+        ids = listed.select(F.col("_t").cast("long").alias("taxid")).distinct()
+        out = out.join(checked_broadcast(ids), "taxid", "left_anti")
     if text:
         listed = [int(t) for t in text.split(",") if t.isdigit()]
         out = out.where(~F.col("taxid").isin(listed))
@@ -255,7 +256,9 @@ def mapped_reads(cls: DataFrame, failed: DataFrame, by: Sequence[str] = ()) -> D
     The list of a read holds distinct taxids only, so it is bounded by the taxonomy.
     """
     pairs = classified_targets(cls, by).select(*names(by, "read_id", "taxid"))
-    return (pairs.join(failed.select("taxid"), "taxid", "left_anti")
+    # Written once, as deciding it takes a pass over the reads; if small, the pairs stay where they are.
+    failed = checked_broadcast(cut_lineage(failed.select("taxid")))
+    return (pairs.join(failed, "taxid", "left_anti")
             .groupBy(*names(by, "read_id"))
             .agg(F.concat_ws("|", F.transform(F.array_sort(F.collect_list("taxid")),
                                               lambda t: t.cast("string"))).alias("taxids")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.operators.alignments import classifier_counts, fractional_counts
-from seqtally.operators.common import scalar_of
+from seqtally.operators.common import checked_broadcast, scalar_of
 from seqtally.operators.taxonomy import (evenness_filter, exclude_taxa, rank_rollup_all, superkingdom_reads,
                                          taxon_abundance)
 from seqtally.functions.expr import EXACT
@@ -23,14 +23,15 @@ def usable_classified(cls: DataFrame, lineage: DataFrame, lengths: DataFrame, re
                       exclude: str | None = None, excluded: DataFrame | None = None, min_hit_len: int = 60) -> DataFrame:
     """Classifier rows that count: long enough, and of a reported taxid with lineage and length, not excluded.
 
-    The taxid conditions are joined to each other first, so the reads meet one short list.
+    The taxid conditions are joined to each other first, so the reads meet one short list, and are not
+    shuffled by taxid when its size allows a broadcast.
     """
     taxa = lineage.select("taxid").join(lengths.select("taxid"), "taxid", "left_semi")
     if report is not None:
         taxa = taxa.join(report.select("taxid"), "taxid", "left_semi")
     taxa = exclude_taxa(taxa, excluded, exclude)
     return (cls.where((F.col("hit_len") >= min_hit_len) & (F.col("taxid") != 0))
-            .join(taxa.distinct(), "taxid", "left_semi"))
+            .join(checked_broadcast(taxa.distinct()), "taxid", "left_semi"))
 
 
 def classifier_profile(cls: DataFrame, accessions: DataFrame, lineage: DataFrame, report: DataFrame | None = None,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,8 @@ def build_session(app: str = "seqtally", master: str | None = None, shuffle_part
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A join whose output feeds another join on the same key may be split too, at the price of a shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
@@ -30,25 +33,27 @@ def build_session(app: str = "seqtally", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by `spark.checkpoint.dir`; only local runs may fall back to a new one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder named by `spark.checkpoint.dir`; only local runs may fall back to a new one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="seqtally-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named:
+            context.setCheckpointDir(named)
+        elif context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="seqtally-checkpoint-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from there.
+    """Write `df` as a table in the shared checkpoint folder and go on from there.
 
-    Row placement is fixed afterwards: partition ids and in-partition positions no longer change when a
-    lost executor makes Spark recompute a stage.
+    The rows are computed once and survive the loss of executors. Unlike an RDD checkpoint the table is
+    columnar and its size is known to the planner, which then picks the joins that follow by it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

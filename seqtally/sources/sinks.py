@@ -18,7 +18,8 @@ def write_tsv(df: DataFrame, path: str, null: str = "\\N") -> None:
     """Tab-separated text whose header line starts with `#`."""
     first, *others = df.columns
     (df.withColumnRenamed(first, f"#{first}").select(f"#{first}", *others)
-     .write.mode("overwrite").csv(path, sep="\t", header=True, nullValue=null, quote="", escapeQuotes=False))
+     .write.mode("overwrite").option("comment", "\x01")  # else a leading # would be quoted
+     .csv(path, sep="\t", header=True, nullValue=null, quote="", escapeQuotes=False))
 
 
 def _write_text(lines: DataFrame, path: str) -> None:

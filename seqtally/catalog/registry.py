@@ -26,6 +26,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         self._stages: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
 
     def stage(self, name: str, build: Callable[[Inputs], DataFrame]) -> DataFrame:
         """An intermediate table that several later steps read, written once."""
@@ -34,7 +35,7 @@ class Inputs:
         return self._stages[name]
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        return view(self.spark, self.sf_dir, name, self._views)
 
 
 def tidy(df: DataFrame) -> DataFrame:

@@ -241,16 +241,15 @@ def uses(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or view as a Spark DataFrame."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    sql = _fill(VIEWS[name], f"struct({_ORDER})", f"struct(l_orderkey, {_ORDER})", "array")
-    return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in uses(sql)})
+def view(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame]) -> DataFrame:
+    """A base table or view as a Spark DataFrame; `known` holds those made before for the same folder."""
+    if name not in known:
+        if name in TABLES:
+            known[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            sql = _fill(VIEWS[name], f"struct({_ORDER})", f"struct(l_orderkey, {_ORDER})", "array")
+            known[name] = spark.sql(sql, **{n: view(spark, sf_dir, n, known) for n in uses(sql)})
+    return known[name]
 
 
 def with_views(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:

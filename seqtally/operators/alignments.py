@@ -92,37 +92,39 @@ def top_scored(aln: DataFrame, min_score: int = 75, by: Sequence[str] = ()) -> D
     second on a tie), and all references tied at the read's best score are kept. A read is paired when its
     last row is.
 
-    The first aggregation is per (read, reference) and combines before the shuffle, so the window that
-    follows sees one row per reference of a read, whatever the number of alignment rows.
+    Rows are chosen on narrow columns: the first aggregation is per (read, reference) and combines before the
+    shuffle, so the window that follows sees one row per reference of a read, whatever the number of
+    alignment rows. The whole rows are then fetched by (read, order), a key no read can make hot.
     """
     key = names(by, "read_id")
     kept = _placed(aln).where(F.col("score") >= min_score).withColumn("_paired", flag_is("flag", PAIRED))
     in_second = F.col("_paired") & flag_is("flag", SECOND_IN_PAIR)
-    best_first = F.struct(-F.col("score"), F.col("ord"))
-    row = F.struct(*aln.columns)
-    per_ref = kept.groupBy(*key, "ref_id").agg(
-        pick_first(row, best_first, ~in_second).alias("r1"),
-        pick_first(row, best_first, in_second).alias("r2"),
+    narrow = kept.select(*key, "ref_id", "score", "ord", "mate_ref", "_paired", in_second.alias("_second"))
+    best_first = F.struct((-F.col("score")).alias("neg"), F.col("ord"), F.col("mate_ref"))
+    per_ref = narrow.groupBy(*key, "ref_id").agg(
+        F.min(F.when(~F.col("_second"), best_first)).alias("r1"),
+        F.min(F.when(F.col("_second"), best_first)).alias("r2"),
         F.max(F.struct("ord", "_paired")).alias("_last"))
 
-    r1, r2 = F.coalesce(F.col("r1.score"), F.lit(0)), F.coalesce(F.col("r2.score"), F.lit(0))
+    r1, r2 = F.coalesce(-F.col("r1.neg"), F.lit(0)), F.coalesce(-F.col("r2.neg"), F.lit(0))
     mate_ref = F.when(F.col("r2").isNotNull(), F.col("r2.mate_ref")).otherwise(F.col("r1.mate_ref"))
     couple = F.coalesce((mate_ref == "=") & (r1 > 0) & (r2 > 0), F.lit(False))
     of_read = Window.partitionBy(*key)
-    scored = (per_ref
+    chosen = (per_ref
               .withColumn("_score", F.when(couple, r1 + r2).otherwise(F.greatest(r1, r2)))
               .withColumn("_source", F.when(couple, "R12").when(r1 > r2, "R1").otherwise("R2"))
               .withColumn("_read_paired", F.max("_last").over(of_read)["_paired"])
               .withColumn("_best", F.max("_score").over(of_read))
-              .where(F.col("_read_paired") & (F.col("_score") == F.col("_best"))))
-    paired = _emit(scored.select(
-        F.when(F.col("_source") != "R2", F.col("r1")).alias("r1"),
-        F.when(F.col("_source") != "R1", F.col("r2")).alias("r2")))
+              .where(F.col("_read_paired") & (F.col("_score") == F.col("_best")))
+              .select(*key, F.explode(F.array(F.when(F.col("_source") != "R2", F.col("r1.ord")),
+                                              F.when(F.col("_source") != "R1", F.col("r2.ord")))).alias("ord"))
+              .where(F.col("ord").isNotNull()))
+    paired = kept.join(chosen, [*key, "ord"], "left_semi").select(*aln.columns)
 
     # Single-end reads need just their best score; its rows are then met on read and score, so that a read with
     # very many rows is not one key.
-    single_best = (kept.groupBy(*key).agg(F.max(F.struct("ord", "_paired")).alias("_last"),
-                                          F.max(F.when(~in_second, F.col("score"))).alias("score"))
+    single_best = (narrow.groupBy(*key).agg(F.max(F.struct("ord", "_paired")).alias("_last"),
+                                            F.max(F.when(~F.col("_second"), F.col("score"))).alias("score"))
                    .where(~F.col("_last._paired")).select(*key, "score"))
     single = kept.where(~in_second).join(single_best, [*key, "score"], "left_semi").select(*aln.columns)
     return paired.unionByName(single)

@@ -27,7 +27,7 @@ def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -
 
 def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str]) -> DataFrame:
     """Greedy choice inside groups of known, moderate size: one sorted array per group, folded in order."""
-    grouped = rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "_b", "_e", *payload))).alias("_h"))
+    grouped = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("ord", "_b", "_e", *payload))).alias("_h"))
 
     def conflicts(kept: Column, hit: Column) -> Column:
         return F.exists(kept, lambda k: overlap(k["_b"], k["_e"], hit["_b"], hit["_e"])
@@ -138,7 +138,8 @@ def family_abundance(accepted: DataFrame, families: DataFrame, depth: DataFrame
         found = rows.groupBy(*names(by, "subject")).agg(
             F.sum(weight.cast(EXACT)).cast("double").alias("_n"),
             F.sum((weight * on_model).cast(EXACT)).cast("double").alias("_cov"))
-    found = found.join(families, "subject").withColumn("_cov", F.col("_cov") / F.col("model_len"))
+    # A row per family: written once, so that the hits are not decided again for the total.
+    found = cut_lineage(found).join(families, "subject").withColumn("_cov", F.col("_cov") / F.col("model_len"))
     found = with_group_total(found, F.sum(F.col("_cov").cast(EXACT)).cast("double"), "_total", by)
     described = [c for c in families.columns if c not in ("subject", "model_len")]
     return (found.withColumn("coverage", trunc_to("_cov", 6))

@@ -34,7 +34,7 @@ def merge_samples(long: DataFrame, samples: Sequence[str], ids: Sequence[str] =
     described = [F.col("_a.a")[c].alias(c) for c in ann]
     if not stats:
         return wide.select(*ids, *described, *columns).orderBy(*ids)
-    filled = F.array_sort(F.array(*[F.coalesce(F.col(f"`{s}`").cast("double"), F.lit(0.0)) for s in samples]))
+    filled = F.sort_array(F.array(*[F.coalesce(F.col(f"`{s}`").cast("double"), F.lit(0.0)) for s in samples]))
     total = F.aggregate("_f", F.lit(0.0), lambda a, x: a + x)
     out = (wide.withColumn("_f", filled).withColumn("_q", index_quartiles(F.col("_f")))
            .select(*ids, *described, *columns,

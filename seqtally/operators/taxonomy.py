@@ -256,9 +256,8 @@ def mapped_reads(cls: DataFrame, failed: DataFrame, by: Sequence[str] = ()) -> D
     The list of a read holds distinct taxids only, so it is bounded by the taxonomy.
     """
     pairs = classified_targets(cls, by).select(*names(by, "read_id", "taxid"))
-    # Written once, as deciding it takes a pass over the reads; if small, the pairs stay where they are.
-    failed = checked_broadcast(cut_lineage(failed.select("taxid")))
-    return (pairs.join(failed, "taxid", "left_anti")
+    # Give a written table: then the check costs nothing and, if it is small, the pairs stay where they are.
+    return (pairs.join(checked_broadcast(failed.select("taxid")), "taxid", "left_anti")
             .groupBy(*names(by, "read_id"))
-            .agg(F.concat_ws("|", F.transform(F.array_sort(F.collect_list("taxid")),
+            .agg(F.concat_ws("|", F.transform(F.sort_array(F.collect_list("taxid")),
                                               lambda t: t.cast("string"))).alias("taxids")))

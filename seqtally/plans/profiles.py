@@ -1,4 +1,8 @@
-"""Whole analyses composed from the operators: everything stays one lazy plan until it is written."""
+"""Whole analyses composed from the operators.
+
+The counts per taxid are written once, as several small steps read them: the reads are passed over only to
+make them, and everything after is a plan over at most as many rows as there are taxa.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +14,13 @@ from seqtally.operators.common import checked_broadcast, scalar_of
 from seqtally.operators.taxonomy import (evenness_filter, exclude_taxa, rank_rollup_all, superkingdom_reads,
                                          taxon_abundance)
 from seqtally.functions.expr import EXACT
+from seqtally.session import cut_lineage
 
 
 def alignment_profile(aln: DataFrame, lengths: DataFrame, lineage: DataFrame, read_len: int = 300,
                       cutoff: float = 1e-9) -> DataFrame:
     """Taxonomic profile at all ranks from alignments with a `taxid` column."""
-    counts = fractional_counts(aln, "taxid")
+    counts = cut_lineage(fractional_counts(aln, "taxid"))
     return rank_rollup_all(taxon_abundance(counts, lengths, lineage, read_len, cutoff), lineage)
 
 
@@ -44,8 +49,8 @@ def classifier_profile(cls: DataFrame, accessions: DataFrame, lineage: DataFrame
     """
     lengths = accessions.groupBy("taxid").agg(F.sum("length").alias("length"))
     usable = usable_classified(cls, lineage, lengths, report, exclude, excluded, min_hit_len)
-    counts = classifier_counts(usable)
-    failed = evenness_filter(usable, accessions, counts, read_len, min_ratio)
+    counts = cut_lineage(classifier_counts(usable))
+    failed = cut_lineage(evenness_filter(usable, accessions, counts, read_len, min_ratio))
     kept = counts.join(failed.select("taxid"), "taxid", "left_anti")
     # Mapped reads are counted before the evenness filter.
     mapped = scalar_of(counts, F.round(F.sum(F.col("reads").cast(EXACT)).cast("double")))

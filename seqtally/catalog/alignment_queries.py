@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from seqtally.catalog.registry import register
 from seqtally.operators import alignments as al
 from seqtally.operators import binning as bn
 from seqtally.operators import taxonomy as tx
 from seqtally.operators.taxonomy import PROFILE_RANKS, RANKS
 from seqtally.plans import profiles as pf
+from seqtally.plans.report import report_matrices
 
 ALN = "read_id, flag, ref_id, taxid, pos, mate_ref, score"
 
@@ -277,6 +280,62 @@ register("classifier_profile", lambda v: profile(v)["ranks"], _rolled(["rank", "
 register("classifier_superkingdoms", lambda v: profile(v)["superkingdoms"],
          _SK.replace("{counts}", "{passed}"), CLS, recursive=True)
 
+# ---- all samples at once -------------------------------------------------------------------------
+
+
+def _sampled(ctes: dict[str, str]) -> dict[str, str]:
+    """The classifier checks with every step taken within a sample."""
+    out = {
+        **ctes,
+        "usable": CLS["usable"].replace("select *", "select *, 'S' || cast(read_id % 5 as varchar) as sample"),
+        "pairs": """select p.*, u.sample from (""" + CLS["pairs"] + """) p join (select distinct read_id as r, sample from {usable}) u
+            on u.r = p.read_id""",
+        "counts": CLS["counts"].replace("select taxid", "select sample, taxid").replace("group by taxid", "group by sample, taxid"),
+        "obs": """select u.sample, a.taxid, sum(least(300 * n, length)) as covered, max(a.acc) as top_acc
+            from {acc} a join (select sample, seq_id, count(*) as n from {usable} group by 1, 2) u on u.seq_id = a.acc group by 1, 2""",
+        "even": CLS["even"].replace("select c.taxid", "select c.sample, c.taxid").replace(
+            "on o.taxid = c.taxid", "on o.taxid = c.taxid and o.sample = c.sample"),
+        "passed": "select c.* from {counts} c anti join {failed} f on f.sample = c.sample and f.taxid = c.taxid",
+        "n_map": "select sample, round(sum(reads)) as n from {counts} group by sample",
+        "tdep": ctes["tdep"].replace("select c.taxid", "select c.sample, c.taxid"),
+        "raw": """select t.sample, taxid, reads, depth, trunc(depth / (sum(depth) over (partition by t.sample, sk))
+              * ((sum(reads) over (partition by t.sample, sk)) / n) * 100000000) / 100000000 as a
+            from {tdep} t join {n_map} m on m.sample = t.sample""",
+        "abund": """select sample, taxid, reads, depth, a / sum(a) over (partition by sample) as abundance
+            from {raw} where a >= 1e-6""",
+        "rolled": ctes["rolled"].replace("select rank,", "select sample, rank,").replace("group by rank,", "group by sample, rank,"),
+    }
+    return out
+
+
+def sample_profile(v):
+    cls = v.cls.withColumn("sample", F.concat(F.lit("S"), (F.col("read_id") % 5).cast("string")))
+    return pf.classifier_profile(cls, v.acc, lin(v), v.report, EXCLUDED, by=["sample"])
+
+
+SAMPLED = _sampled(CLS_ABUND)
+register("classifier_profile_by_sample", lambda v: sample_profile(v)["ranks"],
+         _rolled(["sample", "rank", "rank_taxid", *RANKS]), SAMPLED, recursive=True)
+register("classifier_superkingdoms_by_sample", lambda v: sample_profile(v)["superkingdoms"], """
+    select g.sample, s.taxid, s.superkingdom, cast(floor(coalesce(r.reads, 0) + 1e-9) as bigint) as reads
+    from (values (cast(2 as bigint), 'Bacteria'), (2157, 'Archaea'), (2759, 'Eukaryota'), (10239, 'Viruses'))
+      s(taxid, superkingdom) cross join (select distinct sample from {counts}) g
+    left join (select sample, superkingdom_ti, sum(reads) as reads from {passed} join {lin} using (taxid) group by 1, 2) r
+      on r.superkingdom_ti = s.taxid and r.sample = g.sample""", SAMPLED, recursive=True)
+
+
+def taxon_matrix(v):
+    ranks = sample_profile(v)["ranks"].withColumn("ord", F.col("rank_taxid"))
+    return report_matrices({"ranks": ranks}, FIVE)["taxon-phylum"]
+
+
+FIVE = [f"S{i}" for i in range(5)]
+register("taxon_matrix", taxon_matrix, """
+    select rank_taxid, nullif(any_value(superkingdom), '') as superkingdom, nullif(any_value(kingdom), '') as kingdom,
+      nullif(any_value(phylum), '') as phylum, """ + ", ".join(
+    f"round(coalesce(max(case when sample = '{s}' then abundance end), 0), 6) as \"{s}\"" for s in FIVE) + """
+    from {rolled} where rank = 'phylum' and abundance >= 1e-4 group by rank_taxid""", SAMPLED, recursive=True)
+
 # ---- binning -------------------------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, expected_breadth, trunc_to
 from seqtally.operators.alignments import classified_targets
-from seqtally.operators.common import checked_broadcast, names, scalar_of, with_group_total
+from seqtally.operators.common import checked_broadcast, names, with_group_total, with_totals
 from seqtally.session import cut_lineage
 
 # Ranks from the root down, and the four superkingdoms that are reported.
@@ -133,34 +133,41 @@ def _exact(c: str) -> Column:
     return F.sum(F.col(c).cast(EXACT)).cast("double")
 
 
-def superkingdom_reads(counts: DataFrame, lineage_table: DataFrame, total: int | Column | None = None,
-                       mapped: Column | None = None) -> DataFrame:
+def _mapped(source: DataFrame, by: Sequence[str], df: DataFrame) -> DataFrame:
+    """Add the number of mapped reads of the counts in `source` (each read adds up to one)."""
+    return with_totals(df, source, {"_mapped": F.round(_exact("reads"))}, by)
+
+
+def superkingdom_reads(counts: DataFrame, lineage_table: DataFrame, total: int | DataFrame | None = None,
+                       mapped_from: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Reads (whole numbers) of the four superkingdoms, in a fixed order, zero when absent.
 
-    With `total`, the reads that were not mapped follow as taxid -1. `mapped` is the number of mapped reads;
-    the default is the sum of the counts.
+    With `total` (a number, or a table of `total` per `by` group) the reads that were not mapped follow as
+    taxid -1. `mapped_from` holds the counts before any filter; by default the counts themselves.
     """
+    source = counts if mapped_from is None else mapped_from
     per = (counts.join(lineage_table.select("taxid", "superkingdom_ti"), "taxid")
-           .groupBy("superkingdom_ti").agg(_exact("reads").alias("_reads")))
+           .groupBy(*names(by), F.col("superkingdom_ti").alias("taxid")).agg(_exact("reads").alias("_reads")))
     # A read shared by n taxa adds n times 1/n: the tiny rounding of 1/n must not cut a whole read off.
     whole = F.floor(F.coalesce(F.col("_reads"), F.lit(0.0)) + 1e-9).cast("long")
-    listing = ", ".join(f"({i}, {t}L, '{n}')" for i, (t, n) in enumerate(SUPERKINGDOMS))
-    four = counts.sparkSession.sql(f"select * from values {listing} as t(pos, taxid, superkingdom)")
-    out = (four.join(per, four.taxid == per.superkingdom_ti, "left")
-           .select("pos", "taxid", "superkingdom", whole.alias("reads")))
+    groups = source.select(*by).distinct() if by else counts.sparkSession.range(1).select(F.lit(0).alias("_one"))
+    four = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(t).cast("long").alias("taxid"), F.lit(n).alias("superkingdom"))
+                     for i, (t, n) in enumerate(SUPERKINGDOMS)])
+    out = (groups.select(*by, F.explode(four).alias("_f")).select(*by, "_f.*").join(per, names(by, "taxid"), "left")
+           .select(*by, "pos", "taxid", "superkingdom", whole.alias("reads")))
     if total is not None:
-        n_mapped = scalar_of(counts, F.round(_exact("reads"))) if mapped is None else mapped
-        rest = (counts.sparkSession.range(1)
-                .select(F.lit(len(SUPERKINGDOMS)).alias("pos"), F.lit(-1).cast("long").alias("taxid"),
+        known = groups.join(total, list(by)) if isinstance(total, DataFrame) else groups.withColumn("total", F.lit(total))
+        rest = (_mapped(source, by, known)
+                .select(*by, F.lit(len(SUPERKINGDOMS)).alias("pos"), F.lit(-1).cast("long").alias("taxid"),
                         F.lit("unmaped").alias("superkingdom"),
-                        (F.lit(total) - n_mapped).cast("long").alias("reads"))
+                        (F.col("total") - F.col("_mapped")).cast("long").alias("reads"))
                 .where(F.col("reads") > 0))
         out = out.unionByName(rest)
-    return out.orderBy("pos").drop("pos")
+    return out.orderBy(*by, "pos").drop("pos")
 
 
 def taxon_abundance(counts: DataFrame, lengths: DataFrame, lineage_table: DataFrame, read_len: int = 300,
-                    cutoff: float = 1e-9, mapped: Column | None = None) -> DataFrame:
+                    cutoff: float = 1e-9, mapped_from: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Depth and relative abundance of each taxid.
 
     Within a superkingdom the abundance follows depth; superkingdoms share by their mapped reads. Values are
@@ -172,19 +179,18 @@ def taxon_abundance(counts: DataFrame, lengths: DataFrame, lineage_table: DataFr
              .join(lineage_table.select("taxid", "superkingdom_ti"), "taxid")
              .withColumn("depth", bases / F.col("length"))
              .withColumn("_sk", F.coalesce("superkingdom_ti", F.lit(0))))
-    per_sk = depth.groupBy("_sk").agg(_exact("depth").alias("_sk_depth"), _exact("reads").alias("_sk_reads"))
-    n_mapped = scalar_of(counts, F.round(_exact("reads"))) if mapped is None else mapped
-    share = (depth.join(per_sk, "_sk")
+    per_sk = depth.groupBy(*names(by, "_sk")).agg(_exact("depth").alias("_sk_depth"), _exact("reads").alias("_sk_reads"))
+    share = (_mapped(counts if mapped_from is None else mapped_from, by, depth.join(per_sk, names(by, "_sk")))
              .withColumn("raw_abundance", trunc_to(
-                 F.col("depth") / F.col("_sk_depth") * (F.col("_sk_reads") / n_mapped), 8))
+                 F.col("depth") / F.col("_sk_depth") * (F.col("_sk_reads") / F.col("_mapped")), 8))
              .where(F.col("raw_abundance") >= cutoff)
-             .select("taxid", "reads", "depth", "raw_abundance"))
-    return with_group_total(share, _exact("raw_abundance"), "_kept", ()).select(
-        "taxid", "reads", "depth", (F.col("raw_abundance") / F.col("_kept")).alias("abundance"))
+             .select(*names(by, "taxid", "reads", "depth", "raw_abundance")))
+    return with_group_total(share, _exact("raw_abundance"), "_kept", by).select(
+        *names(by, "taxid", "reads", "depth"), (F.col("raw_abundance") / F.col("_kept")).alias("abundance"))
 
 
 def rank_rollup_all(abundance: DataFrame, lineage_table: DataFrame, ranks: Sequence[str] = tuple(PROFILE_RANKS),
-                    ) -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Abundance, depth and reads at every rank in one pass, most abundant first within a rank.
 
     A taxon without an id at a rank is counted under its next lower rank that has one. The lineage names of
@@ -196,46 +202,47 @@ def rank_rollup_all(abundance: DataFrame, lineage_table: DataFrame, ranks: Seque
         i = RANKS.index(rank)
         entries.append(F.struct(F.lit(rank).alias("rank"), F.lit(i).alias("_depth"),
                                 F.coalesce(*[F.col(_ti(r)) for r in RANKS[i:]]).alias("rank_taxid")))
-    long = wide.select("taxid", "reads", "depth", "abundance", F.struct(*RANKS).alias("_names"),
+    long = wide.select(*by, "taxid", "reads", "depth", "abundance", F.struct(*RANKS).alias("_names"),
                        F.explode(F.array(*entries)).alias("_e"))
-    rolled = long.groupBy(F.col("_e.rank").alias("rank"), F.col("_e._depth").alias("_depth"),
+    rolled = long.groupBy(*by, F.col("_e.rank").alias("rank"), F.col("_e._depth").alias("_depth"),
                           F.col("_e.rank_taxid").alias("rank_taxid")).agg(
         F.min_by("_names", "taxid").alias("_names"), _exact("abundance").alias("abundance"),
         _exact("depth").alias("depth"), _exact("reads").alias("reads"))
     return rolled.select(
-        "rank", "rank_taxid",
+        *by, "rank", "rank_taxid",
         *[F.when(F.col("_depth") >= i, F.col("_names")[r]).alias(r) for i, r in enumerate(RANKS)],
-        "abundance", "depth", "reads").orderBy("rank", F.desc("abundance"), "rank_taxid")
+        "abundance", "depth", "reads").orderBy(*by, "rank", F.desc("abundance"), "rank_taxid")
 
 
-def rank_rollup(abundance: DataFrame, lineage_table: DataFrame, rank: str) -> DataFrame:
+def rank_rollup(abundance: DataFrame, lineage_table: DataFrame, rank: str, by: Sequence[str] = ()) -> DataFrame:
     """One rank of `rank_rollup_all`, without the columns of the ranks below."""
     below = RANKS[RANKS.index(rank) + 1:]
-    return rank_rollup_all(abundance, lineage_table, [rank]).drop("rank", *below)
+    return rank_rollup_all(abundance, lineage_table, [rank], by).drop("rank", *below)
 
 
 # ---- evenness ------------------------------------------------------------------------------------
 
 
-def evenness(cls: DataFrame, accessions: DataFrame, counts: DataFrame, read_len: int = 300) -> DataFrame:
+def evenness(cls: DataFrame, accessions: DataFrame, counts: DataFrame, read_len: int = 300,
+             by: Sequence[str] = ()) -> DataFrame:
     """Observed and expected covered fraction of each taxid, with its deepest accession.
 
     `accessions(acc, taxid, length)`; an accession covers at most its own length.
     """
-    per_acc = cls.groupBy(F.col("seq_id").alias("acc")).agg(
+    per_acc = cls.groupBy(*by, F.col("seq_id").alias("acc")).agg(
         F.count(F.lit(1)).alias("acc_reads"), F.sum("query_len").alias("acc_bases"))
     acc_bases = F.col("acc_bases") if read_len == 0 else F.col("acc_reads") * read_len
     hit = (accessions.where(F.col("length") > 0).join(per_acc, "acc")
            .withColumn("_b", acc_bases).withColumn("_d", acc_bases / F.col("length")))
-    observed = hit.groupBy("taxid").agg(
+    observed = hit.groupBy(*names(by, "taxid")).agg(
         F.sum(F.least("_b", "length")).alias("_covered"),
         F.min_by(F.struct("acc", F.col("_d").alias("depth"), F.col("length"), F.col("acc_reads")),
                  F.struct(-F.col("_d"), F.col("acc"))).alias("_deepest"))
     lengths = accessions.groupBy("taxid").agg(F.sum("length").alias("length"))
     bases = F.col("bases") if read_len == 0 else read_len * F.col("reads")
-    return (counts.join(lengths, "taxid").join(observed, "taxid", "left")
+    return (counts.join(lengths, "taxid").join(observed, names(by, "taxid"), "left")
             .withColumn("depth", bases / F.col("length")).where(F.col("depth") > 0)
-            .select("taxid", "reads", "depth",
+            .select(*names(by, "taxid", "reads", "depth"),
                     expected_breadth("depth").alias("expected"),
                     (F.coalesce(F.col("_covered"), F.lit(0)) / F.col("length")).alias("observed"),
                     F.col("_deepest.acc").alias("deepest_acc"), F.col("_deepest.depth").alias("deepest_depth"),
@@ -244,9 +251,9 @@ def evenness(cls: DataFrame, accessions: DataFrame, counts: DataFrame, read_len:
 
 
 def evenness_filter(cls: DataFrame, accessions: DataFrame, counts: DataFrame, read_len: int = 300,
-                    min_ratio: float = 0.1) -> DataFrame:
+                    min_ratio: float = 0.1, by: Sequence[str] = ()) -> DataFrame:
     """The taxids that fail: covered far less evenly than their depth leads one to expect."""
-    return evenness(cls, accessions, counts, read_len).where(
+    return evenness(cls, accessions, counts, read_len, by).where(
         F.col("observed") / F.col("expected") < min_ratio)
 
 
@@ -257,7 +264,7 @@ def mapped_reads(cls: DataFrame, failed: DataFrame, by: Sequence[str] = ()) -> D
     """
     pairs = classified_targets(cls, by).select(*names(by, "read_id", "taxid"))
     # Give a written table: then the check costs nothing and, if it is small, the pairs stay where they are.
-    return (pairs.join(checked_broadcast(failed.select("taxid")), "taxid", "left_anti")
+    return (pairs.join(checked_broadcast(failed.select(*names(by, "taxid"))), names(by, "taxid"), "left_anti")
             .groupBy(*names(by, "read_id"))
             .agg(F.concat_ws("|", F.transform(F.sort_array(F.collect_list("taxid")),
                                               lambda t: t.cast("string"))).alias("taxids")))

@@ -181,8 +181,10 @@ def _contig_depth(v):
 
 
 register("orf_annotation", lambda v: an.orf_annotation(genes(v), best(v), v.clstr, assigned_prebin(v), lin(v),
-                                                       _contig_depth(v)), """
-    select * replace (round(frac, 6) as frac, round(depth, 6) as depth) from {genes_ann}""", TABLES, recursive=True)
+                                                       _contig_depth(v), host_bins(v), _listed(v)), """
+    select * replace (round(frac, 6) as frac, round(depth, 6) as depth) from {genes_ann}
+    where taxid <> '200000001' and scaffold not in
+      (select contig from {housed} where taxid in ('Host', 'contaminant'))""", TABLES, recursive=True)
 
 
 def scaffold_tables(v, operator, **options):

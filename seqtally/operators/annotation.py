@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, contig_of, extract_tag, orf_info, trunc_to
-from seqtally.operators.common import names, spread_join
+from seqtally.operators.common import keep_or_drop, names, spread_join
 from seqtally.operators.taxonomy import RANKS
 
 UNKNOWN = "Unknown"
@@ -142,10 +142,12 @@ def _with_taxon(df: DataFrame, lineage: DataFrame) -> tuple[DataFrame, list[str]
 
 
 def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigned: DataFrame, lineage: DataFrame,
-                   depth: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+                   depth: DataFrame | None = None, bins: DataFrame | None = None,
+                   contaminants: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """One row per gene: taxon, scaffold, position, identity, aligned fraction, family and description.
 
-    `frac` is null where the text form shows `-` (a gene without a hit on a scaffold without a taxon).
+    Genes on the host and contaminant scaffolds of `bins`, and on scaffolds of the taxids in `contaminants`,
+    are left out. `frac` is null where the text form shows `-` (a gene without a hit on a scaffold without a taxon).
     """
     about = clusters.select(F.col("ref_id").alias("subject"), "ko", "descr")
     hit = (best.withColumnRenamed("query", "orf_id")
@@ -159,8 +161,15 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
     else:
         scaffold = scaffold.withColumn("depth", F.lit(None).cast("double"))
     scaffold = scaffold.withColumn("_placed", F.col("taxid").isNotNull())
+    barred = None if bins is None else _seeds(bins, by)[1]
+    if contaminants is not None:
+        listed = (assigned.join(contaminants.select("taxid"), "taxid", "left_semi").select(*names(by, "scaffold")))
+        barred = listed if barred is None else barred.unionByName(listed)
     scaffold, taxon = _with_taxon(scaffold, lineage)
-    rows = orf.select(*names(by, "orf_id", "scaffold", "header")).join(hit, names(by, "orf_id"), "left")
+    rows = orf.select(*names(by, "orf_id", "scaffold", "header"))
+    if barred is not None:
+        rows = keep_or_drop(rows, barred, names(by, "scaffold"), "left_anti")
+    rows = rows.join(hit, names(by, "orf_id"), "left")
     rows = spread_join(rows, scaffold, names(by, "scaffold"), "left")
     found, placed = F.col("pct_iden").isNotNull(), F.coalesce("_placed", F.lit(False))
     return rows.select(

@@ -77,11 +77,15 @@ def bin_contigs_species(contig_aln: DataFrame, ref_aln: DataFrame, contigs: Data
     """
     totals, support = _contig_taxa(contig_aln, ref_aln, max_taxa, False, by)
     taxa = lineage.select("taxid", "species_ti", "species", F.col("toprank").alias("strain"))
-    per_taxid = support.join(taxa.select("taxid", "species_ti"), "taxid")
-    per_species = per_taxid.groupBy(*names(by, "contig", "species_ti")).agg(F.sum("_support").alias("_sp"))
-    best_species = _best(per_species, names(by, "contig"), "species_ti", "_sp")
-    best_taxid = _best(per_taxid, names(by, "contig", "species_ti"), "taxid")
-    chosen = (best_species.join(best_taxid, names(by, "contig", "species_ti"))
+    per_species = (support.join(taxa.select("taxid", "species_ti"), "taxid")
+                   .groupBy(*names(by, "contig", "species_ti"))
+                   .agg(F.sum("_support").alias("_sp"),
+                        F.min(F.struct((-F.col("_support")).alias("neg"), F.col("taxid"))).alias("_best")))
+    # Species that have no id count as one, as they share the same (null) key.
+    chosen = (per_species.groupBy(*names(by, "contig"))
+              .agg(F.min(F.struct((-F.col("_sp")).alias("neg"), F.col("species_ti"), F.col("_best.taxid").alias("taxid")))
+                   .alias("_w"))
+              .select(*names(by, "contig"), (-F.col("_w.neg")).alias("_sp"), "_w.species_ti", "_w.taxid")
               .join(taxa.drop("species_ti"), "taxid"))
     listed = (contaminants.select("taxid", F.lit(True).alias("_bad")).distinct() if contaminants is not None
               else taxa.select("taxid", F.lit(False).alias("_bad")))

@@ -113,16 +113,15 @@ def rank_table(lineage_table: DataFrame, names_table: DataFrame) -> DataFrame:
     return labelled.select("taxid", "rank", name.alias("name"), *[c for r in RANKS for c in (r, _ti(r))])
 
 
-def exclude_taxa(df: DataFrame, spark_ids: DataFrame | None = None, text: str | None = None) -> DataFrame:
+def exclude_taxa(df: DataFrame, listed: DataFrame | None = None, text: str | None = None) -> DataFrame:
     """Drop the taxids listed in a table and/or a comma-separated text; entries that are not numbers are ignored."""
     out = df
-    if spark_ids is not None:
-        listed = spark_ids.select(F.col("taxid").cast("string").alias("_t")).where(F.col("_t").rlike(r"^\d+$"))
-        ids = listed.select(F.col("_t").cast("long").alias("taxid")).distinct()
+    if listed is not None:
+        numbers = listed.select(F.col("taxid").cast("string").alias("_t")).where(F.col("_t").rlike(r"^\d+$"))
+        ids = numbers.select(F.col("_t").cast("long").alias("taxid")).distinct()
         out = out.join(checked_broadcast(ids), "taxid", "left_anti")
     if text:
-        listed = [int(t) for t in text.split(",") if t.isdigit()]
-        out = out.where(~F.col("taxid").isin(listed))
+        out = out.where(~F.col("taxid").isin([int(t) for t in text.split(",") if t.isdigit()]))
     return out
 
 

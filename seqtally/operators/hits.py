@@ -6,7 +6,7 @@ follows the search tool's order, best first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from seqtally.operators.common import names, pick_first, scalar_of, with_group_t
 from seqtally.session import cut_lineage
 
 FRAC = 0.5
+MAX_HOT = 1_000_000
 
 
 def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -> DataFrame:
@@ -39,19 +40,20 @@ def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, payload:
     return grouped.select(*key, F.explode(kept).alias("_k")).select(*key, "_k.*")
 
 
-def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str],
-                group_limit: int, spread: int) -> list[DataFrame]:
+def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str], group_limit: int,
+                spread: int, hint: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
     """Greedy choice for groups too big for one task, in rounds.
 
     The first `group_limit` remaining hits of a query depend only on earlier ones, so they can be decided
     exactly as a small group. What they accept then strikes out every later conflicting hit, by a join on
     position bins. Two accepted hits of a size cannot share much of the query, so the bins stay short and
-    each round clears far more than it decides. The rest goes through a checkpoint to the next round.
+    each round clears far more than it decides. The rest is written for the next round.
     """
     columns = [*key, "ord", "_b", "_e", *payload]
     rest = cut_lineage(rows.select(*columns))
     done: list[DataFrame] = []
     while not rest.isEmpty():
+        # First within lanes, so that no task sorts a whole group; then among what the lanes leave.
         lane = F.pmod(F.xxhash64("ord", "_b", "_e"), F.lit(spread))
         in_lane = Window.partitionBy(*key, "_lane").orderBy("ord")
         in_key = Window.partitionBy(*key).orderBy("ord")
@@ -63,12 +65,13 @@ def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, payload: Seque
         last = head.groupBy(*key).agg(F.max("ord").alias("_last"))
         accepted = cut_lineage(_accept_in_order(head, key, frac, payload).select(*columns))
         done.append(accepted)
-        undecided = rest.join(F.broadcast(last), list(key)).where(F.col("ord") > F.col("_last")).drop("_last")
-        rest = cut_lineage(_strike_out(undecided, accepted, key, frac))
+        undecided = rest.join(hint(last), list(key)).where(F.col("ord") > F.col("_last")).drop("_last")
+        rest = cut_lineage(_strike_out(undecided, accepted, key, frac, hint))
     return done
 
 
-def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac: float, bins: int = 4096) -> DataFrame:
+def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac: float,
+                hint: Callable[[DataFrame], DataFrame], bins: int = 4096) -> DataFrame:
     """Rows that conflict with no accepted hit.
 
     An overlap longer than `frac` of a hit contains one of the points b + t * frac * length, so a hit needs
@@ -78,11 +81,11 @@ def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac:
         F.greatest(F.ceil((F.max("_e") - F.min("_b") + 1) / bins), F.lit(1)).alias("_w"))
     length = F.col("_e") - F.col("_b") + 1
     points = F.array(*[F.col("_b") + length * (t * frac) for t in range(1, max(int(1 / frac), 1) + 1)])
-    probe = (rows.join(F.broadcast(width), list(key))
+    probe = (rows.join(hint(width), list(key))
              .select(*key, "ord", "_b", "_e", "_w",
                      F.explode(F.filter(points, lambda p: p <= F.col("_e"))).alias("_p"))
              .withColumn("_bin", F.floor(F.col("_p") / F.col("_w"))))
-    held = (accepted.join(F.broadcast(width), list(key))
+    held = (accepted.join(hint(width), list(key))
             .select(*key, F.col("_b").alias("_ab"), F.col("_e").alias("_ae"),
                     F.explode(F.sequence(F.floor(F.col("_b") / F.col("_w")), F.floor(F.col("_e") / F.col("_w"))))
                     .alias("_bin")))
@@ -113,9 +116,11 @@ def greedy_nonoverlap(hits: DataFrame, max_evalue: float | None = 1e-3, frac: fl
     if hot.isEmpty():
         out = _accept_in_order(rows, key, frac, payload)
     else:
-        hot = F.broadcast(cut_lineage(hot))  # at most (all hits) / group_limit keys
-        out = _accept_in_order(rows.join(hot, key, "left_anti"), key, frac, payload).select(*hits.columns)
-        for part in _accept_hot(rows.join(hot, key, "left_semi"), key, frac, payload, group_limit, spread):
+        # Tables with a row per hot query are broadcast only if there are few enough of those.
+        hot = cut_lineage(hot)
+        hint = F.broadcast if hot.limit(MAX_HOT + 1).count() <= MAX_HOT else lambda df: df
+        out = _accept_in_order(rows.join(hint(hot), key, "left_anti"), key, frac, payload).select(*hits.columns)
+        for part in _accept_hot(rows.join(hint(hot), key, "left_semi"), key, frac, payload, group_limit, spread, hint):
             out = out.unionByName(part.select(*hits.columns))
     return out.select(*hits.columns)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, header_depth, without_space
-from seqtally.operators.common import keep_or_drop, names, spread_join
+from seqtally.operators.common import checked_broadcast, keep_or_drop, names, spread_join
 from seqtally.session import cut_lineage
 
 
@@ -58,7 +58,8 @@ def numbered(df: DataFrame, order: str = "ord", start: int = 1, by: Sequence[str
     sizes = placed.groupBy(*by, "_file").agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return (placed.join(offsets, [*by, "_file"])
+    # Written and counted, so that the rows are not shuffled to meet this short table.
+    return (placed.join(checked_broadcast(cut_lineage(offsets)), [*by, "_file"])
             .withColumn("number", F.col("_before") + F.col("_pos") - F.col("_first") + start)
             .select(*columns, "number"))
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqtally.operators.common import checked_broadcast
+from seqtally.session import cut_lineage
+
 
 def read_lines(spark: SparkSession, path: str | list[str], separator: str | None = None) -> DataFrame:
     """`value, ord` for each line, or for each record when `separator` is given."""
@@ -24,14 +27,14 @@ def read_lines(spark: SparkSession, path: str | list[str], separator: str | None
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """`value, file, line, ord` with the 0-based line number in the file.
 
-    Each split's line count is taken first; a split's offset is the sum over the splits before it. That table
-    has one row per split, so big files stay divided.
+    Each split's line count is taken first (this runs a job); a split's offset is the sum over the splits
+    before it. That table has one row per split, so big files stay divided, and the lines are not shuffled.
     """
     lines = read_lines(spark, path).withColumn("file", F.col("ord.file")).withColumn("_block", F.col("ord.block"))
     sizes = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("ord.row").alias("_first"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (lines.join(offsets, ["file", "_block"])
+    return (lines.join(checked_broadcast(cut_lineage(offsets)), ["file", "_block"])
             .select("value", "file", (F.col("_before") + F.col("ord.row") - F.col("_first")).alias("line"), "ord"))
 
 

@@ -7,12 +7,13 @@ from seqtally.catalog.registry import register
 from seqtally.operators import annotation as an
 from seqtally.operators import hierarchy as hi
 from seqtally.operators import hits as ht
+from seqtally.operators.alignments import contig_depth
 from seqtally.operators.taxonomy import RANKS
 
 HIT = "query, subject, pct_iden, aln_len, q_b, q_e, s_b, s_e, evalue"
 
 
-def _greedy(source: str, frac: float = 0.5) -> dict[str, str]:
+def greedy_sql(source: str, frac: float = 0.5) -> dict[str, str]:
     """Accepted hits, by stepping through each query's hits with the list of intervals accepted so far."""
     clash = (f"len(list_filter(s.kept, lambda k: least(k.e, h.e) - greatest(k.b, h.b) > (h.e - h.b + 1) * {frac})) > 0")
     return {
@@ -26,7 +27,7 @@ def _greedy(source: str, frac: float = 0.5) -> dict[str, str]:
     }
 
 
-GREEDY = _greedy("select * from {hits} where evalue <= 0.05")
+GREEDY = greedy_sql("select * from {hits} where evalue <= 0.05")
 
 
 def accepted(v):
@@ -38,7 +39,7 @@ register("top_hit", lambda v: ht.top_hit(v.hits, 0.05), f"""
 register("greedy_nonoverlap", accepted, f"select {HIT} from {{accepted}}", GREEDY, recursive=True)
 
 
-def _family(weight: str, digits: int, source: str = "{accepted}") -> dict[str, str]:
+def family_sql(weight: str, digits: int, source: str = "{accepted}") -> dict[str, str]:
     return {
         "found": f"""select a.subject, sum({weight}) as n, sum({weight} * (s_e - s_b + 1)) as c
             from {source} a left join {{query_depth}} d on d.query = a.query group by a.subject""",
@@ -51,13 +52,13 @@ def _family(weight: str, digits: int, source: str = "{accepted}") -> dict[str, s
 
 register("family_abundance", lambda v: ht.family_abundance(accepted(v), v.fam), """
     select subject, n_hits, round(coverage, 6) as coverage, round(abundance, 6) as abundance, acc, name, descr
-    from {family}""", {**GREEDY, **_family("1", 6)}, recursive=True)
+    from {family}""", {**GREEDY, **family_sql("1", 6)}, recursive=True)
 register("family_abundance_weighted", lambda v: ht.family_abundance(accepted(v), v.fam, v.query_depth, digits=9), """
     select subject, n_hits, round(coverage, 6) as coverage, round(abundance, 6) as abundance, acc, name, descr
-    from {family}""", {**GREEDY, **_family("depth", 9)}, recursive=True)
+    from {family}""", {**GREEDY, **family_sql("depth", 9)}, recursive=True)
 register("family_abundance_subject", lambda v: ht.family_abundance(accepted(v), v.fam, subject_like="7"), """
     select subject, n_hits, round(coverage, 6) as coverage, round(abundance, 6) as abundance, acc, name, descr
-    from {family}""", {**GREEDY, **_family("1", 6, "(select * from {accepted} where contains(cast(subject as varchar), '7'))")},
+    from {family}""", {**GREEDY, **family_sql("1", 6, "(select * from {accepted} where contains(cast(subject as varchar), '7'))")},
          recursive=True)
 register("annotated_hits", lambda v: ht.annotated_hits(accepted(v), v.fam),
          f"select {', '.join('a.' + c for c in HIT.split(', '))}, acc, name, descr from {{accepted}} a left join {{fam}} f "
@@ -70,9 +71,9 @@ register("class_rollup", lambda v: ht.class_rollup(
     from {class_names} n join (select distinct unnest(string_split(letters, '')) as class, family from {class_map}) m
       on m.class = n.class
     left join (select * from {family} where abundance <> 0) f on f.acc = m.family group by n.class, n.descr""",
-         {**GREEDY, **_family("1", 9)}, recursive=True)
+         {**GREEDY, **family_sql("1", 9)}, recursive=True)
 
-TRANSLATED = _greedy("select * from {translated_hits}")
+TRANSLATED = greedy_sql("select * from {translated_hits}")
 register("blastx_to_orf", lambda v: ht.blastx_to_orf(v.translated_hits), """
     select query || '.' || q_b || '.' || q_e as query, subject, pct_iden, aln_len, 1 as q_b,
       cast(floor((e - b + 1) / 3) as int) as q_e, s_b, s_e, evalue from {accepted}""", TRANSLATED, recursive=True)
@@ -175,20 +176,19 @@ TABLES = {
 }
 
 
-def _contig_depth(v):
-    from seqtally.operators.alignments import contig_depth
+def depth_of_contigs(v):
     return contig_depth(v.contig_aln.withColumnRenamed("contig", "ref_id"), v.contig)
 
 
 register("orf_annotation", lambda v: an.orf_annotation(genes(v), best(v), v.clstr, assigned_prebin(v), lin(v),
-                                                       _contig_depth(v), host_bins(v), _listed(v)), """
+                                                       depth_of_contigs(v), host_bins(v), _listed(v)), """
     select * replace (round(frac, 6) as frac, round(depth, 6) as depth) from {genes_ann}
     where taxid <> '200000001' and scaffold not in
       (select contig from {housed} where taxid in ('Host', 'contaminant'))""", TABLES, recursive=True)
 
 
 def scaffold_tables(v, operator, **options):
-    return operator(host_bins(v), genes(v), assigned_prebin(v), _contig_depth(v), lin(v), **options)
+    return operator(host_bins(v), genes(v), assigned_prebin(v), depth_of_contigs(v), lin(v), **options)
 
 
 def _listed(v):

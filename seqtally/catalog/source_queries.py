@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seqtally.catalog.alignment_queries import LINEAGE
-from seqtally.catalog.hit_queries import GREEDY, _family
+from seqtally.catalog.hit_queries import GREEDY, family_sql
 from seqtally.catalog.registry import register
 from seqtally.catalog.table_queries import SEQ
 from seqtally.operators import taxonomy as tx
@@ -70,7 +70,7 @@ def _domain_abundance(v):
 
 register("domain_abundance", _domain_abundance, """
     select acc as subject, n_hits, round(coverage, 6) as coverage, round(abundance, 6) as abundance,
-      replace(name, ' ', '_') as name, descr || ' ' || name as descr from {family}""", {**GREEDY, **_family("1", 6)}, recursive=True)
+      replace(name, ' ', '_') as name, descr || ' ' || name as descr from {family}""", {**GREEDY, **family_sql("1", 6)}, recursive=True)
 register("read_tbl", lambda v: ts.parse_tbl(v.hits.join(v.fam, "subject").select(_tabbed(
     F.translate("name", " ", "_"), "acc", "query", F.lit("-"), "evalue", *[F.lit("-")] * 13,
     F.concat_ws(" ", "descr", "name"), sep="  "))), """

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from seqtally.catalog.alignment_queries import LINEAGE, host_bins
+from pyspark.sql import functions as F
+
+from seqtally.catalog.alignment_queries import host_bins
 from seqtally.catalog.hit_queries import TABLES as GENE_TABLES
-from seqtally.catalog.hit_queries import _contig_depth, genes, scaffold_tables
+from seqtally.catalog.hit_queries import depth_of_contigs, genes, scaffold_tables
 from seqtally.catalog.registry import register
+from seqtally.functions.expr import flag_string
 from seqtally.operators import annotation as an
 from seqtally.operators import depth as dp
 from seqtally.operators import matrix as mx
@@ -13,7 +16,7 @@ from seqtally.operators import sequences as sq
 from seqtally.operators import summaries as su
 from seqtally.operators.alignments import fractional_counts, reference_abundance
 from seqtally.plans.report import Matrix, report_matrices
-from pyspark.sql import functions as F
+from seqtally.sources.tables import parse_job_log
 
 SAMPLES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -120,20 +123,16 @@ register("extract_tag", lambda v: v.ref.select(
     "ref_id", an.extract_tag("ref_id", "taxid").alias("taxid"), an.extract_tag("ref_id", "acc", r"[^|]+").alias("acc"),
     an.extract_tag("ref_id", "none").alias("none")), """
     select ref_id, cast(taxid as varchar) as taxid, 'A' || (taxid - 200000000) as acc, cast(null as varchar) as none from {ref}""")
-register("pass_depth", lambda v: sq.pass_depth(genes(v), _contig_depth(v)), """
+register("pass_depth", lambda v: sq.pass_depth(genes(v), depth_of_contigs(v)), """
     select orf_id, round(depth, 6) as depth from {orf} join {cdepth} on contig = 'ctg' || p where depth <> 0""",
          {"cdepth": GENE_TABLES["cdepth"]})
-register("flag_string", lambda v: v.aln.select("read_id", "pos", _flag_string("flag").alias("text")), """
+register("flag_string", lambda v: v.aln.select("read_id", "pos", flag_string("flag").alias("text")), """
     select read_id, pos, case when flag & 1 <> 0 then '_P' else '_p' end || case when flag & 2 <> 0 then '_M' else '_m' end
       || case when flag & 4 <> 0 then '_u' else '_.' end || case when flag & 8 <> 0 then '_U' else '_.' end || '_._.'
       || case when flag & 64 <> 0 then '_1' else '_.' end || case when flag & 128 <> 0 then '_2' else '_.' end || '_S_F_D' as text
     from {aln}""")
 
 
-def _flag_string(c):
-    from seqtally.functions.expr import flag_string
-    return flag_string(c)
-
 
 def _reference(v):
     return reference_abundance(fractional_counts(v.aln), v.ref)
@@ -270,9 +269,9 @@ register("rename_features", lambda v: _as_int(mx.rename_features(
     select sample, c.feature || ': ' || coalesce(name, 'NO_NAME') as feature, round(value, 4) as value
     from {cpm} c left join (select distinct feature, name from {feature_map}) m on m.feature = c.feature""", CPM)
 register("otu_table", lambda v: mx.otu_table(
-    v.conversations.select(F.substring("text", 1, 2).alias("cluster"), F.col("role").alias("sample")), min_frac=0.01), """
-    select substring(text, 1, 2) as cluster, role as sample, count(*) as value from conversations
-    group by 1, 2 qualify sum(count(*)) over (partition by substring(text, 1, 2)) >= 0.01 * sum(count(*)) over ()""")
+    v.documents.select(F.col("source").alias("cluster"), F.col("lang").alias("sample")), min_frac=0.05), """
+    select source as cluster, lang as sample, count(*) as value from documents
+    group by 1, 2 qualify sum(count(*)) over (partition by source) >= 0.05 * sum(count(*)) over ()""")
 register("report_matrices", lambda v: report_matrices(
     {"levels": v.long.withColumn("level", F.lit("A")).withColumnRenamed("feature", "node").withColumnRenamed("ann", "file")
      .withColumn("descr", F.lit("d"))}, SAMPLES,
@@ -286,7 +285,6 @@ JOBS = ["click", "error", "purchase", "signup", "view"]
 
 
 def _cost(factor):
-    from seqtally.sources.tables import parse_job_log
     return lambda v: su.job_cost_matrix(parse_job_log(v.log), JOBS, factor)
 
 

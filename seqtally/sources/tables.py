@@ -301,20 +301,28 @@ def read_job_log(spark: SparkSession, path: str) -> DataFrame:
 # ---- many samples --------------------------------------------------------------------------------
 
 
+def present_samples(spark: SparkSession, root: str, file: str, samples: Sequence[str]) -> list[str]:
+    """The samples whose `root/<sample>/<file>` exists and is not empty, in sheet order.
+
+    Only file names and sizes are looked at, a list as long as the sample sheet.
+    """
+    depth = len(file.split("/"))
+    found = spark.read.format("binaryFile").load(f"{root}/*/{file}").select("path", "length").where("length > 0")
+    seen = {row.path.split("/")[-1 - depth] for row in found.collect()}
+    return [s for s in samples if s in seen]
+
+
 def read_per_sample(spark: SparkSession, root: str, file: str, samples: Sequence[str],
                     reader: Callable[[SparkSession, list[str]], DataFrame], on_missing: str = "error") -> DataFrame:
     """Rows of `root/<sample>/<file>` of all samples in one scan, with `sample_id` from the path.
 
-    A missing or empty file is an error, or skipped with `on_missing="skip"`. Only file names and sizes are
-    looked at for that, on a list as long as the sample sheet.
+    A missing or empty file is an error, or skipped with `on_missing="skip"`; give `merge_samples` the
+    `present_samples` then, so that a skipped sample gets no column.
     """
-    found = spark.read.format("binaryFile").load(f"{root}/*/{file}").select("path", "length")
-    sizes = {row.path.rstrip("/").split("/")[-1 - len(file.split("/"))]: row.length for row in found.collect()}
-    missing = [s for s in samples if not sizes.get(s)]
-    if missing and on_missing == "error":
-        raise FileNotFoundError(f"{file} is missing or empty for: {', '.join(missing)}")
-    paths = [f"{root}/{s}/{file}" for s in samples if sizes.get(s)]
-    rows = reader(spark, paths)
+    present = present_samples(spark, root, file, samples)
+    if on_missing == "error" and len(present) < len(samples):
+        raise FileNotFoundError(f"{file} is missing or empty for: {', '.join(s for s in samples if s not in present)}")
+    rows = reader(spark, [f"{root}/{s}/{file}" for s in present])
     depth = len(file.split("/"))
     return rows.withColumn("sample_id", F.element_at(F.split(F.col("ord.file"), "/"), -1 - depth))
 

@@ -290,7 +290,9 @@ def test_per_sample(spark, write, tmp_path):
     rows = ts.read_per_sample(spark, root, "t/x.txt", ["s1", "s2", "s3", "s4"], ts.read_headed_tsv, on_missing="skip")
     long = rows.select(F.col("sample_id").alias("sample"), F.col("id").alias("feature"), "ann",
                        F.col("v").cast("double").alias("value"), "ord")
-    got = mx.merge_samples(long, ["s1", "s2"], ann=["ann"], stats=True).collect()
+    present = ts.present_samples(spark, root, "t/x.txt", ["s1", "s2", "s3", "s4"])
+    assert present == ["s1", "s2"]
+    got = mx.merge_samples(long, present, ann=["ann"], stats=True).collect()
     assert [(r["feature"], r["ann"], r["s1"], r["s2"], r["max"]) for r in got] == [("f1", "a", 3.0, 6.0, 6.0),
                                                                                   ("f2", "b", 1.0, 0.0, 1.0)]
 

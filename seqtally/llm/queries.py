@@ -7,14 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seqtally.llm.common import read
+from seqtally.llm.embedding_dedup import near_duplicates
+from seqtally.llm.html_extract import extract
+from seqtally.llm.language_id import identify
 from seqtally.llm.license_scan import license_labels
 from seqtally.llm.packing import pack_documents
 from seqtally.llm.sharding import shard_documents
+from seqtally.llm.topk_search import search
+
+
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return search(vectors.where("vec_id % 100 = 0"), vectors)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cross_polytope_dedup": lambda spark, sf_dir: near_duplicates(read(spark, sf_dir, "embeddings")),
     "op2_best_fit_packing": lambda spark, sf_dir: pack_documents(read(spark, sf_dir, "documents")),
+    "op3_block_pruned_top_k": top_k,
+    "op7_page_differencing": lambda spark, sf_dir: extract(read(spark, sf_dir, "pages")),
     "op8_license_scan": lambda spark, sf_dir: license_labels(read(spark, sf_dir, "documents")),
     "op9_virtual_slot_shards": lambda spark, sf_dir: shard_documents(read(spark, sf_dir, "documents")),
+    "op10_language_id": lambda spark, sf_dir: identify(read(spark, sf_dir, "documents")),
 }
 
 SQL: dict[str, str] = {}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seqtally.llm.common import read
 from seqtally.llm.embedding_dedup import near_duplicates
 from seqtally.llm.html_extract import extract
+from seqtally.llm.jaccard_join import jaccard_components
 from seqtally.llm.language_id import identify
 from seqtally.llm.license_scan import license_labels
 from seqtally.llm.packing import pack_documents
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope_dedup": lambda spark, sf_dir: near_duplicates(read(spark, sf_dir, "embeddings")),
     "op2_best_fit_packing": lambda spark, sf_dir: pack_documents(read(spark, sf_dir, "documents")),
     "op3_block_pruned_top_k": top_k,
+    "op5_voronoi_jaccard_join": lambda spark, sf_dir: jaccard_components(read(spark, sf_dir, "documents")),
     "op7_page_differencing": lambda spark, sf_dir: extract(read(spark, sf_dir, "pages")),
     "op8_license_scan": lambda spark, sf_dir: license_labels(read(spark, sf_dir, "documents")),
     "op9_virtual_slot_shards": lambda spark, sf_dir: shard_documents(read(spark, sf_dir, "documents")),

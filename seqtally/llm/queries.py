@@ -13,6 +13,7 @@ from seqtally.llm.jaccard_join import jaccard_components
 from seqtally.llm.language_id import identify
 from seqtally.llm.license_scan import license_labels
 from seqtally.llm.packing import pack_documents
+from seqtally.llm.repeat_removal import repeat_digest
 from seqtally.llm.sharding import shard_documents
 from seqtally.llm.topk_search import search
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": lambda spark, sf_dir: pack_documents(read(spark, sf_dir, "documents")),
     "op3_block_pruned_top_k": top_k,
     "op5_voronoi_jaccard_join": lambda spark, sf_dir: jaccard_components(read(spark, sf_dir, "documents")),
+    "op6_suffix_array_dedup": lambda spark, sf_dir: repeat_digest(read(spark, sf_dir, "documents")),
     "op7_page_differencing": lambda spark, sf_dir: extract(read(spark, sf_dir, "pages")),
     "op8_license_scan": lambda spark, sf_dir: license_labels(read(spark, sf_dir, "documents")),
     "op9_virtual_slot_shards": lambda spark, sf_dir: shard_documents(read(spark, sf_dir, "documents")),

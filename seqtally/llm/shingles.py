@@ -37,11 +37,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def chunked(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def chunked(texts: list[str | bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Neighbouring texts of up to `most` bytes together, or one longer text: (place of the first, their bytes)."""
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "surrogatepass")
+        raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
         if held and size + len(raw) > most:
             yield first, held
             first, held, size = i, [], 0

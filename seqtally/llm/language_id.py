@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtally.llm.common import written
@@ -238,29 +238,40 @@ class Scores:
 _SCORES: dict[str, Scores] = {}
 
 
+class Predictor:
+    """Languages and scores of texts inside tasks; the model travels as a broadcast of bounded size."""
+
+    def __init__(self, spark: SparkSession, model: Model) -> None:
+        self.shared = spark.sparkContext.broadcast(model)
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        known = self.shared.value
+        words = [words_of(t) for t in texts]
+        langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        if known.languages:
+            if known.key not in _SCORES:
+                _SCORES.clear()
+                _SCORES[known.key] = Scores(known)
+            memory = _SCORES[known.key]
+            memory.add(set().union(*words))
+            for i, some in enumerate(words):
+                if some:
+                    places = np.fromiter(map(memory.places.__getitem__, some), dtype=np.int64, count=len(some))
+                    total = memory.rows[places].sum(axis=0)
+                    best = int(total.argmax())
+                    langs[i], scores[i] = known.languages[best], 1 / np.exp(total - total[best]).sum()
+        return langs, scores
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`id, lang_pred, score` of every row; see `identify`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    predictor = Predictor(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        if known.key not in _SCORES:
-            _SCORES.clear()
-            _SCORES[known.key] = Scores(known)
-        memory = _SCORES[known.key]
         for whole in batches:
             for at in range(0, whole.num_rows, 500):  # bounds what is held besides the batch
                 batch = whole.slice(at, 500)
-                texts = [words_of(t) for t in batch.column(1).to_pylist()]
-                langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-                if known.languages:
-                    memory.add(set().union(*texts))
-                    for i, words in enumerate(texts):
-                        if words:
-                            places = np.fromiter(map(memory.places.__getitem__, words), dtype=np.int64, count=len(words))
-                            total = memory.rows[places].sum(axis=0)
-                            best = int(total.argmax())
-                            langs[i], scores[i] = known.languages[best], 1 / np.exp(total - total[best]).sum()
+                langs, scores = predictor(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], ["_id", "lang_pred", "score"])
 

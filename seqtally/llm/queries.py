@@ -12,6 +12,7 @@ from seqtally.llm.html_extract import extract
 from seqtally.llm.jaccard_join import jaccard_components
 from seqtally.llm.language_id import identify
 from seqtally.llm.license_scan import license_labels
+from seqtally.llm.mixing import mixture
 from seqtally.llm.packing import pack_documents
 from seqtally.llm.repeat_removal import repeat_digest
 from seqtally.llm.sharding import shard_documents
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope_dedup": lambda spark, sf_dir: near_duplicates(read(spark, sf_dir, "embeddings")),
     "op2_best_fit_packing": lambda spark, sf_dir: pack_documents(read(spark, sf_dir, "documents")),
     "op3_block_pruned_top_k": top_k,
+    "op4_hierarchical_mixing": lambda spark, sf_dir: mixture(read(spark, sf_dir, "documents")),
     "op5_voronoi_jaccard_join": lambda spark, sf_dir: jaccard_components(read(spark, sf_dir, "documents")),
     "op6_suffix_array_dedup": lambda spark, sf_dir: repeat_digest(read(spark, sf_dir, "documents")),
     "op7_page_differencing": lambda spark, sf_dir: extract(read(spark, sf_dir, "pages")),

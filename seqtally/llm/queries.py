@@ -13,6 +13,7 @@ from seqtally.llm.jaccard_join import jaccard_components
 from seqtally.llm.language_id import identify
 from seqtally.llm.license_scan import license_labels
 from seqtally.llm.mixing import mixture
+from seqtally.llm.oracle import SQL  # noqa: F401
 from seqtally.llm.packing import pack_documents
 from seqtally.llm.repeat_removal import repeat_digest
 from seqtally.llm.sharding import shard_documents
@@ -36,5 +37,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_virtual_slot_shards": lambda spark, sf_dir: shard_documents(read(spark, sf_dir, "documents")),
     "op10_language_id": lambda spark, sf_dir: identify(read(spark, sf_dir, "documents")),
 }
-
-SQL: dict[str, str] = {}

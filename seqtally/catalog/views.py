@@ -179,6 +179,20 @@ VIEWS: dict[str, str] = {
         select 'Host' as db, cast(doc_id as string) as read_id from {labels} where toxic = 1
         union all select 'rRNA', cast(doc_id as string) from {labels} where quality = 0
         union all select 'Host', cast(doc_id as string) from {labels} where toxic = 1 and quality = 0""",
+    # The same read ids in two samples.
+    "sample_reads": """
+        select cast(cast(floor(doc_id / 2) as bigint) as string) as read_id,
+          case when doc_id % 2 = 0 then 'S1' else 'S2' end as sample, lang, text as seq, doc_id as ord from {documents}""",
+    "sample_hits": """
+        select case when quality = 0 then 'rRNA' else 'Host' end as db,
+          cast(cast(floor(doc_id / 2) as bigint) as string) as read_id,
+          case when doc_id % 2 = 0 then 'S1' else 'S2' end as sample from {labels} where toxic = 1 or quality = 0""",
+    "sample_pileup": """
+        select 'S1' as sample, seq_id, pos, ref, depth, bases from {pileup}
+        union all select 'S2', seq_id, pos, ref, depth, bases from {pileup} where pos % 3 = 0""",
+    "sample_genes": """
+        select case when species like '%1%' or species = 'Unknown' then 'S1' else 'S2' end as sample, orf_id, species, ko, frac
+        from {gene_ann}""",
     "catalog": """
         select s_nationkey as species_ti, s_suppkey as taxid, s_name as name, 's' || cast(s_suppkey as string) as acc,
           s_suppkey as ord from {supplier}""",

@@ -97,7 +97,8 @@ def expected_breadth(depth: Column | str) -> Column:
 
 
 def overlap(b1: Column, e1: Column, b2: Column, e2: Column) -> Column:
-    return F.greatest(F.least(e1, e2) - F.greatest(b1, b2), F.lit(0))
+    """End minus begin of the common part: 0 for disjoint intervals, negative for a reversed one inside another."""
+    return F.when((e2 < b1) | (b2 > e1), F.lit(0)).otherwise(F.least(e1, e2) - F.greatest(b1, b2))
 
 
 def index_quartiles(values: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from seqtally.functions.expr import (EXACT, FIRST_IN_PAIR, MATE_UNMAPPED, PAIRED, PROPER_PAIR, SECOND_IN_PAIR,
                                      UNMAPPED, flag_is, trunc_to)
-from seqtally.operators.common import keep_or_drop, names, pick_first, with_group_total
+from seqtally.operators.common import keep_or_drop, names, with_group_total
 
 UNPLACED = "*"
 
@@ -23,10 +23,6 @@ def _placed(aln: DataFrame) -> DataFrame:
     return aln.where(F.col("ref_id").cast("string") != UNPLACED)
 
 
-def _row(aln: DataFrame) -> Column:
-    return F.struct(*aln.columns)
-
-
 def _mate(number: int) -> Column:
     first = flag_is("flag", FIRST_IN_PAIR)
     return first if number == 1 else flag_is("flag", SECOND_IN_PAIR) & ~first
@@ -38,29 +34,38 @@ def _concordant() -> Column:
 
 
 def _first_of_each_mate(kept: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Order, reference and mate reference of the first row of each mate: no sequence or quality is moved."""
+    row = F.struct("ord", "ref_id", "mate_ref")
     return kept.groupBy(*names(by, "read_id")).agg(
-        pick_first(_row(kept), F.col("ord"), _mate(1)).alias("r1"),
-        pick_first(_row(kept), F.col("ord"), _mate(2)).alias("r2"))
+        F.min(F.when(_mate(1), row)).alias("r1"), F.min(F.when(_mate(2), row)).alias("r2"))
 
 
-def _emit(pairs: DataFrame, second: Column | None = None) -> DataFrame:
-    second = F.col("r2") if second is None else second
-    return (pairs.select(F.explode(F.array(F.col("r1"), second)).alias("row"))
-            .where(F.col("row").isNotNull()).select("row.*"))
+def _fetch(kept: DataFrame, pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The whole rows of the chosen mates, met on read and order."""
+    key = names(by, "read_id")
+    chosen = (pairs.select(*key, F.explode(F.array(F.col("r1.ord"), F.col("r2.ord"))).alias("ord"))
+              .where(F.col("ord").isNotNull()))
+    return kept.join(chosen, [*key, "ord"], "left_semi").select(*kept.columns)
 
 
-def top_pair(aln: DataFrame, min_score: int, by: Sequence[str] = ()) -> DataFrame:
-    """First alignment of each mate, when both exist, are proper pairs and agree on the reference."""
-    kept = _placed(aln).where(
+def _good_pairs(aln: DataFrame, min_score: int) -> DataFrame:
+    return _placed(aln).where(
         (F.col("score") >= min_score) & flag_is("flag", PAIRED) & flag_is("flag", PROPER_PAIR)
         & ~flag_is("flag", UNMAPPED) & ~flag_is("flag", MATE_UNMAPPED))
-    return _emit(_first_of_each_mate(kept, by).where(_concordant()))
 
 
-def _pair_or_single(aln: DataFrame, min_score: int, proper: bool, by: Sequence[str]) -> DataFrame:
+def top_pair(aln: DataFrame, min_score: int, by: Sequence[str] = ()) -> DataFrame:
+    """First alignment of each mate, when both exist, are proper pairs and agree on the reference."""
+    kept = _good_pairs(aln, min_score)
+    return _fetch(kept, _first_of_each_mate(kept, by).where(_concordant()), by)
+
+
+def _any_or_single(aln: DataFrame, min_score: int, proper: bool) -> DataFrame:
     kept = _placed(aln).where(F.col("score") >= min_score)
-    if proper:
-        kept = kept.where(~flag_is("flag", PAIRED) | flag_is("flag", PROPER_PAIR))
+    return kept.where(~flag_is("flag", PAIRED) | flag_is("flag", PROPER_PAIR)) if proper else kept
+
+
+def _pair_or_single(kept: DataFrame, proper: bool, by: Sequence[str]) -> DataFrame:
     pairs = _first_of_each_mate(kept, by)
     both = F.col("r1").isNotNull() & F.col("r2").isNotNull()
     any_mate = F.col("r1").isNotNull() | F.col("r2").isNotNull()
@@ -76,12 +81,13 @@ def top_pair_or_single(aln: DataFrame, min_score: int, proper: bool = True, by:
     With `proper` a discordant pair is dropped; without it the first mate of such a pair is kept. Rows that
     are neither first nor second in a pair never count.
     """
-    return _emit(_pair_or_single(aln, min_score, proper, by))
+    kept = _any_or_single(aln, min_score, proper)
+    return _fetch(kept, _pair_or_single(kept, proper, by), by)
 
 
 def kept_read_ids(aln: DataFrame, min_score: int, proper: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Ids of the reads `top_pair_or_single` keeps, one row per read."""
-    return _pair_or_single(aln, min_score, proper, by).select(*names(by, "read_id"))
+    return _pair_or_single(_any_or_single(aln, min_score, proper), proper, by).select(*names(by, "read_id"))
 
 
 def top_scored(aln: DataFrame, min_score: int = 75, by: Sequence[str] = ()) -> DataFrame:

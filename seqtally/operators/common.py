@@ -12,20 +12,21 @@ def names(by: Sequence[str], *more: str) -> list[str]:
     return [*by, *more]
 
 
-def pick_first(row: Column, order: Column, when: Column | None = None) -> Column:
-    """Row with the smallest `order` among those matching `when`: a combinable aggregate, no window."""
-    return F.min_by(row, order if when is None else F.when(when, order))
+def _told_apart(rows: DataFrame) -> list[Column]:
+    """What tells rows apart cheaply: the order column with the ids next to it, or everything."""
+    narrow = [n for n, kind in rows.dtypes if n == "ord" or kind in ("int", "bigint")]
+    return [F.col(c) for c in (narrow if "ord" in rows.columns else rows.columns)]
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", spread: int = 8) -> DataFrame:
     """Join fact rows to a lookup with one row per key, safe when one key owns a large share of the rows.
 
-    Each row takes one of `spread` lanes from a hash of its content and every lookup row is offered in all
-    lanes, so a key's rows are split over `spread` tasks. As the lanes are made above whatever produced the
+    Each row takes one of `spread` lanes from a hash of its order, or of its content without an order, and every
+    lookup row is offered in all lanes, so a key's rows are split over `spread` tasks. As the lanes are made above whatever produced the
     lookup, both sides meet in a fresh exchange: adaptive execution can split a lane further, or turn the
     join into a broadcast once it has measured the lookup.
     """
-    lane = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(spread)).cast("int")
+    lane = F.pmod(F.xxhash64(*_told_apart(rows)), F.lit(spread)).cast("int")
     offered = lookup.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return rows.withColumn("_lane", lane).join(offered, [*on, "_lane"], how).drop("_lane")
 

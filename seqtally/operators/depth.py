@@ -44,15 +44,18 @@ def breadth(pileup: DataFrame, index: DataFrame, min_depth: int = 2, min_breadth
             .where(F.col("breadth") > min_breadth).select(*names(by, "taxid"), "covered", "length", "breadth"))
 
 
-def keep_passing(pileup: DataFrame, taxa: DataFrame) -> DataFrame:
-    """Pileup rows of the listed taxids, matched on the taxid in the id rather than by text search."""
+def keep_passing(pileup: DataFrame, taxa: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pileup rows of the listed taxids, matched on the taxid in the id rather than by text search.
+
+    With `by`, a sample's list opens the rows of that sample only.
+    """
     keyed = pileup.withColumn("_t", extract_tag("seq_id", "taxid").cast("long"))
-    listed = taxa.select(F.col("taxid").cast("long").alias("_t")).distinct()
-    return keyed.join(checked_broadcast(cut_lineage(listed)), "_t", "left_semi").drop("_t")
+    listed = taxa.select(*by, F.col("taxid").cast("long").alias("_t")).distinct()
+    return keyed.join(checked_broadcast(cut_lineage(listed)), names(by, "_t"), "left_semi").drop("_t")
 
 
-def pileup_alleles(pileup: DataFrame) -> DataFrame:
-    """`seq_id, pos, ref, allele, n` from the base column of a pileup.
+def pileup_alleles(pileup: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`seq_id, pos, ref, allele, n` from the base column of a pileup, for each `by` group.
 
     `.` and `,` are the reference, `^x` and `$` mark read ends, `+2AG` / `-2AG` are an insertion or deletion
     (written `+AG` / `-AG`) that belongs to the base before it, `*` is a gap.
@@ -70,8 +73,9 @@ def pileup_alleles(pileup: DataFrame) -> DataFrame:
     plain = F.concat(F.regexp_replace(bases, r"[+-]\d+[ACGTN]+", ""), F.array_join(extra, ""))
     letters = F.filter(F.split(plain, ""), lambda x: x.rlike("[ACGTN.,]"))
     named = F.transform(letters, lambda x: F.when(x.isin(".", ","), F.upper("ref")).otherwise(x))
-    return (pileup.select("seq_id", "pos", F.upper("ref").alias("_ref"), F.explode(F.concat(named, cut)).alias("allele"))
-            .groupBy("seq_id", "pos", F.col("_ref").alias("ref"), "allele").agg(F.count(F.lit(1)).alias("n")))
+    return (pileup.select(*names(by, "seq_id", "pos"), F.upper("ref").alias("_ref"),
+                          F.explode(F.concat(named, cut)).alias("allele"))
+            .groupBy(*names(by, "seq_id", "pos"), F.col("_ref").alias("ref"), "allele").agg(F.count(F.lit(1)).alias("n")))
 
 
 def call_variants(alleles: DataFrame, min_cov: int = 3, min_reads2: int = 2, min_freq: float = 0.66,
@@ -109,7 +113,11 @@ def variant_presence(variants: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def variant_matrix(variants: DataFrame, samples: Sequence[str], sample: str = "sample") -> DataFrame:
-    """Presence (0/1) of every variant of every taxid across the samples, in one grouping."""
-    seen = variant_presence(variants, [sample]).groupBy("taxid", "variant")
-    return seen.agg(*[F.max(F.when(F.col(sample) == s, F.col("present")).otherwise(0)).alias(s) for s in samples])
+    """Presence (0/1) of every variant of every taxid across the samples.
+
+    Repeated calls are one before the pivot. Variants seen only in samples that are not listed have a row of zeros.
+    """
+    seen = variant_presence(variants, [sample]).distinct()
+    wide = seen.groupBy("taxid", "variant").pivot(sample, list(samples)).agg(F.max("present"))
+    return wide.select("taxid", "variant", *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).alias(s) for s in samples])
 

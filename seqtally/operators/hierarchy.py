@@ -172,22 +172,31 @@ def level_rollup(abundance: DataFrame, leaves: DataFrame, nodes: DataFrame, leve
         .alias("r_depth_adj")).orderBy("level", "file", "node_ord", *by)
 
 
-def full_listing(leaves: DataFrame, abundance: DataFrame) -> DataFrame:
-    """Every leaf of a hierarchy with its KO's numbers, zero when not found; ids run per file."""
+def full_listing(leaves: DataFrame, abundance: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every leaf of a hierarchy with its KO's numbers, zero when not found; ids run per file.
+
+    With `by`, every leaf for every sample that has a profile: a sample's numbers are gathered per KO, at most one
+    row per sample, and spread over the leaves.
+    """
     numbers = ["depth", "depth_adj", "abundance", "abundance_adj", "r_depth", "r_depth_adj"]
-    return (leaves.join(abundance.select("ko", *numbers), "ko", "left")
-            .select("file", (F.col("leaf_ord") + FIRST_LEAF_ID).alias("id"), "A", "B", "C", "D", "ko", "descr",
+    rows = leaves
+    if by:
+        samples = abundance.select(*by).distinct()
+        rows = leaves.withColumn("_by", F.explode(scalar_of(samples, F.collect_list(F.struct(*by))))).select("*", "_by.*")
+    return (rows.join(abundance.select(*names(by, "ko"), *numbers), names(by, "ko"), "left")
+            .select(*by, "file", (F.col("leaf_ord") + FIRST_LEAF_ID).alias("id"), "A", "B", "C", "D", "ko", "descr",
                     *[F.coalesce(n, F.lit(0.0)).alias(n) for n in numbers])
-            .orderBy("file", "id"))
+            .orderBy(*by, "file", "id"))
 
 
 def per_taxon_profiles(orf_ann: DataFrame, scope: DataFrame, single_copy: DataFrame, key: str = "species",
-                       depth: DataFrame | None = None, min_ref: float = 0.3) -> DataFrame:
-    """`ko_abundance` within each value of `key` that shows enough of the single-copy reference KOs."""
+                       depth: DataFrame | None = None, min_ref: float = 0.3, by: Sequence[str] = ()) -> DataFrame:
+    """`ko_abundance` within each value of `key` (and sample) that shows enough of the single-copy reference KOs."""
     known = orf_ann.where(F.col(key).isNotNull() & ~F.col(key).contains("Unknown"))
     n_ref = scalar_of(single_copy, F.count_distinct("ko"))
-    shown = (known.select(key, "ko").distinct().join(single_copy.select("ko"), "ko", "left_semi")
-             .groupBy(key).agg(F.count(F.lit(1)).alias("_refs"))
-             .where(F.col("_refs") >= n_ref * F.lit(min_ref)).select(key))
+    shown = (known.select(*names(by, key, "ko")).distinct().join(single_copy.select("ko"), "ko", "left_semi")
+             .groupBy(*names(by, key)).agg(F.count(F.lit(1)).alias("_refs"))
+             .where(F.col("_refs") >= n_ref * F.lit(min_ref)).select(*names(by, key)))
     # The profile is made first: it is KO-sized, while the genes of one species can be most of the table.
-    return ko_abundance(known, scope, depth, single_copy, by=[key]).join(shown, key, "left_semi")
+    profiles = ko_abundance(known, scope, depth, single_copy, by=names(by, key))
+    return profiles.join(shown, names(by, key), "left_semi")

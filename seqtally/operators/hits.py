@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, overlap, trunc_to
-from seqtally.operators.common import names, pick_first, scalar_of, with_group_total
+from seqtally.operators.common import names, scalar_of, with_group_total
 from seqtally.session import cut_lineage
 
 FRAC = 0.5
@@ -20,23 +20,28 @@ MAX_HOT = 1_000_000
 
 
 def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -> DataFrame:
-    """First hit of each query with an e-value of at most `max_evalue`."""
-    row = F.struct(*hits.columns)
-    return (hits.where(F.col("evalue") <= max_evalue).groupBy(*names(by, "query"))
-            .agg(pick_first(row, F.col("ord")).alias("_row")).select("_row.*"))
+    """First hit of each query with an e-value of at most `max_evalue`.
 
+    Chosen on narrow columns; the whole rows are then met on query and order.
+    """
+    key = names(by, "query")
+    rows = hits.where(F.col("evalue") <= max_evalue)
+    first = rows.groupBy(*key).agg(F.min("ord").alias("ord"))
+    return rows.join(first, [*key, "ord"], "left_semi").select(*hits.columns)
 
-def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str]) -> DataFrame:
-    """Greedy choice inside groups of known, moderate size: one sorted array per group, folded in order."""
-    grouped = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("ord", "_b", "_e", *payload))).alias("_h"))
 
-    def conflicts(kept: Column, hit: Column) -> Column:
-        return F.exists(kept, lambda k: overlap(k["_b"], k["_e"], hit["_b"], hit["_e"])
-                        > (hit["_e"] - hit["_b"] + 1) * frac)
+def _strikes(kept: Column, hit: Column, frac: float) -> Column:
+    """Whether an accepted interval excludes another. Both ways below decide by this."""
+    return overlap(kept["_b"], kept["_e"], hit["_b"], hit["_e"]) > (hit["_e"] - hit["_b"] + 1) * frac
 
+
+def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str]) -> DataFrame:
+    """Greedy choice inside groups of known, moderate size: one sorted array per group, folded in order."""
+    grouped = rows.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("ord", "_tie", "_b", "_e", *payload))).alias("_h"))
     empty = F.filter(F.col("_h"), lambda h: F.lit(False))
-    kept = F.aggregate(F.col("_h"), empty,
-                       lambda acc, h: F.when(conflicts(acc, h), acc).otherwise(F.concat(acc, F.array(h))))
+    kept = F.aggregate(F.col("_h"), empty, lambda acc, h: F.when(
+        F.exists(acc, lambda k: _strikes(k, h, frac)), acc).otherwise(F.concat(acc, F.array(h))))
     return grouped.select(*key, F.explode(kept).alias("_k")).select(*key, "_k.*")
 
 
@@ -47,25 +52,27 @@ def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, payload: Seque
     The first `group_limit` remaining hits of a query depend only on earlier ones, so they can be decided
     exactly as a small group. What they accept then strikes out every later conflicting hit, by a join on
     position bins. Two accepted hits of a size cannot share much of the query, so the bins stay short and
-    each round clears far more than it decides. The rest is written for the next round.
+    each round clears far more than it decides. The rest is written for the next round. Hits that agree in all
+    columns are told apart by a number given when they are written.
     """
-    columns = [*key, "ord", "_b", "_e", *payload]
-    rest = cut_lineage(rows.select(*columns))
+    columns = [*key, "ord", "_tie", "_row", "_b", "_e", *payload]
+    rest = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()).select(*columns))
+    order = ["ord", "_tie", "_row"]
     done: list[DataFrame] = []
     while not rest.isEmpty():
         # First within lanes, so that no task sorts a whole group; then among what the lanes leave.
-        lane = F.pmod(F.xxhash64("ord", "_b", "_e"), F.lit(spread))
-        in_lane = Window.partitionBy(*key, "_lane").orderBy("ord")
-        in_key = Window.partitionBy(*key).orderBy("ord")
+        lane = F.pmod(F.xxhash64("_row"), F.lit(spread))
+        in_lane = Window.partitionBy(*key, "_lane").orderBy(*order)
+        in_key = Window.partitionBy(*key).orderBy(*order)
         head = (rest.withColumn("_lane", lane).withColumn("_n", F.row_number().over(in_lane))
                 .where(F.col("_n") <= group_limit)
                 .withColumn("_n", F.row_number().over(in_key)).where(F.col("_n") <= group_limit)
                 .select(*columns))
         head = cut_lineage(head)
-        last = head.groupBy(*key).agg(F.max("ord").alias("_last"))
-        accepted = cut_lineage(_accept_in_order(head, key, frac, payload).select(*columns))
+        last = head.groupBy(*key).agg(F.max(F.struct(*order)).alias("_last"))
+        accepted = cut_lineage(_accept_in_order(head, key, frac, payload))
         done.append(accepted)
-        undecided = rest.join(hint(last), list(key)).where(F.col("ord") > F.col("_last")).drop("_last")
+        undecided = rest.join(hint(last), list(key)).where(F.struct(*order) > F.col("_last")).drop("_last")
         rest = cut_lineage(_strike_out(undecided, accepted, key, frac, hint))
     return done
 
@@ -75,26 +82,37 @@ def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac:
     """Rows that conflict with no accepted hit.
 
     An overlap longer than `frac` of a hit contains one of the points b + t * frac * length, so a hit needs
-    to look only into the bins of those points, and an accepted hit stands in the bins it covers.
+    to look only into the bins of those points, and an accepted hit stands in the bins it covers. For tiny
+    `frac` it looks into all bins it covers itself. A hit whose end lies before its begin covers nothing: the
+    accepted hits that it is disjoint from are those that end before its begin or begin after its end, and
+    it is enough to know the smallest end and the largest begin.
     """
-    width = accepted.groupBy(*key).agg(
-        F.greatest(F.ceil((F.max("_e") - F.min("_b") + 1) / bins), F.lit(1)).alias("_w"))
+    span = accepted.groupBy(*key).agg(
+        F.greatest(F.ceil((F.max(F.greatest("_b", "_e")) - F.min(F.least("_b", "_e")) + 1) / bins), F.lit(1)).alias("_w"),
+        F.min("_e").alias("_least_e"), F.max("_b").alias("_most_b"))
+    placed = rows.join(hint(span), list(key), "left")
     length = F.col("_e") - F.col("_b") + 1
-    points = F.array(*[F.col("_b") + length * (t * frac) for t in range(1, max(int(1 / frac), 1) + 1)])
-    probe = (rows.join(hint(width), list(key))
-             .select(*key, "ord", "_b", "_e", "_w",
-                     F.explode(F.filter(points, lambda p: p <= F.col("_e"))).alias("_p"))
-             .withColumn("_bin", F.floor(F.col("_p") / F.col("_w"))))
-    held = (accepted.join(hint(width), list(key))
+    turned = F.col("_e") < F.col("_b")
+    apart = (F.col("_least_e") < F.col("_b")) | (F.col("_most_b") > F.col("_e"))
+    struck_turned = F.coalesce(turned & apart & (length * frac < 0), F.lit(False))
+    forward = placed.where(~struck_turned)
+
+    cells = lambda b, e: F.sequence(F.floor(b / F.col("_w")), F.floor(e / F.col("_w")))
+    if frac < 1 / 64:
+        looked = cells(F.col("_b"), F.col("_e"))
+    else:
+        points = F.array(*[F.col("_b") + length * (t * frac) for t in range(1, int(1 / frac) + 1)])
+        looked = F.transform(F.filter(points, lambda p: p <= F.col("_e")), lambda p: F.floor(p / F.col("_w")))
+    probe = (forward.where(~turned & F.col("_w").isNotNull())
+             .select(*key, "_row", "_b", "_e", F.explode(F.array_distinct(looked)).alias("_bin")))
+    held = (accepted.where(~turned).join(hint(span.select(*key, "_w")), list(key))
             .select(*key, F.col("_b").alias("_ab"), F.col("_e").alias("_ae"),
-                    F.explode(F.sequence(F.floor(F.col("_b") / F.col("_w")), F.floor(F.col("_e") / F.col("_w"))))
-                    .alias("_bin")))
-    same = [probe[c] == held[c] for c in [*key, "_bin"]]
+                    F.explode(cells(F.col("_b"), F.col("_e"))).alias("_bin")))
     condition = overlap(F.col("_ab"), F.col("_ae"), F.col("_b"), F.col("_e")) > length * frac
-    for equal in same:
-        condition = condition & equal
-    struck = probe.join(held, condition, "left_semi").select(*key, "ord").distinct()
-    return rows.join(struck, [*key, "ord"], "left_anti")
+    for c in [*key, "_bin"]:
+        condition = condition & (probe[c] == held[c])
+    struck = probe.join(held, condition, "left_semi").select(*key, "_row").distinct()
+    return forward.select(*rows.columns).join(struck, [*key, "_row"], "left_anti")
 
 
 def greedy_nonoverlap(hits: DataFrame, max_evalue: float | None = 1e-3, frac: float = FRAC,
@@ -102,16 +120,19 @@ def greedy_nonoverlap(hits: DataFrame, max_evalue: float | None = 1e-3, frac: fl
                       spread: int = 64) -> DataFrame:
     """Hits accepted in order: one is left out when it overlaps an accepted hit by more than `frac` of itself.
 
-    Queries with up to `group_limit` hits are decided in one pass. Their number of hits is counted first (a
-    combinable, two-column aggregation), and queries beyond the limit take the exact multi-round way.
+    Hits of equal `ord` follow each other by the content of the row, so the choice does not depend on how rows are
+    dealt out. Queries with up to `group_limit` hits are decided in one pass, those with more in rounds; the
+    result is the same for every limit. `frac` lies between 0 and 1.
     """
+    if not 0 <= frac <= 1:
+        raise ValueError("frac must lie between 0 and 1")
     key = names(by, "query")
     payload = [c for c in hits.columns if c not in (*key, "ord")]
     rows = hits if max_evalue is None else hits.where(F.col("evalue") <= max_evalue)
     low, high = F.col("q_b"), F.col("q_e")
     if normalize_strand:
         low, high = F.least("q_b", "q_e"), F.greatest("q_b", "q_e")
-    rows = rows.withColumn("_b", low).withColumn("_e", high)
+    rows = rows.withColumn("_b", low).withColumn("_e", high).withColumn("_tie", F.xxhash64(*payload))
     hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_hits")).where(F.col("_hits") > group_limit).select(*key)
     if hot.isEmpty():
         out = _accept_in_order(rows, key, frac, payload)

@@ -28,8 +28,9 @@ def merge_samples(long: DataFrame, samples: Sequence[str], ids: Sequence[str] =
     cells = rows.groupBy(*ids, "sample").agg(
         F.max_by(value, F.col(order)).alias("_v"),
         *([F.min(F.struct("_at", F.col(order).alias("_o"), F.struct(*ann).alias("a"))).alias("_a")] if ann else []))
-    per_sample = [F.max(F.when(F.col("sample") == s, F.col("_v"))).alias(s) for s in samples]
-    wide = cells.groupBy(*ids).agg(*per_sample, *([F.min("_a").alias("_a")] if ann else []))
+    wide = cells.groupBy(*ids).pivot("sample", list(samples)).agg(F.max("_v"))
+    if ann:  # narrow: a row per feature
+        wide = wide.join(cells.groupBy(*ids).agg(F.min("_a").alias("_a")), list(ids))
     columns = [F.coalesce(F.col(f"`{s}`"), F.lit(missing)).alias(s) for s in samples]
     described = [F.col("_a.a")[c].alias(c) for c in ann]
     if not stats:

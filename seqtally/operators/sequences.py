@@ -45,16 +45,22 @@ def sort_by_len(seq: DataFrame, decreasing: bool = True) -> DataFrame:
     return lengths.orderBy(F.desc("length") if decreasing else F.col("length"), "ord")
 
 
+def file_number(name: Column) -> Column:
+    """(part, split) numbers of a file that Spark wrote; as text, part 100000 would come before part 20000."""
+    return F.struct(F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("part"),
+                    F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long").alias("split"))
+
+
 def numbered(df: DataFrame, order: str = "ord", start: int = 1, by: Sequence[str] = ()) -> DataFrame:
     """Add `number`: start, start + 1, ... in the given order, separately within each `by` group.
 
-    The rows are range-sorted and written out, which fixes their place: the files follow the order by name and
-    a row knows its index in its file. A row then needs just the sizes of the files before its own, a table
-    of one row per file (and group). No task ever sees more than its range.
+    The rows are range-sorted and written out, which fixes their place: the files follow the order by the part and
+    split numbers in their names, and a row knows its index in its file. A row then needs just the sizes of the
+    files before its own, a table of one row per file (and group). No task ever sees more than its range.
     """
     columns = df.columns
     placed = cut_lineage(df.orderBy(*by, order)).select(
-        *columns, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_pos"))
+        *columns, file_number(F.col("_metadata.file_name")).alias("_file"), F.col("_metadata.row_index").alias("_pos"))
     sizes = placed.groupBy(*by, "_file").agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
@@ -124,22 +130,25 @@ def _keyed(seq: DataFrame, key: str, tag: str | None) -> DataFrame:
     return seq.withColumn("_id", extract_tag("header", tag) if tag else F.col(key).cast("string"))
 
 
-def _id_list(ids: DataFrame, column: str) -> DataFrame:
+def _id_list(ids: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """Ids as given in list files: `>` and anything after the first white space do not count."""
     text = F.regexp_replace(F.regexp_replace(F.col(column).cast("string"), r"\s.*$", ""), "^>", "")
-    return ids.select(text.alias("_id"))
+    return ids.select(*by, text.alias("_id"))
 
 
 def fetch_by_ids(seq: DataFrame, ids: DataFrame, tag: str | None = None, key: str = "seq_id",
-                 id_col: str = "id") -> DataFrame:
-    """Records whose id (or `tag|N` in the header) is listed. A header without the tag is not selected."""
-    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col), ["_id"], "left_semi").drop("_id")
+                 id_col: str = "id", by: Sequence[str] = ()) -> DataFrame:
+    """Records whose id (or `tag|N` in the header) is listed. A header without the tag is not selected.
+
+    With `by`, a list counts for the records of its own sample only.
+    """
+    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_semi").drop("_id")
 
 
 def exclude_ids(seq: DataFrame, ids: DataFrame, tag: str | None = None, key: str = "seq_id",
-                id_col: str = "id") -> DataFrame:
-    """Records whose id is not listed."""
-    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col), ["_id"], "left_anti").drop("_id")
+                id_col: str = "id", by: Sequence[str] = ()) -> DataFrame:
+    """Records whose id is not listed (for their sample, with `by`)."""
+    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_anti").drop("_id")
 
 
 def fetch_large(store: DataFrame, ids: DataFrame, headers: DataFrame | None = None, tag: str | None = None,
@@ -174,24 +183,24 @@ def pass_depth(orf: DataFrame, depth: DataFrame, by: Sequence[str] = ()) -> Data
     return spread_join(genes, known, names(by, "contig")).select(*names(by, "orf_id"), "depth")
 
 
-def filter_reads(reads: DataFrame, hits_by_db: DataFrame, key: str = "read_id") -> DataFrame:
-    """Reads that hit none of the host and contaminant databases in `hits_by_db(db, read_id)`."""
-    hits = hits_by_db.select(F.col("read_id").alias(key))
-    return keep_or_drop(reads, hits, [key], "left_anti")
+def filter_reads(reads: DataFrame, hits_by_db: DataFrame, key: str = "read_id", by: Sequence[str] = ()) -> DataFrame:
+    """Reads that hit none of the host and contaminant databases in `hits_by_db(<by>, db, read_id)`."""
+    hits = hits_by_db.select(*by, F.col("read_id").alias(key))
+    return keep_or_drop(reads, hits, names(by, key), "left_anti")
 
 
-def filter_summary(hits_by_db: DataFrame, both: str = "both") -> DataFrame:
+def filter_summary(hits_by_db: DataFrame, both: str = "both", by: Sequence[str] = ()) -> DataFrame:
     """Distinct reads hit per database, and in any of them."""
-    pairs = hits_by_db.select("db", "read_id").distinct()
-    per = pairs.groupBy("db").agg(F.count(F.lit(1)).alias("reads"))
-    union = (pairs.select("read_id").distinct().agg(F.count(F.lit(1)).alias("reads"))
-             .select(F.lit(both).alias("db"), "reads"))
+    pairs = hits_by_db.select(*names(by, "db", "read_id")).distinct()
+    per = pairs.groupBy(*names(by, "db")).agg(F.count(F.lit(1)).alias("reads"))
+    union = (pairs.select(*names(by, "read_id")).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("reads"))
+             .select(*by, F.lit(both).alias("db"), "reads"))
     return per.unionByName(union)
 
 
-def with_host_rows(superkingdoms: DataFrame, summary: DataFrame) -> DataFrame:
+def with_host_rows(superkingdoms: DataFrame, summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Superkingdom read table followed by the reads removed per database."""
-    rows = summary.select(F.lit(None).cast("long").alias("taxid"), F.col("db").alias("superkingdom"), "reads")
+    rows = summary.select(*by, F.lit(None).cast("long").alias("taxid"), F.col("db").alias("superkingdom"), "reads")
     return superkingdoms.unionByName(rows)
 
 

@@ -39,7 +39,7 @@ def _taxon_matrices() -> list[Matrix]:
 def _function_matrices() -> list[Matrix]:
     metrics = [("depth", "depth"), ("depth-adjusted", "depth_adj"), ("R.depth", "r_depth"),
                ("R.depth-adjusted", "r_depth_adj")]
-    out = [Matrix(f"KO-{label}", "full_listing", ["id"], value, ["A", "B", "C", "ko", "descr"])
+    out = [Matrix(f"KO-{label}", "full_listing", ["file", "id"], value, ["A", "B", "C", "ko", "descr"])
            for label, value in metrics]
     for level in "ABCD":
         out += [Matrix(f"level-{level}-{label}", "levels", ["file", "node"], value, ["descr"], 0, {"level": level})

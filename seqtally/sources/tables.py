@@ -31,7 +31,7 @@ def _columns(lines: DataFrame, pattern: str, schema: Sequence[tuple[str, int, st
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
-    """Alignment rows with score and tags; header lines and unplaced rows (reference `*`) are left out."""
+    """Alignment rows with score and tags, those without a place (reference `*`) included; no header lines."""
     fixed = [("read_id", 0, "string"), ("flag", 1, "int"), ("ref_id", 2, "string"), ("pos", 3, "int"),
              ("mapq", 4, "int"), ("cigar", 5, "string"), ("mate_ref", 6, "string"), ("mate_pos", 7, "int"),
              ("tlen", 8, "int"), ("seq", 9, "string"), ("qual", 10, "string")]
@@ -43,11 +43,12 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     return rows.select(
         *[_at(F.col("_p"), i).cast(kind).alias(name) for name, i, kind in fixed], tags.alias("tags"),
         F.when(score != "", score.cast("int")).alias("score"), F.col("value").alias("raw"),
-        *(["ord"] if "ord" in lines.columns else [])).where(F.col("ref_id") != "*")
+        *(["ord"] if "ord" in lines.columns else []))
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_sam(read_lines(spark, path))
+    """The lines are landed once: choosing alignments joins rows on their order."""
+    return parse_sam(read_lines(spark, path, land=True))
 
 
 def sam_headers(lines: DataFrame) -> DataFrame:

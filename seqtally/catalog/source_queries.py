@@ -33,7 +33,7 @@ register("read_sam", lambda v: ts.parse_sam(_sam_lines(v)).select(
     F.size("tags").alias("n_tags")), """
     select cast(read_id as varchar) as read_id, flag, ref_id, cast(pos as int) as pos, 60 as mapq, '100M' as cigar, mate_ref,
       5 as mate_pos, -7 as tlen, case when flag <> 67 then score end as score, case when flag <> 67 then 3 else 0 end as n_tags
-    from {aln} where ref_id <> '*'""")
+    from {aln}""")
 register("sam_headers", lambda v: ts.sam_headers(_sam_lines(v)),
          "select '@SQ' || chr(9) || 'SN:' || ref_id || chr(9) || 'LN:' || length as value from {ref}")
 

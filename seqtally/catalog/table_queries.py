@@ -180,8 +180,8 @@ _CALL = """
     from (select *, sum(case when allele like '+%%' then 0 else n end) over (partition by seq_id, pos) as cov from {allele}) x
     where %s and cov >= 3 and n >= 2 and n / cov >= %s
     qualify row_number() over (partition by seq_id, pos order by n desc, allele) = 1"""
-register("call_variants", lambda v: dp.call_variants(dp.pileup_alleles(v.pileup)),
-         _CALL % ("allele not like '+%' and allele <> ref", 0.66), ALLELES)
+register("call_variants", lambda v: dp.call_variants(dp.pileup_alleles(v.pileup), min_freq=0.3),
+         _CALL % ("allele not like '+%' and allele <> ref", 0.3), ALLELES)
 register("call_variants_indel", lambda v: dp.call_variants(dp.pileup_alleles(v.pileup), min_freq=0.3, kind="indel"),
          _CALL % ("allele like '+%'", 0.3), ALLELES)
 register("variant_loc", lambda v: dp.variant_loc(v.variant),

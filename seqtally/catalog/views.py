@@ -22,7 +22,7 @@ _SK = "case {k} when 0 then 2 when 1 then 2157 when 2 then 2759 when 3 then 1023
 _ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 
 VIEWS: dict[str, str] = {
-    # Alignments: eight references, multi-mapped reads, pairs and single ends, some rows without a place.
+    # Alignments: a reference per supplier, multi-mapped reads, pairs and single ends, some rows without a place.
     "aln": f"""
         select l_orderkey as read_id,
           case when l_orderkey % 10 = 0 then 0 else 1
@@ -30,9 +30,9 @@ VIEWS: dict[str, str] = {
             + case when l_discount > 0.095 then 4 else 0 end
             + case when l_discount < 0.005 then 8 else 0 end
             + case when l_linenumber % 2 = 1 then 64 else 128 end end as flag,
-          case when l_tax > 0.075 then '*' else 'acc|A' || cast(l_suppkey % 8 as string) || '|taxid|'
-            || cast({STRAIN} + l_suppkey % 8 as string) end as ref_id,
-          case when l_tax > 0.075 then null else {STRAIN} + l_suppkey % 8 end as taxid,
+          case when l_tax > 0.075 then '*' else 'acc|A' || cast(l_suppkey as string) || '|taxid|'
+            || cast({STRAIN} + l_suppkey as string) end as ref_id,
+          case when l_tax > 0.075 then null else {STRAIN} + l_suppkey end as taxid,
           l_partkey as pos,
           case when l_linestatus = 'F' or l_returnflag = 'A' then '=' else 'other' end as mate_ref,
           2 * cast(l_quantity as int) as score, @ORD@ as ord
@@ -57,22 +57,22 @@ VIEWS: dict[str, str] = {
         select {STRAIN} + s_suppkey, {SPECIES} + cast(floor(s_suppkey / 3) as bigint), 'strain', s_name
         from {{supplier}}""",
     "leaves": f"select {STRAIN} + s_suppkey as taxid from {{supplier}}",
-    # Classifier rows, accessions (taxid 5 is covered very unevenly) and the taxids its report lists.
+    # Classifier rows, accessions (every eighth taxid is covered very unevenly) and the taxids its report lists.
     "cls": f"""
-        select l_orderkey as read_id, {STRAIN} + l_suppkey % 8 as taxid,
-          'acc|' || cast(l_suppkey % 8 as string) || '_'
+        select l_orderkey as read_id, {STRAIN} + l_suppkey as taxid,
+          'acc|' || cast(l_suppkey as string) || '_'
             || cast(case when l_suppkey % 8 = 5 then 0 else l_partkey % 3 end as string) as seq_id,
           3 * cast(l_quantity as int) as hit_len, 150 + l_linenumber as query_len, @ORD@ as ord
         from {{lineitem}}""",
     "acc": f"""
         select 'acc|' || cast(s_suppkey as string) || '_0' as acc, {STRAIN} + s_suppkey as taxid,
-          case when s_suppkey = 5 then 50 else 400 + 7 * s_suppkey end as length from {{supplier}}
+          case when s_suppkey % 8 = 5 then 50 else 400 + 7 * s_suppkey end as length from {{supplier}}
         union all
         select 'acc|' || cast(s_suppkey as string) || '_1', {STRAIN} + s_suppkey,
-          case when s_suppkey = 5 then 900000000 else 500 + 7 * s_suppkey end from {{supplier}}
+          case when s_suppkey % 8 = 5 then 900000000 else 500 + 7 * s_suppkey end from {{supplier}}
         union all
         select 'acc|' || cast(s_suppkey as string) || '_2', {STRAIN} + s_suppkey, 600 + 7 * s_suppkey from {{supplier}}""",
-    "report": f"select {STRAIN} + s_suppkey as taxid from {{supplier}} where s_suppkey <> 4",
+    "report": f"select {STRAIN} + s_suppkey as taxid from {{supplier}} where s_suppkey % 8 <> 4",
     # Reads on contigs (a contig per customer), the genomes they also map to, and host alignments.
     "contig": """
         select 'ctg' || cast(c_custkey as string) as contig, 500 + 10 * (c_custkey % 50) as length from {customer}""",
@@ -83,10 +83,11 @@ VIEWS: dict[str, str] = {
     "contig_ref": f"""
         select l_orderkey as read_id, 3 + case when l_linenumber % 2 = 1 then 64 else 128 end as flag,
           2 * cast(l_quantity as int) as score,
-          {STRAIN} + case when o_custkey % 2 = 0 and l_linenumber <> 5 then o_custkey % 4 else l_suppkey % 4 end as taxid
+          {STRAIN} + case when o_custkey % 2 = 0 and l_linenumber <> 5 then o_custkey % (select count(*) from {{supplier}})
+            else l_suppkey end as taxid
         from {{lineitem}} join {{orders}} on o_orderkey = l_orderkey""",
     "paf": f"""
-        select 'ctg' || cast(o_custkey as string) as contig, {STRAIN} + o_custkey % 3 + l_suppkey % 2 as taxid,
+        select 'ctg' || cast(o_custkey as string) as contig, {STRAIN} + o_custkey % (select count(*) - 1 from {{supplier}}) + l_suppkey % 2 as taxid,
           cast(l_quantity as int) as matches
         from {{lineitem}} join {{orders}} on o_orderkey = l_orderkey""",
     # Similarity hits of reads against a family per part.
@@ -133,13 +134,13 @@ VIEWS: dict[str, str] = {
           else 'ctg' || cast(l_partkey as string) || '.' || cast(l_suppkey % 7 as string) end as query,
           'ref|' || cast(p_partkey as string) || '|len|' || cast(100 + p_size as string) as subject,
           50 + l_quantity as pct_iden, 4 * cast(l_quantity as int) as aln_len, l_tax as evalue, @ORD2@ as ord
-        from {lineitem} join {part} on p_partkey = l_orderkey % 200""",
+        from {lineitem} join {part} on p_partkey = l_orderkey % (select count(*) from {part})""",
     "clstr": f"""
         select 'ref|' || cast(p_partkey as string) || '|len|' || cast(100 + p_size as string) as ref_id,
-          case when p_partkey % 5 = p_partkey % 3 then @LIST@({STRAIN} + p_partkey % 5)
-            else @LIST@({STRAIN} + p_partkey % 5, {STRAIN} + p_partkey % 3) end as taxids,
+          case when p_partkey % n = p_partkey % 7 then @LIST@({STRAIN} + p_partkey % n)
+            else @LIST@({STRAIN} + p_partkey % n, {STRAIN} + p_partkey % 7) end as taxids,
           'K' || lpad(cast(p_partkey % 300 as string), 5, '0') as ko, p_name || ' protein' as descr
-        from {{part}}""",
+        from (select *, (select count(*) from {{supplier}}) as n from {{part}}) p""",
     "gene_ann": """
         select orf_id, case when p % 5 = 0 then 'Unknown' else 'Species ' || cast(p % 20 as string) end as species,
           case when n % 11 = 0 then '' else 'K' || lpad(cast(n % 320 as string), 5, '0') end as ko,
@@ -209,17 +210,17 @@ VIEWS: dict[str, str] = {
         from {orders} join {customer} on c_custkey = o_custkey join {nation} on n_nationkey = c_nationkey
           join {region} on r_regionkey = n_regionkey where o_totalprice >= 40000""",
     "variant": """
-        select 'a' || cast(l_suppkey % 8 as string) as acc, l_suppkey % 8 as taxid, l_partkey as position,
+        select 'a' || cast(l_suppkey as string) as acc, l_suppkey as taxid, l_partkey as position,
           l_linestatus as ref, l_returnflag as var, 'S' || cast(l_orderkey % 10 as string) as sample
         from {lineitem}""",
     "depth": """
-        select 'chr' || cast(l_suppkey % 4 as string) as seq_id, l_partkey + 1 as pos,
+        select 'chr' || cast(cast(floor(l_partkey / 500) as bigint) as string) as seq_id, l_partkey + 1 as pos,
           sum(case when l_returnflag = 'A' then 1 else 0 end) as d_a,
           sum(case when l_returnflag = 'N' then 1 else 0 end) as d_n,
           sum(case when l_returnflag = 'R' then 1 else 0 end) as d_r
-        from {lineitem} group by l_suppkey % 4, l_partkey""",
+        from {lineitem} group by l_partkey""",
     "pileup": """
-        select 'acc|A|taxid|' || cast(l_suppkey % 4 as string) as seq_id, l_partkey as pos, 'c' as ref,
+        select 'acc|A|taxid|' || cast(cast(floor(l_partkey / 100) as bigint) as string) as seq_id, l_partkey as pos, 'c' as ref,
           count(*) as depth,
           repeat('.', cast(sum(case when l_returnflag = 'A' then 1 else 0 end) as int))
             || repeat('^~a', cast(sum(case when l_returnflag = 'N' then 1 else 0 end) as int))
@@ -229,11 +230,10 @@ VIEWS: dict[str, str] = {
           sum(case when l_returnflag = 'N' then 1 else 0 end) as n_n,
           sum(case when l_returnflag = 'R' then 1 else 0 end) as n_r,
           sum(case when l_linestatus = 'F' then 1 else 0 end) as n_f
-        from {lineitem} group by l_suppkey % 4, l_partkey""",
+        from {lineitem} group by l_partkey""",
     "genome_index": """
-        select 'acc|A|taxid|' || cast(l_suppkey % 4 as string) as seq_id,
-          cast(floor((max(l_partkey) + 1) * (1 + 0.2 * (l_suppkey % 4))) as bigint) as length
-        from {lineitem} group by l_suppkey % 4""",
+        select 'acc|A|taxid|' || cast(g as string) as seq_id, cast(floor(100 * (1 + 0.2 * (g % 4))) as bigint) as length
+        from (select distinct cast(floor(l_partkey / 100) as bigint) as g from {lineitem}) x""",
     "log": """
         select 'sample=S' || cast(user_id % 10 as string) || ' job=' || event_type || ' host=h pid=1 queue=q cores='
           || cast(event_id % 16 + 1 as string) || ' time_start=' || cast(event_id as string) || ' time_end='

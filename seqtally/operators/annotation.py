@@ -50,7 +50,7 @@ def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Se
     per_ref = (orf.select(*names(by, "orf_id", "scaffold"))
                .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
                .groupBy(*names(by, "scaffold", "subject")).agg(F.sum(weight).alias("_w")))
-    return (per_ref.join(shared, "subject")
+    return (spread_join(per_ref, shared, ["subject"])
             .select(*names(by, "scaffold"), F.explode("taxids").alias("taxid"),
                     (F.col("_w").cast("double") / F.col("_n")).cast(EXACT).alias("_s"))
             .groupBy(*names(by, "scaffold", "taxid")).agg(F.sum("_s").alias("score")))
@@ -98,7 +98,7 @@ def _by_score(scored: DataFrame, counts: DataFrame, seeds: DataFrame | None, by:
     if seeds is not None:
         standing = standing.unionByName(seeds.select(*names(by, "taxid", "n_genes")))
     standing = standing.groupBy(*names(by, "taxid")).agg(F.sum("n_genes").alias("_genes"))
-    tied = (tops.where(F.col("_ties") > 1).join(standing, names(by, "taxid"), "left")
+    tied = (spread_join(tops.where(F.col("_ties") > 1), standing, names(by, "taxid"), "left")
             .groupBy(*names(by, "scaffold"))
             .agg(F.min(F.struct((-F.coalesce("_genes", F.lit(0))).alias("_g"), F.col("taxid"))).alias("_w"))
             .select(*names(by, "scaffold"), F.col("_w.taxid").alias("taxid")))
@@ -111,7 +111,7 @@ def _by_species(orf: DataFrame, best: DataFrame, scored: DataFrame, lineage: Dat
              .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
              .groupBy(*names(by, "scaffold"))
              .agg(F.sum((F.col("pct_iden") * F.col("aln_len")).cast(EXACT)).alias("_total")))
-    per_taxid = scored.join(lineage.select("taxid", "species_ti"), "taxid", "left")
+    per_taxid = spread_join(scored, lineage.select("taxid", "species_ti"), ["taxid"], "left")
     per_species = (per_taxid.groupBy(*names(by, "scaffold", "species_ti"))
                    .agg(F.sum("score").alias("_sp"), F.count(F.lit(1)).alias("_taxids"),
                         F.min(F.struct((-F.col("score")).alias("_s"), F.col("taxid"))).alias("_best")))
@@ -134,7 +134,7 @@ def _with_taxon(df: DataFrame, lineage: DataFrame) -> tuple[DataFrame, list[str]
     """Add species id, taxid and lineage names as text; `Unknown` throughout when there is no taxid."""
     table, shown = _taxon_columns(lineage)
     known = F.col("taxid").isNotNull()
-    out = df.join(table, "taxid", "left")
+    out = spread_join(df, table, ["taxid"], "left")  # scaffolds without a taxid are spread like a hot one
     for c in shown:
         out = out.withColumn(c, F.when(known, F.col(c).cast("string")).otherwise(UNKNOWN))
     return out.withColumn("taxid", F.when(known, F.col("taxid").cast("string")).otherwise(UNKNOWN)), [
@@ -152,7 +152,8 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
     about = clusters.select(F.col("ref_id").alias("subject"), "ko", "descr")
     hit = (best.withColumnRenamed("query", "orf_id")
            .withColumn("_frac", trunc_to(F.col("aln_len") / F.col("ref_len"), 4))
-           .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")).join(about, "subject", "left"))
+           .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")))
+    hit = spread_join(hit, about, ["subject"], "left")
     # Taxon, evidence and depth are put together per scaffold, so genes meet one scaffold table.
     scaffold = assigned.select(*names(by, "scaffold", "taxid", "evidence"))
     if depth is not None:
@@ -203,7 +204,7 @@ def scaffold_annotation(bins: DataFrame, orf: DataFrame, assigned: DataFrame, de
     """
     rows = _scaffold_rows(bins, orf, assigned, depth, by)
     if contaminants is not None:
-        rows = rows.join(contaminants.select("taxid"), "taxid", "left_semi" if listed else "left_anti")
+        rows = keep_or_drop(rows, contaminants, ["taxid"], "left_semi" if listed else "left_anti")
     rows, taxon = _with_taxon(rows, lineage)
     return rows.select(*names(by), *taxon, "scaffold", "length", "n_genes", "depth", "evidence")
 
@@ -216,7 +217,7 @@ def taxon_summary(bins: DataFrame, orf: DataFrame, assigned: DataFrame, depth: D
     """
     rows = _scaffold_rows(bins, orf, assigned, depth, by)
     if contaminants is not None:
-        rows = rows.join(contaminants.select("taxid"), "taxid", "left_anti")
+        rows = keep_or_drop(rows, contaminants, ["taxid"], "left_anti")
     counts = F.col("taxid").isNotNull() | (F.col("n_genes") > 0)
     per = rows.groupBy(*names(by, "taxid")).agg(
         F.sum(F.when(counts, 1).otherwise(0)).alias("n_scaffolds"), F.sum("n_genes").alias("n_genes"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, FIRST_IN_PAIR, flag_is
-from seqtally.operators.common import names
+from seqtally.operators.common import names, spread_join
 
 UNKNOWN = "Unknown"
 
@@ -77,20 +77,20 @@ def bin_contigs_species(contig_aln: DataFrame, ref_aln: DataFrame, contigs: Data
     """
     totals, support = _contig_taxa(contig_aln, ref_aln, max_taxa, False, by)
     taxa = lineage.select("taxid", "species_ti", "species", F.col("toprank").alias("strain"))
-    per_species = (support.join(taxa.select("taxid", "species_ti"), "taxid")
+    per_species = (spread_join(support, taxa.select("taxid", "species_ti"), ["taxid"])
                    .groupBy(*names(by, "contig", "species_ti"))
                    .agg(F.sum("_support").alias("_sp"),
                         F.min(F.struct((-F.col("_support")).alias("neg"), F.col("taxid"))).alias("_best")))
     # Species that have no id count as one, as they share the same (null) key.
-    chosen = (per_species.groupBy(*names(by, "contig"))
+    chosen = spread_join(per_species.groupBy(*names(by, "contig"))
               .agg(F.min(F.struct((-F.col("_sp")).alias("neg"), F.col("species_ti"), F.col("_best.taxid").alias("taxid")))
                    .alias("_w"))
-              .select(*names(by, "contig"), (-F.col("_w.neg")).alias("_sp"), "_w.species_ti", "_w.taxid")
-              .join(taxa.drop("species_ti"), "taxid"))
+              .select(*names(by, "contig"), (-F.col("_w.neg")).alias("_sp"), "_w.species_ti", "_w.taxid"),
+              taxa.drop("species_ti"), ["taxid"])
     listed = (contaminants.select("taxid", F.lit(True).alias("_bad")).distinct() if contaminants is not None
               else taxa.select("taxid", F.lit(False).alias("_bad")))
     out = (contigs.join(totals, names(by, "contig"), "left")
-           .join(chosen.join(listed, "taxid", "left"), names(by, "contig"), "left")
+           .join(spread_join(chosen, listed, ["taxid"], "left"), names(by, "contig"), "left")
            .withColumn("_p", _share(F.col("_sp"), F.col("n_reads")))
            .withColumn("_ok", F.coalesce(F.col("_p") >= min_share, F.lit(False))))
     bad = F.col("_ok") & F.coalesce("_bad", F.lit(False))

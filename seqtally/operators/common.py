@@ -18,7 +18,13 @@ def _told_apart(rows: DataFrame) -> list[Column]:
     return [F.col(c) for c in (narrow if "ord" in rows.columns else rows.columns)]
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", spread: int = 8) -> DataFrame:
+def lanes_for(df: DataFrame) -> int:
+    """Over how many lanes a key is split: it follows the number of shuffle partitions, and so the cluster."""
+    return max(8, min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
+                spread: int | None = None) -> DataFrame:
     """Join fact rows to a lookup with one row per key, safe when one key owns a large share of the rows.
 
     Each row takes one of `spread` lanes from a hash of its order, or of its content without an order, and every
@@ -26,12 +32,13 @@ def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     lookup, both sides meet in a fresh exchange: adaptive execution can split a lane further, or turn the
     join into a broadcast once it has measured the lookup.
     """
+    spread = spread or lanes_for(rows)
     lane = F.pmod(F.xxhash64(*_told_apart(rows)), F.lit(spread)).cast("int")
     offered = lookup.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return rows.withColumn("_lane", lane).join(offered, [*on, "_lane"], how).drop("_lane")
 
 
-def keep_or_drop(rows: DataFrame, ids: DataFrame, on: Sequence[str], how: str, spread: int = 8) -> DataFrame:
+def keep_or_drop(rows: DataFrame, ids: DataFrame, on: Sequence[str], how: str, spread: int | None = None) -> DataFrame:
     """Semi or anti join of fact rows with an id list, split over lanes like `spread_join`."""
     return spread_join(rows, ids.select(*on).distinct(), on, how, spread)
 

@@ -157,9 +157,8 @@ def level_rollup(abundance: DataFrame, leaves: DataFrame, nodes: DataFrame, leve
                 F.max("ref_mean").alias("_ref"), F.max("ref_mean_adj").alias("_ref_adj")))
     frame = nodes.join(sizes, ["file", "level", "node"])
     if by:  # every node for every key, as the rows of a profile are
-        files = scalar_of(nodes, F.collect_set("file"))
-        keys = abundance.select(*by).distinct().withColumn("file", F.explode(files))
-        frame = keys.join(frame, "file")
+        keys = scalar_of(abundance.select(*by).distinct(), F.collect_list(F.struct(*by)))
+        frame = frame.withColumn("_by", F.explode(keys)).select("*", "_by.*").drop("_by")
     out = (frame.join(per, names(by, "file", "level", "node"), "left")
            .withColumn("found", F.coalesce("found", F.lit(0)))
            .withColumn("depth", F.coalesce("_d", F.lit(0.0)) / F.col("members"))

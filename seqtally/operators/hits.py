@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, overlap, trunc_to
-from seqtally.operators.common import names, scalar_of, with_group_total
+from seqtally.operators.common import names, scalar_of, spread_join, with_group_total
 from seqtally.session import cut_lineage
 
 FRAC = 0.5
@@ -176,7 +176,7 @@ def family_abundance(accepted: DataFrame, families: DataFrame, depth: DataFrame
 def annotated_hits(accepted: DataFrame, families: DataFrame) -> DataFrame:
     """Non-overlapping hits with the description columns of their family."""
     described = [c for c in families.columns if c not in ("subject", "model_len")]
-    return accepted.join(families.select("subject", *described), "subject", "left")
+    return spread_join(accepted, families.select("subject", *described), ["subject"], "left")
 
 
 def class_rollup(abundance: DataFrame, class_map: DataFrame, class_names: DataFrame,

@@ -47,8 +47,8 @@ def sort_by_len(seq: DataFrame, decreasing: bool = True) -> DataFrame:
 
 def file_number(name: Column) -> Column:
     """(part, split) numbers of a file that Spark wrote; as text, part 100000 would come before part 20000."""
-    return F.struct(F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("part"),
-                    F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long").alias("split"))
+    return F.struct(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long").alias("part"),
+                    F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long").alias("split"))
 
 
 def numbered(df: DataFrame, order: str = "ord", start: int = 1, by: Sequence[str] = ()) -> DataFrame:

@@ -22,9 +22,9 @@ def test_expressions(spark):
     assert one(spark, expr.extract_tag("id", "len"), id="acc|X") is None
     for gene, contig in [("a|scaffold|248.1", "a|scaffold|248"), ("a|scaffold|248_1", "a|scaffold|248"), ("x", "x")]:
         assert one(spark, expr.contig_of("g"), g=gene) == contig
-    metagene = "MSA|248.8 /source=MSA|248 /start=7784 /end=8401 /frame=-1 /length=205"
-    prodigal = "MSA|248_1 # 2 # 667 # 1 # ID=1_1;partial=10"
-    assert tuple(one(spark, expr.orf_info("h"), h=metagene)) == ("7784", "8401", "-1")
+    metagene = "gutB|31.8 /source=gutB|31 /start=1200 /end=1817 /frame=-1 /length=205"
+    prodigal = "gutB|31_1 # 2 # 667 # 1 # ID=1_1;partial=10"
+    assert tuple(one(spark, expr.orf_info("h"), h=metagene)) == ("1200", "1817", "-1")
     assert tuple(one(spark, expr.orf_info("h"), h=prodigal)) == ("2", "667", "1")
     assert tuple(one(spark, expr.orf_info("h"), h="none")) == ("-", "-", "-")
     assert one(spark, expr.header_depth("h"), h="c1_length_9_cov_12.5 x") == 12.5

@@ -1,11 +1,15 @@
-"""Connected components of a link table, by alternating star operations.
+"""Connected components of a link table.
 
-Each round points nodes at their smallest known neighbour with one aggregation and one join, so no component
-is ever gathered anywhere; the number of rounds grows with the logarithm of the number of nodes.
+Tasks first contract the links they hold to spanning trees. What several tasks have found is joined by alternating
+star operations: each round points nodes at their smallest known neighbour with one aggregation and one join, so
+no component is ever gathered anywhere; the number of rounds grows with the logarithm of the number of nodes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +30,31 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, smallest node it reaches by this task's links)."""
+    forest, seen = UnionFind(), set()
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            forest.join(x, y)
+            seen.update((x, y))
+    nodes = sorted(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())],
+                                     ["u", "v"])
+
+
+def components(links: DataFrame, u: str = "u", v: str = "v", per_task: int = 200_000) -> DataFrame:
     """`node, component_id` for every node that has a link to another: the smallest node it can reach.
 
-    Links may repeat, point either way or be loops; rows with a null end are left out.
+    Links may repeat, point either way or be loops; rows with a null end are left out. A task contracts about
+    `per_task` links; if one task holds all of them, its trees are the result.
     """
-    a, b = F.col(u), F.col(v)
-    now = written(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    a, b = F.col(u).cast("long"), F.col(v).cast("long")
+    table = written(links.where(a != b).select(a.alias("u"), b.alias("v")))
+    tasks = max(1, -(-table.count() // per_task))
+    local = written(table.coalesce(tasks).mapInArrow(_contracted, "u long, v long"))
+    if tasks == 1:
+        return local.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
+    now = written(local.where("u <> v").distinct())
     seen = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()

@@ -39,15 +39,15 @@ def window(n: np.ndarray | int, num: int = NUMERATOR, den: int = DENOMINATOR) ->
     return n - (-(-num * n // den)) + 1
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, often: float = 0.001) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, often: float = 0.0003) -> DataFrame:
     """`_id, n, key` per document, and rows with a null key for shingles that are frequent among the documents a task
     saw together: the shingle in `_shingle` and in n the documents that held it."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                batch = whole.slice(at, 4000)
+            for at in range(0, whole.num_rows, 10_000):
+                batch = whole.slice(at, 10_000)
                 found = list(shingle_sets(batch.column(1).to_pylist(), width))
                 shingles, counts = np.unique(np.concatenate(found), return_counts=True)
                 some = counts >= max(3, often * len(found))
@@ -198,33 +198,41 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, key: str, label: str) -
     return rows.join(named, key, "left").withColumn(label, F.coalesce(label, key))
 
 
-def _cells(region: DataFrame, sets: DataFrame, round_: int, lanes: int) -> tuple[DataFrame, DataFrame]:
-    """One level of pivots for large regions: (measured pairs with pivots, members of the Voronoi cells)."""
-    order = F.xxhash64(F.lit(round_), "a")
-    lane = F.pmod(order, F.lit(lanes))
-    pivots = (region.groupBy("region", lane.alias("_lane")).agg(F.min(F.struct(order.alias("o"), "a")).alias("_p"))
-              .select("region", F.col("_p.a").alias("b")))
-    near = written(region.join(pivots, "region"))
-    measured = written(_measured(near.where("a <> b").select("a", "b").distinct(), sets))
+def _pivots(region: DataFrame, round_: int, lanes: int) -> DataFrame:
+    """`region, b`: up to `lanes` sets of each region. Sets outside the region's largest connected group come first,
+    then an order that all regions share decides; lanes keep groups apart."""
+    order = F.struct((F.col("la") == F.col("_most")).alias("m"), F.xxhash64(F.lit(round_), "a").alias("o"), "a")
+    lane = F.pmod(F.xxhash64(F.lit(round_), "la"), F.lit(lanes))
+    return (region.groupBy("region", lane.alias("_lane")).agg(F.min(order).alias("_p"))
+            .select("region", F.col("_p.a").alias("b")))
+
+
+def _cells(near: DataFrame, pivots: DataFrame, measured: DataFrame) -> DataFrame:
+    """Members of the Voronoi cells around a region's pivots; `near` has a row for each member and pivot."""
     far = measured.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("_d"))
     radius = 1 - NUMERATOR / DENOMINATOR
     done = pivots.select("region", F.col("b").alias("a"))  # a pivot has met everyone
     ranked = (near.where("a <> b").join(far, ["a", "b"]).join(done, ["region", "a"], "left_anti"))
     nearest = ranked.groupBy("region", "a").agg(F.min(F.struct("_d", "b")).alias("_n"))
     inside = ranked.join(nearest, ["region", "a"]).where(F.col("_d") <= F.col("_n._d") + 2 * radius + 1e-9)
-    cells = inside.select(F.xxhash64("region", "b").alias("region"), "a", "na",
-                          (F.col("home") & (F.col("b") == F.col("_n.b"))).alias("home"))
-    return measured, cells
+    return inside.select(F.xxhash64("region", "b").alias("region"), "a", "na",
+                         (F.col("home") & (F.col("b") == F.col("_n.b"))).alias("home"))
 
 
-def _leaf_pairs(region: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Pairs of a region of which one is at home there, of fitting sizes, not yet connected."""
-    rows = _labelled(region, label, "a", "la")
-    other = rows.select("region", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("la").alias("lb"),
-                        F.col("home").alias("_home"))
+def _leaf_pairs(region: DataFrame) -> DataFrame:
+    """Pairs of a region of which one is at home there, of fitting sizes, not yet connected.
+
+    Two sets that are both at home in several regions meet in the smallest of these only.
+    """
+    homes = region.where("home").groupBy("a").agg(F.collect_set("region").alias("_in"))  # as many as windows have pivots
+    one = region.join(homes, "a", "left")
+    two = one.select("region", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("la").alias("lb"),
+                     F.col("home").alias("_home"), F.col("_in").alias("_in2"))
     fits = DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb")
-    return (rows.join(other, "region").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits
-                                             & (F.col("home") | F.col("_home"))).select("a", "b").distinct())
+    first = F.col("region") == F.array_min(F.array_intersect("_in", "_in2"))
+    meets = F.when(F.col("home") & F.col("_home"), first).otherwise(F.col("home") | F.col("_home"))
+    return (one.join(two, "region").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits & meets)
+            .select("a", "b").distinct())
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -243,9 +251,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prints = written(fingerprints(docs, id_col, text_col, width))
     rows = prints.where("key is not null").select("_id", "n", "key")
     n_docs = max(1, rows.count())
-    # At most one shingle in a thousand documents' worth: a list as long as a few thousand documents.
+    # Shingles of at least one document in 5000: no more of them than 5000 documents have shingles.
     listed = (prints.where("key is null").groupBy("_shingle").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= max(8, n_docs // 1000)).orderBy(F.desc("n"), "_shingle").limit(most_frequent).collect())
+              .where(F.col("n") >= max(8, n_docs // 5000)).orderBy(F.desc("n"), "_shingle").limit(most_frequent).collect())
     frequent = np.array([r[0] for r in reversed(listed)], dtype=np.int64).view(np.uint64)
     classes = written(rows.where("n > 0 and _id is not null").groupBy("key").agg(F.min("_id").alias("_id"),
                                                                                 F.first("n").alias("n")))
@@ -271,36 +279,48 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = involved.join(classes, "key").select("_id", "key")
     sets = written(_sets_of(docs, wanted, id_col, text_col, width))
 
-    # One partner of each set first; then what these links have not connected.
-    partner = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("b"))
-    links = written(_measured(partner, sets).where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b"))
-    labels = components(links, "a", "b")
-
-    def add(found: DataFrame) -> None:
-        nonlocal links, labels
-        more = written(found.where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b"))
-        links = links.union(more)
-        labels = components(labels.select(F.col("node").alias("a"), F.col("component_id").alias("b")).union(more), "a", "b")
+    labels = None
 
-    apart = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
-    add(_measured(apart, sets))
+    def measure(found: DataFrame) -> DataFrame:
+        """Distances of pairs; `labels` takes in the links among them."""
+        nonlocal labels
+        done = written(_measured(found, sets))
+        more = done.where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b")
+        if labels is not None:
+            more = more.union(labels.select(F.col("node").alias("a"), F.col("component_id").alias("b")))
+        labels = components(more, "a", "b")
+        return done
 
-    region = large
-    for level in range(levels):
+    # One partner of each set, and a few pivots for all of a large region, first; then what these have not connected.
+    partner = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("b"))
+    pivots = _pivots(large.withColumn("la", F.col("a")).withColumn("_most", F.lit(None).cast("long")), 0, 4 * lanes)
+    once = large.groupBy("a").agg(F.min("region").alias("region"))  # here one region of each set will do
+    star = once.join(pivots, "region").where("a <> b").select("a", "b")
+    measure(partner.union(star).distinct())
+    left = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
+
+    region, level = large, 0
+    while True:
         named = _labelled(region, labels, "a", "la")
-        open_ = (named.groupBy("region").agg(F.min("la").alias("_x"), F.max("la").alias("_y"),
-                                             F.count(F.lit(1)).alias("_size")).where("_x <> _y"))
-        region = written(region.join(open_.select("region", "_size"), "region"))
-        leaves, region = region.where(F.col("_size") <= small), region.where(F.col("_size") > small).drop("_size")
-        if not leaves.isEmpty():
-            add(_measured(_leaf_pairs(leaves, labels), sets))
-        if region.isEmpty():
+        open_ = (named.groupBy("region", "la").agg(F.count(F.lit(1)).alias("_n")).groupBy("region").agg(
+            F.count(F.lit(1)).alias("_groups"), F.max_by("la", F.struct("_n", "la")).alias("_most"),
+            F.sum("_n").alias("_size"), F.sum(F.col("_n") * F.col("_n")).alias("_squares")).where("_groups > 1"))
+        # Pairs between groups: a region where almost all sets are connected is joined as it is, too.
+        pairs_left = (F.col("_size") * F.col("_size") - F.col("_squares")) / 2
+        region = written(named.join(open_.select("region", "_size", "_most", pairs_left.alias("_left")), "region"))
+        level += 1
+        small_enough = F.lit(level > levels) | (F.col("_size") <= small) | (F.col("_left") <= small * F.col("_size"))
+        due = _leaf_pairs(region.where(small_enough))
+        due = due if left is None else due.union(left)
+        left = None
+        rest = region.where(~small_enough)
+        if rest.isEmpty():
+            measure(due.distinct())
             break
-        measured, cells = _cells(region, sets, level, lanes)
-        add(measured)
-        region = written(cells)
-    else:
-        add(_measured(_leaf_pairs(region, labels), sets))
+        pivots = _pivots(rest, level, lanes)
+        near = written(rest.join(pivots, "region"))
+        measured = measure(due.union(near.where("a <> b").select("a", "b")).distinct())
+        region = written(_cells(near, pivots, measured))
 
     # From class keys to smallest ids.
     placed = _labelled(classes, labels, "key", "_label")

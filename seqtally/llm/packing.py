@@ -8,6 +8,8 @@ the fullest bin that still takes a piece, and when one bin too many is open the
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,15 +27,28 @@ PIECES = "_id {id}, piece int, start long, length long, ids_crc32 long"
 PACKED = "_id {id}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
+# A Latin word and ASCII marks after it; no mark that could begin a contraction has a letter behind it here.
+PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: visible ones for themselves, the others in
+    order from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
 class Ids(dict):
     """Token ids, as little-endian bytes, of chunks that stand between ASCII white space.
 
-    The tokenizer drops white space and never joins symbols across it, so a text's ids are those of its
-    chunks in a row. `fill` looks up all new chunks of a batch at once; beyond `bound` entries the memory is
-    emptied and starts again.
+    The tokenizer drops white space and never joins symbols across it, nor letters with marks, so a text's ids
+    are those of its chunks in a row, and a plain word with marks has the word's ids and then the marks'. Plain
+    Latin words are already in the tokenizer's normal form and go straight to its merges. `fill` looks up all new
+    chunks of a batch at once; beyond `bound` entries the memory is emptied and starts again.
     """
 
-    def __init__(self, vocabulary: str, bound: int = 600_000) -> None:
+    def __init__(self, vocabulary: str, bound: int = 300_000) -> None:
         import os
 
         import public_tokenizers
@@ -43,6 +58,8 @@ class Ids(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
         self.bound = bound
 
     def fill(self, chunks: set[bytes]) -> None:
@@ -50,11 +67,39 @@ class Ids(dict):
         if len(self) + len(new) > self.bound:
             self.clear()
             new = list(chunks)
-        for i in range(0, len(new), 1000):
-            part = new[i:i + 1000]
+        others = []
+        for chunk in new:
+            text = chunk.decode()
+            plain = PLAIN.fullmatch(text.lower()) if max(text) < "\u0100" else None
+            if plain is None:
+                others.append(chunk)
+                continue
+            word, marks = plain.groups()
+            ids = self._merged(word)
+            self[chunk] = ids + self._marks(marks) if marks else ids
+        for i in range(0, len(others), 1000):
+            part = others[i:i + 1000]
             found = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
             for chunk, one in zip(part, found):
-                self[chunk] = b"".join(x.to_bytes(4, "little") for x in one.ids)
+                self[chunk] = _packed(one.ids)
+
+    def _merged(self, word: str) -> bytes:
+        key = word.encode()
+        ids = self.get(key)
+        if ids is None:
+            spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, key))
+            ids = self[key] = _packed([t.id for t in self.merge(spelled)])
+        return ids
+
+    def _marks(self, marks: str) -> bytes:
+        key = marks.encode()
+        if key not in self:
+            self[key] = _packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
+        return self[key]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _IDS: dict[str, Ids] = {}

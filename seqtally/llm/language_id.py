@@ -217,7 +217,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 class Scores:
     """Scores of the words met so far in a Python worker; it only saves work. Emptied beyond `bound` words."""
 
-    def __init__(self, model: Model, bound: int = 600_000) -> None:
+    def __init__(self, model: Model, bound: int = 200_000) -> None:
         self.model, self.bound = model, bound
         self.places: dict[str, int] = {}
         self.rows = np.empty((0, len(model.languages)))

@@ -3,7 +3,9 @@
 Texts become token ids inside tasks; the shuffle carries one narrow row per piece. Pieces are dealt to groups
 of about `group_size` by a hash, so every group is bounded whatever the input, and each group is packed by
 bounded-space best-fit: a fixed number of bins is open, a bitset with one bit per amount of free space finds
-the fullest bin that still takes a piece, and when one bin too many is open the fullest closes.
+the fullest bin that still takes a piece, and when one bin too many is open the fullest closes. As pieces arrive
+longest first, the bins of the long ones must stay open until the short ones come, so there is one for each piece
+of a group of the usual size.
 """
 
 from __future__ import annotations
@@ -182,13 +184,15 @@ class OpenBins:
         return bin_id
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, most_open: int = 1024, group_size: int = 16_384) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, most_open: int | None = None, group_size: int = 16_384) -> DataFrame:
     """Adds `sequence_id, offset` to the rows of `tokenize`.
 
     Within a group pieces arrive longest first. Ties go by id, piece and checksum, so a run repeats itself.
-    A sequence belongs to one group: its id is the group's number times 2^32 plus a running number. Every
-    group leaves at most `most_open` bins unfilled, in practice about one.
+    A sequence belongs to one group: its id is the group's number times 2^32 plus a running number. At most
+    `most_open` bins are open, by default `group_size`, so that a group of that size closes none before its last
+    piece has come; with fewer, bins of long pieces close before the short pieces that would fill them.
     """
+    most_open = most_open or group_size
     rows = written(pieces)
     groups = max(1, -(-rows.count() // group_size))
     kind = dict(pieces.dtypes)["_id"]

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from seqtally.llm.packing import OpenBins, Ids, chunks_of, pack_documents
+from seqtally.llm.packing import OpenBins, Ids, chunks_of, pack, pack_documents
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +53,14 @@ def test_few_open_bins_and_small_groups(odd_docs):
     check_layout(rows, 64)
 
 
+def test_full_group_of_long_texts(spark):
+    # 8192 pieces above half a sequence, and for each one that fills what it leaves.
+    long = "2049 + (id div 2) % 1900"
+    pieces = spark.range(16_384).selectExpr("id as _id", "0 as piece", "0L as start",
+                                            f"if(id % 2 = 0, {long}, 4096 - ({long})) as length", "id as ids_crc32")
+    assert check_layout(pack(pieces).collect(), 4096) == 8192
+
+
 def test_empty_table(no_docs):
     assert pack_documents(no_docs).count() == 0
 

@@ -24,7 +24,7 @@ from seqtally.llm.common import written
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-LONGEST = 24  # longer runs of letters are scored in stretches of this length
+LONGEST = 24  # longer runs of letters are not remembered and are scored letter by letter
 UNKNOWN = 1e-7  # probability of a letter that is no piece, the same in every language
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,8 +49,8 @@ class Pieces:
         self.sorted = hashes[self.order]
 
     @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(codes), dtype=np.uint64)
+    def _hash(codes: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
+        h = np.zeros(len(codes), dtype=np.uint64) if h is None else h
         for c in codes.T:
             h = (h ^ c) * MULTIPLIER
             h ^= h >> np.uint64(29)
@@ -64,12 +64,20 @@ class Pieces:
         for b in range(width):
             h = np.zeros(n, dtype=np.uint64)
             for e in range(b + 1, min(width, b + self.longest) + 1):
-                h = (h ^ codes[:, e - 1]) * MULTIPLIER
-                h ^= h >> np.uint64(29)
+                h = self._hash(codes[:, e - 1:e], h)
                 at = np.minimum(np.searchsorted(self.sorted, h), self.size - 1)
                 out[b, e] = np.where(self.sorted[at] == h, self.order[at], self.size + (e == b + 1))
         return out
 
+    def ending(self, hashes: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One letter further along runs: the hashes of the last 1, 2, .. `longest` letters, from those one letter
+        before, and their piece numbers as in `spans`."""
+        before = np.concatenate([np.zeros((1, len(letters)), dtype=np.uint64), hashes[:-1]])
+        hashes = self._hash(np.broadcast_to(letters, before.shape).reshape(-1, 1), before.ravel()).reshape(before.shape)
+        at = np.minimum(np.searchsorted(self.sorted, hashes), self.size - 1)
+        none = self.size + (np.arange(self.longest) == 0)[:, None]
+        return hashes, np.where(self.sorted[at] == hashes, self.order[at], none)
+
 
 @lru_cache(maxsize=2)
 def pieces_of(vocabulary: str) -> Pieces:
@@ -81,13 +89,13 @@ def codes_of(texts: list[str], width: int) -> np.ndarray:
     return np.frombuffer(joined, dtype="<u4").reshape(-1, width).astype(np.uint64)
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, long ones in stretches; none if no character is a letter."""
+def words_of(text: str | None, most: int | None = LONGEST) -> list[str]:
+    """Lower-cased runs of letters, whole or in stretches of at most `most`; none if no character is a letter."""
     words = LETTERS.findall(text.lower()) if text else []
     if words and not any(any(map(str.isalpha, w)) for w in words):
         return []
-    if any(len(w) > LONGEST for w in words):
-        words = [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    if most and any(len(w) > most for w in words):
+        words = [w[i:i + most] for w in words for i in range(0, len(w), most)]
     return words
 
 
@@ -97,11 +105,23 @@ def by_length(words: list[str]) -> Iterator[tuple[list[int], np.ndarray]]:
     for i, w in enumerate(words):
         at.setdefault(len(w), []).append(i)
     for n, places in at.items():
-        for b in range(0, len(places), 20_000):
-            some = places[b:b + 20_000]
+        step = 20_000 if n <= LONGEST else max(1, 200_000 // n)
+        for b in range(0, len(places), step):
+            some = places[b:b + step]
             yield some, codes_of(["▁" + words[i] for i in some], n + 1)
 
 
+def long_runs(words: list[str], most: int = 500_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Positions, characters as in `by_length` and widths of the words above `LONGEST`, longest first, filled up with
+    zeros; up to `most` characters or one longer word at a time."""
+    places = sorted((i for i, w in enumerate(words) if len(w) > LONGEST), key=lambda i: -len(words[i]))
+    while places:
+        width = len(words[places[0]]) + 1
+        some, places = places[:max(1, most // width)], places[max(1, most // width):]
+        yield (some, codes_of(["▁" + words[i] + "\0" * (width - 1 - len(words[i])) for i in some], width),
+               np.array([len(words[i]) + 1 for i in some]))
+
+
 def table_of(model: np.ndarray) -> np.ndarray:
     """Probabilities by piece number, with rows for no piece and for an unknown letter."""
     return np.concatenate([model, np.zeros((1, model.shape[1])), np.full((1, model.shape[1]), UNKNOWN)])
@@ -119,19 +139,68 @@ def forward(spans: dict, table: np.ndarray, n: int, width: int) -> list[np.ndarr
 def word_scores(words: list[str], table: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Log probability of each word in each language, over all segmentations."""
     out = np.empty((len(words), table.shape[1]))
-    for at, codes in by_length(words):
-        out[at] = np.log(forward(pieces.spans(codes), table, *codes.shape)[-1])
+    short = [i for i, w in enumerate(words) if len(w) <= LONGEST]
+    for at, codes in by_length([words[i] for i in short]):
+        out[[short[i] for i in at]] = np.log(forward(pieces.spans(codes), table, *codes.shape)[-1])
+    for at, codes, widths in long_runs(words):
+        out[at] = carried(codes, widths, table, pieces)
     return out
 
 
+def carried(codes: np.ndarray, widths: np.ndarray, table: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """`word_scores` of runs of any length, longest first: only the forward values of the last `pieces.longest`
+    positions are kept, as multiples of the newest one, whose logarithm is summed up."""
+    hashes = np.zeros((pieces.longest, len(codes)), dtype=np.uint64)
+    last = np.zeros((pieces.longest, len(codes), table.shape[1]))
+    last[0] = 1
+    out = np.zeros(last.shape[1:])
+    for e in range(codes.shape[1]):
+        n = int((widths > e).sum())
+        hashes, ids = pieces.ending(hashes[:, :n], codes[:n, e])
+        new = (last[:, :n] * table[ids]).sum(axis=0)
+        out[:n] += np.log(new)
+        last = np.concatenate([np.ones_like(new)[None], last[:-1, :n] / new])
+    return out
+
+
+def carried_counts(codes: np.ndarray, lang: np.ndarray, weight: np.ndarray, table: np.ndarray, pieces: Pieces,
+                   total: np.ndarray) -> None:
+    """Adds the expected uses in long runs of one length to `total`. Besides the carried values a run's piece numbers
+    and the logarithms of its forward values are kept for the way back."""
+    n, width = codes.shape
+    ids = np.empty((width, pieces.longest, n), dtype=np.int32)
+    ahead, back = np.zeros((width + 1, n)), np.zeros((width + 1, n))
+    hashes = np.zeros((pieces.longest, n), dtype=np.uint64)
+    last = np.zeros((pieces.longest, n))
+    last[0] = 1
+    for e in range(width):
+        hashes, ids[e] = pieces.ending(hashes, codes[:, e])
+        new = (last * table[ids[e], lang]).sum(axis=0)
+        ahead[e + 1] = ahead[e] + np.log(new)
+        last = np.concatenate([np.ones((1, n)), last[:-1] / new])
+    last[:] = 0
+    last[0] = 1
+    for b in range(width - 1, -1, -1):
+        k = np.arange(min(pieces.longest, width - b))
+        here = ids[b + k, k]
+        chance = table[here, lang]
+        new = (last[:len(k)] * chance).sum(axis=0)
+        back[b] = back[b + 1] + np.log(new)
+        np.add.at(total, (here, lang), weight * chance * np.exp(ahead[b] + back[b + 1 + k] - ahead[width]))
+        last = np.concatenate([np.ones((1, n)), last[:-1] / new])
+
+
 def expected_counts(words: list[str], langs: np.ndarray, counts: np.ndarray, table: np.ndarray,
                     pieces: Pieces) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words, each word in its own language."""
     total = np.zeros((pieces.size + 2, table.shape[1]))
     for at, codes in by_length(words):
         n, width = codes.shape
-        spans = pieces.spans(codes)
         lang, weight = langs[at], counts[at]
+        if width > LONGEST + 1:
+            carried_counts(codes, lang, weight, table, pieces, total)
+            continue
+        spans = pieces.spans(codes)
         own = {s: table[ids, lang] for s, ids in spans.items()}
         a = [np.ones(n)] + [np.zeros(n) for _ in range(width)]
         z = [np.zeros(n) for _ in range(width)] + [np.ones(n)]
@@ -182,7 +251,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in batches:
             counts: dict[tuple[int, str], int] = {}
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for w in words_of(text):
+                for w in words_of(text, None):
                     counts[number[lang], w] = counts.get((number[lang], w), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.string()),
@@ -246,18 +315,25 @@ class Predictor:
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         known = self.shared.value
-        words = [words_of(t) for t in texts]
+        words = [words_of(t, None) for t in texts]
         langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if known.languages:
             if known.key not in _SCORES:
                 _SCORES.clear()
                 _SCORES[known.key] = Scores(known)
             memory = _SCORES[known.key]
-            memory.add(set().union(*words))
+            distinct = set().union(*words)
+            long = [w for w in distinct if len(w) > LONGEST]
+            memory.add(distinct.difference(long))
+            apart = dict(zip(long, word_scores(long, known.table, pieces_of(known.vocabulary)))) if long else {}
             for i, some in enumerate(words):
                 if some:
-                    places = np.fromiter(map(memory.places.__getitem__, some), dtype=np.int64, count=len(some))
+                    short = [w for w in some if w not in apart] if apart else some
+                    places = np.fromiter(map(memory.places.__getitem__, short), dtype=np.int64, count=len(short))
                     total = memory.rows[places].sum(axis=0)
+                    for w in some if apart else ():
+                        if w in apart:
+                            total = total + apart[w]
                     best = int(total.argmax())
                     langs[i], scores[i] = known.languages[best], 1 / np.exp(total - total[best]).sum()
         return langs, scores

@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 
 from seqtally.llm.common import read
-from seqtally.llm.language_id import (UNDETERMINED, codes_of, expected_counts, identify, pieces_of, table_of,
-                                      word_scores, words_of, VOCABULARY)
+from seqtally.llm import language_id
+from seqtally.llm.language_id import (UNDETERMINED, Model, Predictor, codes_of, expected_counts, identify, pieces_of,
+                                      table_of, word_scores, words_of, VOCABULARY)
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -45,6 +46,39 @@ def test_forward_pass_sums_all_segmentations():
         assert (number(p) < pieces.size) == (p in texts)
 
 
+def test_long_runs_are_summed_whole(spark):
+    pieces = pieces_of(VOCABULARY)
+    rng = np.random.default_rng(2)
+    probabilities = rng.random((pieces.size, 2)) / 50
+    table = table_of(probabilities)
+    words = ["theinformationbetweenthelanguagesisgermanerziehung" * k for k in (1, 3, 40)] + ["x一y" * 30, "the"]
+
+    def log_sum(word, lang):  # over all segmentations, in logarithms
+        spans, best = pieces.spans(codes_of(["▁" + word], len(word) + 1)), [0.0]
+        for e in range(1, len(word) + 2):
+            parts = [best[b] + np.log(table[spans[b, e][0], lang]) for b in range(e)
+                     if (b, e) in spans and table[spans[b, e][0], lang] > 0]
+            best.append(np.logaddexp.reduce(parts))
+        return best[-1]
+
+    expected = np.array([[log_sum(w, lang) for lang in range(2)] for w in words])
+    assert np.allclose(word_scores(words, table, pieces), expected)
+    for i, w in enumerate(words):
+        [lang], [score] = Predictor(spark, Model(["a", "b"], probabilities, VOCABULARY))([w])
+        assert lang == "ab"[expected[i].argmax()]
+        assert np.isclose(score, 1 / np.exp(expected[i] - expected[i].max()).sum())
+
+
+def test_expected_counts_of_long_runs(monkeypatch):
+    pieces = pieces_of(VOCABULARY)
+    table = table_of(np.random.default_rng(3).random((pieces.size, 2)) / 50)
+    words = ["theinformationbetweenthelanguages", "informationbetweenthelanguagesthe", "the", "x一y" * 12]
+    langs, counts = np.array([0, 1, 1, 0]), np.array([2.0, 1.0, 3.0, 5.0])
+    got = expected_counts(words, langs, counts, table, pieces)
+    monkeypatch.setattr(language_id, "LONGEST", 99)  # every span of a run at once
+    assert np.allclose(got, expected_counts(words, langs, counts, table, pieces))
+
+
 def test_expected_counts_fit_the_words():
     pieces = pieces_of(VOCABULARY)
     table = table_of(np.full((pieces.size, 1), 1.0 / pieces.size))

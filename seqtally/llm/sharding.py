@@ -1,7 +1,7 @@
 """Shards over fixed virtual slots.
 
 Every record is hashed by its id into one of `n_slots` virtual slots, a number fixed for the life of a data
-set. Bytes are summed per slot, and a slot-to-shard map with a version number says where a slot lives. A
+set. Rows that repeat an id, or have none, are hashed with their checksum and size and a running number too. Bytes are summed per slot, and a slot-to-shard map with a version number says where a slot lives. A
 rebalance edits the map: it moves as few slots as it needs, and records only follow their slot. The map has
 `n_slots` rows whatever the data, so it is made on the driver and broadcast.
 """
@@ -9,11 +9,15 @@ rebalance edits the map: it moves as few slots as it needs, and records only fol
 from __future__ import annotations
 
 import heapq
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqtally.llm.common import utf8, written
+from seqtally.operators.common import spread_join
+from seqtally.session import shared_folder
 
 N_SLOTS = 4096
 MAP = "version int, virtual_slot int, shard int, slot_rows long, slot_bytes long"
@@ -22,9 +26,22 @@ MAP = "version int, virtual_slot int, shard int, slot_rows long, slot_bytes long
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
     """`_id, size, text_crc32, virtual_slot` per row: narrow, whatever the texts are."""
     data = utf8(F.col(text_col))
-    return docs.select(F.col(id_col).alias("_id"), (F.length(data) + F.lit(1)).cast("long").alias("size"),
-                       F.crc32(data).alias("text_crc32"),
-                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_slots)).cast("int").alias("virtual_slot"))
+    rows = docs.select(F.col(id_col).alias("_id"), (F.length(data) + F.lit(1)).cast("long").alias("size"),
+                       F.crc32(data).alias("text_crc32"))
+    # Rows are no more than these columns, so equal ones are counted; then they are made again, with a number each.
+    kinds = written(rows.groupBy("_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("_n")))
+    repeated = (kinds.where("_id is not null").groupBy("_id").agg(F.sum("_n").alias("_rows")).where("_rows > 1")
+                .select("_id", F.lit(True).alias("_again")))
+    told = spread_join(kinds, repeated, ["_id"], "left")  # null ids find nothing
+    again = F.col("_id").isNull() | F.coalesce("_again", F.lit(False))
+    # A thousand rows at a time, dealt out before they are made.
+    lots = (told.withColumn("_again", again)
+            .withColumn("_lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / 1000).cast("int"))))
+            .repartition(F.col("_id"), F.col("size"), F.col("text_crc32"), F.col("_lot")))
+    last = F.least(F.col("_n") - 1, (F.col("_lot") + 1) * F.lit(1000) - 1)
+    made = lots.withColumn("_i", F.explode(F.sequence((F.col("_lot") * F.lit(1000)).cast("long"), last.cast("long"))))
+    place = F.when(F.col("_again"), F.xxhash64("_id", "text_crc32", "size", "_i")).otherwise(F.xxhash64("_id"))
+    return made.select("_id", "size", "text_crc32", F.pmod(place, F.lit(n_slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_sizes(rows: DataFrame, n_slots: int = N_SLOTS) -> list[tuple[int, int, int]]:
@@ -117,14 +134,24 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
                     n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """`doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version`, by the law `bytes`.
 
-    Null text has size 1 and the checksum of no bytes. Equal ids, and null ids, share a virtual slot; repeated
-    rows keep a place each. An empty table gives no rows. Other columns are not read. `map_path` stores the map
-    there as version 0.
+    Null text has size 1 and the checksum of no bytes. Rows that repeat an id, and rows with a null id, are spread
+    over virtual slots; repeated rows keep a place each. An empty table gives no rows. Other columns are not read.
+
+    The map is stored at `map_path`, by default in the checkpoint folder: version 0 unless there is one already, and
+    then an edit of the latest version for these sizes and shards, which is read back and places the rows.
     """
+    spark = docs.sparkSession
+    path = map_path or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
     rows = written(slotted(docs, id_col, text_col, n_slots))
-    entries = first_map(slot_sizes(rows, n_slots), n_shards)
-    if map_path:
-        store_map(docs.sparkSession, entries, map_path)
-    return placed(rows, entries).select(
+    sizes = slot_sizes(rows, n_slots)
+    try:
+        latest = stored_map(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        store_map(spark, first_map(sizes, n_shards), path)
+        latest = stored_map(spark, path)
+    store_map(spark, rebalanced(latest, sizes, n_shards), path)
+    return placed(rows, stored_map(spark, path)).select(
         F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")

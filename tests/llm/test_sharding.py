@@ -56,3 +56,27 @@ def test_map_versions_are_stored(spark, tmp_path):
         store_map(spark, entries, str(tmp_path / "map"))
     assert stored_map(spark, str(tmp_path / "map"), 0) == old
     assert stored_map(spark, str(tmp_path / "map")) == new
+
+
+def test_query_stores_and_edits_the_map(docs_of, spark, tmp_path):
+    docs, path = docs_of([(i, "x" * (i % 50), "en", "a") for i in range(300)]), str(tmp_path / "map")
+    first = shard_documents(docs, n_shards=3, n_slots=64, map_path=path).collect()
+    assert {r.map_version for r in first} == {1}
+    more = shard_documents(docs, n_shards=4, n_slots=64, map_path=path).collect()
+    assert {r.map_version for r in more} == {2} and {r.shard for r in more} == {0, 1, 2, 3}
+    for version, rows in ((1, first), (2, more)):
+        shard = {s: k for _, s, k, *_ in stored_map(spark, path, version)}
+        assert all(shard[r.virtual_slot] == r.shard for r in rows)
+    before, after = ({s: k for _, s, k, *_ in stored_map(spark, path, v)} for v in (1, 2))
+    assert 0 < sum(before[s] != after[s] for s in before) < 32  # an edit, no new map
+
+
+def test_rows_of_one_id_are_spread(docs_of):
+    rows = [(i, "x" * 100, "en", "a") for i in range(2000)] + [(7, "same" * 25, "en", "a")] * 2500
+    rows += [(None, "z" * 100, "en", "a")] * 500 + [(8, f"{i:0100}", "en", "a") for i in range(1000)]
+    found = shard_documents(docs_of(rows)).collect()
+    load = Counter()
+    for r in found:
+        load[r.shard] += r["size"]
+    assert Counter((r.doc_id, r["size"]) for r in found) == Counter((i, len(t) + 1) for i, t, *_ in rows)
+    assert max(load.values()) - min(load.values()) <= 0.02 * sum(load.values()) / 8

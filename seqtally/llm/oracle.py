@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from seqtally.llm.chat_format import MARK
 from seqtally.llm.license_scan import BASE, NOTICES
 
 NEAR_DUPLICATES = """
@@ -97,10 +98,69 @@ select doc_id, len(words) as n_words, coalesce(n_base, 0) as n_base, first_word,
 from d left join out using (doc_id)
 """
 
+RANKED = r"""
+with t as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from documents),
+q as (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+n as (select doc_id, count(*) as n from t group by doc_id),
+all_of as (select count(*)::bigint as docs, sum(n)::bigint as terms from n),
+tf as (select doc_id, t, count(*) as tf from t where t in (select t from q) group by doc_id, t),
+w as (select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tf cross join all_of group by t, docs),
+i as (select tf.doc_id, t, w.w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // terms)))) as impact
+  from tf join w using (t) join n on n.doc_id = tf.doc_id cross join all_of),
+scored as (select item_id, doc_id, sum(impact)::bigint as score from q join i using (t) group by item_id, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 20
+"""
+
+RUNS = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+  xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda b, k: xor(b >> 1, (b & 1) * 3988292384)))) as h
+  from documents),
+g as (select *, h // 10 as g, len(w) as n from d),
+a as (select *, case when n > 0 then g % n end as a from g),
+p as (select *, 1 + (n - a) // (3 + g % 8) as p from a),
+words as (select doc_id, i, case when h % 10 = 0 and i >= a then w[1 + a + (i - a) % p] else w[1 + i] end as w
+  from p, unnest(range(n)) x(i)),
+three as (select doc_id, i, w || ' ' || lead(w) over o || ' ' || lead(w, 2) over o as k from words
+  window o as (partition by doc_id order by i)),
+met as (select x.doc_id, y.i - x.i as p, x.i from three x join three y on x.doc_id = y.doc_id and x.k = y.k and y.i > x.i),
+islands as (select doc_id, p, i, i - row_number() over (partition by doc_id, p order by i) as island from met),
+found as (select doc_id, p, min(i) as b, max(i) + 3 + p as e from islands group by doc_id, p, island),
+runs as (select doc_id, b, e - b as len, min(p) as p from found where e - b >= greatest(12, 2 * p) group by doc_id, b, e),
+listed as (select doc_id, count(*) as n_runs, string_agg(concat(b, ',', len, ',', p, chr(10)), '' order by b, p) as listed,
+  max(struct_pack(len := len, b := -b, p := -p)) as best from runs group by doc_id),
+dropped as (select distinct doc_id, i from runs, unnest(range(b + p, b + len)) x(i)),
+kept as (select doc_id, string_agg(w, ' ' order by i) as kept from words anti join dropped using (doc_id, i) group by doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, -best.b as start, best.len as length, -best.p as period,
+  floor(1000 * best.len / -best.p)::bigint as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256,
+  sha256(coalesce(kept, '')) as collapsed_sha256
+from d left join listed using (doc_id) left join kept using (doc_id)
+"""
+
+CHAT = rf"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, t, r, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) x(t, r)),
+f as (select *, length(regexp_replace(text, '(\\*)({MARK})', '\1\1\\\2', 'g')) + case role
+  when 'user' then 15 when 'assistant' then 11 when 'system' then 13 else 17 + length(url_encode(role)) end as chars
+  from c)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(chars)::bigint as formatted_chars
+from f group by conv_id
+"""
+
 SQL = {
     "op1_cross_polytope_dedup": NEAR_DUPLICATES,
     "op3_block_pruned_top_k": TOP_K,
     "op5_voronoi_jaccard_join": JACCARD,
     "op6_suffix_array_dedup": REPEATS,
     "op8_license_scan": LICENSES,
+    "op11_pair_bound_search": RANKED,
+    "op12_periodic_runs": RUNS,
+    "op13_chat_round_trip": CHAT,
 }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seqtally.llm.chat_format import conversations_digest
 from seqtally.llm.common import read
 from seqtally.llm.embedding_dedup import near_duplicates
 from seqtally.llm.html_extract import extract
@@ -15,6 +16,8 @@ from seqtally.llm.license_scan import license_labels
 from seqtally.llm.mixing import mixture
 from seqtally.llm.oracle import SQL  # noqa: F401
 from seqtally.llm.packing import pack_documents
+from seqtally.llm.pair_bound_search import ranked_search
+from seqtally.llm.periodic_runs import runs_digest
 from seqtally.llm.repeat_removal import repeat_digest
 from seqtally.llm.sharding import shard_documents
 from seqtally.llm.topk_search import search
@@ -36,4 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": lambda spark, sf_dir: license_labels(read(spark, sf_dir, "documents")),
     "op9_virtual_slot_shards": lambda spark, sf_dir: shard_documents(read(spark, sf_dir, "documents")),
     "op10_language_id": lambda spark, sf_dir: identify(read(spark, sf_dir, "documents")),
+    "op11_pair_bound_search": lambda spark, sf_dir: ranked_search(read(spark, sf_dir, "documents"),
+                                                                  read(spark, sf_dir, "benchmark")),
+    "op12_periodic_runs": lambda spark, sf_dir: runs_digest(read(spark, sf_dir, "documents")),
+    "op13_chat_round_trip": lambda spark, sf_dir: conversations_digest(read(spark, sf_dir, "conversations")),
 }

@@ -133,6 +133,23 @@ def assigned_prebin(v):
 
 register("assign_scaffolds", lambda v: an.assign_scaffolds(genes(v), best(v), v.clstr), "select * from {assigned}", PLAIN,
          recursive=True)
+IN_ORDER = {
+    **PLAIN,
+    "turns": """select scaffold, n_genes, list_sort(list(taxid)) as taxids,
+        row_number() over (order by n_genes desc, scaffold) as turn
+        from {lead} join {n_of} using (scaffold) where ties > 1 group by scaffold, n_genes""",
+    "settled": """
+        select cast(0 as bigint) as turn, '' as scaffold, cast(0 as bigint) as n_genes, cast(0 as bigint) as taxid,
+          (select map_from_entries(list((taxid, cast(n as bigint)))) from {standing}) as genes
+        union all
+        select turn, scaffold, n_genes, taxid, map_concat(genes, map {taxid: coalesce(genes[taxid], 0) + n_genes})
+        from (select t.turn, t.scaffold, t.n_genes, s.genes,
+                -list_max(list_transform(t.taxids, lambda x: struct_pack(n := coalesce(s.genes[x], 0), t := -x))).t as taxid
+              from settled s join {turns} t on t.turn = s.turn + 1) x""",
+}
+register("assign_scaffolds_in_order", lambda v: an.assign_scaffolds(genes(v), best(v), v.clstr, ties="in_order"), """
+    select scaffold, taxid, 'kegg' as evidence, n_genes from {lead} join {n_of} using (scaffold) where ties = 1
+    union all select scaffold, taxid, 'kegg', n_genes from {settled} where turn > 0""", IN_ORDER, recursive=True)
 register("assign_scaffolds_prebin", prebinned, "select * from {assigned}", PREBIN, recursive=True)
 SPECIES_RULE = {
     **ASSIGN,

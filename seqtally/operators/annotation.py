@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, contig_of, extract_tag, orf_info, trunc_to
 from seqtally.operators.common import keep_or_drop, names, spread_join
+from seqtally.operators.sequences import numbered
 from seqtally.operators.taxonomy import RANKS
+from seqtally.session import cut_lineage
 
 UNKNOWN = "Unknown"
 
@@ -50,7 +52,7 @@ def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Se
     per_ref = (orf.select(*names(by, "orf_id", "scaffold"))
                .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
                .groupBy(*names(by, "scaffold", "subject")).agg(F.sum(weight).alias("_w")))
-    return (spread_join(per_ref, shared, ["subject"])
+    return (spread_join(per_ref, shared, ["subject"], counted=best)
             .select(*names(by, "scaffold"), F.explode("taxids").alias("taxid"),
                     (F.col("_w").cast("double") / F.col("_n")).cast(EXACT).alias("_s"))
             .groupBy(*names(by, "scaffold", "taxid")).agg(F.sum("_s").alias("score")))
@@ -58,12 +60,14 @@ def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Se
 
 def assign_scaffolds(orf: DataFrame, best: DataFrame, clusters: DataFrame, bins: DataFrame | None = None,
                      rule: str = "unique", lineage: DataFrame | None = None, min_share: float = 0.5,
-                     by: Sequence[str] = ()) -> DataFrame:
+                     by: Sequence[str] = (), ties: str = "together") -> DataFrame:
     """`scaffold, taxid, evidence, n_genes` for every scaffold that can be assigned.
 
     Binned scaffolds keep their taxid (`mapping`); those of a host or contaminant are left out. The others
     are scored by their genes (`kegg`): with `rule="unique"` the best taxid wins, and where several tie the
-    one with most genes on the scaffolds assigned so far, then the smaller id. With `rule="species"` a
+    one with most genes on the scaffolds assigned so far, then the smaller id. With `ties="together"` all ties are
+    settled on the genes of the scaffolds without a tie; with `ties="in_order"` one after another, those with most genes
+    first and then by id, each on what the ones before have added. With `rule="species"` a
     scaffold needs a single taxid, a single species, or a species with more than `min_share` of the score.
     """
     counts = _gene_counts(orf, by)
@@ -82,29 +86,80 @@ def assign_scaffolds(orf: DataFrame, best: DataFrame, clusters: DataFrame, bins:
             raise ValueError("the species rule needs a lineage table")
         chosen = _by_species(orf, best, scored, lineage, min_share, by)
     else:
-        chosen = _by_score(scored, counts, seeds, by)
+        chosen = _by_score(scored, counts, seeds, by, ties)
     out = chosen.join(counts, names(by, "scaffold")).withColumn("evidence", F.lit("kegg"))
     columns = names(by, "scaffold", "taxid", "evidence", "n_genes")
     out = out.select(*columns)
     return out if seeds is None else seeds.select(*columns).unionByName(out)
 
 
-def _by_score(scored: DataFrame, counts: DataFrame, seeds: DataFrame | None, by: Sequence[str]) -> DataFrame:
+def _by_score(scored: DataFrame, counts: DataFrame, seeds: DataFrame | None, by: Sequence[str], ties: str) -> DataFrame:
     of_scaffold = Window.partitionBy(*names(by, "scaffold"))  # one row per taxid of a scaffold
     tops = (scored.withColumn("_top", F.max("score").over(of_scaffold)).where(F.col("score") == F.col("_top"))
             .withColumn("_ties", F.count(F.lit(1)).over(of_scaffold)))
+    if ties == "in_order":
+        tops = cut_lineage(tops)
     clear = tops.where(F.col("_ties") == 1).select(*names(by, "scaffold", "taxid"))
     standing = clear.join(counts, names(by, "scaffold")).select(*names(by, "taxid", "n_genes"))
     if seeds is not None:
         standing = standing.unionByName(seeds.select(*names(by, "taxid", "n_genes")))
     standing = standing.groupBy(*names(by, "taxid")).agg(F.sum("n_genes").alias("_genes"))
-    tied = (spread_join(tops.where(F.col("_ties") > 1), standing, names(by, "taxid"), "left")
+    tied = tops.where(F.col("_ties") > 1)
+    if ties == "in_order":
+        return clear.unionByName(settled_in_order(
+            tied.join(counts, names(by, "scaffold")).select(*names(by, "scaffold", "taxid", "n_genes")), standing, by))
+    tied = (spread_join(tied, standing, names(by, "taxid"), "left")
             .groupBy(*names(by, "scaffold"))
             .agg(F.min(F.struct((-F.coalesce("_genes", F.lit(0))).alias("_g"), F.col("taxid"))).alias("_w"))
             .select(*names(by, "scaffold"), F.col("_w.taxid").alias("taxid")))
     return clear.unionByName(tied)
 
 
+def settled_in_order(tied: DataFrame, standing: DataFrame, by: Sequence[str] = (), block: int = 1 << 16) -> DataFrame:
+    """`scaffold, taxid`: what settling the ties one after another would give, in rounds over all of them at once.
+
+    `tied(<by>, scaffold, taxid, n_genes)` has a row for each taxid of a tie, `standing(<by>, taxid, _genes)` the genes
+    before. A scaffold takes the taxid with most genes so far, then the smaller id; its own genes count from then on.
+
+    For each open scaffold a taxid's genes at its turn are at least what earlier scaffolds are known to have added, and
+    at most that and all genes of earlier open scaffolds that may still choose it. Once one taxid's least is enough
+    against the others' most, the scaffold is settled. The first open scaffold always is, and what a round settles
+    narrows the bounds of the rest, so few rounds do, also where one taxid is in most ties. Sums over earlier scaffolds
+    go by blocks of the order, so that a taxid in very many ties isn't one task's work.
+    """
+    scaffold, at = names(by, "scaffold"), names(by, "taxid", "_block")
+    turns = tied.groupBy(*scaffold).agg(F.first("n_genes").alias("n_genes")).withColumn(
+        "ord", F.struct((-F.col("n_genes")).alias("genes"), F.col("scaffold").alias("scaffold")))
+    turns = numbered(turns, by=by).select(*scaffold, F.col("number").alias("_turn"))
+    start = standing.select(*names(by, "taxid"), F.col("_genes").alias("_start"))
+    rows = cut_lineage(tied.join(turns, scaffold).join(start, names(by, "taxid"), "left").select(
+        *names(by, "scaffold", "taxid", "n_genes", "_turn"), F.coalesce("_start", F.lit(0)).alias("_start"),
+        F.floor(F.col("_turn") / block).alias("_block"), F.lit(False).alias("_done")))
+    while True:
+        known = F.when(F.col("_done"), F.col("n_genes")).otherwise(0)
+        open_ = F.when(~F.col("_done"), F.col("n_genes")).otherwise(0)
+        earlier = Window.partitionBy(*names(by, "taxid")).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        sums = (rows.groupBy(*at).agg(F.sum(known).alias("_k"), F.sum(open_).alias("_o"))
+                .select(*at, F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_k"),
+                        F.coalesce(F.sum("_o").over(earlier), F.lit(0)).alias("_o")))
+        within = Window.partitionBy(*at).orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)
+        bounds = (rows.withColumn("_kin", F.coalesce(F.sum(known).over(within), F.lit(0)))
+                  .withColumn("_oin", F.coalesce(F.sum(open_).over(within), F.lit(0)))
+                  .join(sums, at).where(~F.col("_done"))
+                  .withColumn("_least", F.col("_start") + F.col("_k") + F.col("_kin"))
+                  .withColumn("_most", F.col("_least") + F.col("_o") + F.col("_oin")))
+        chosen = bounds.groupBy(*scaffold).agg(
+            F.min(F.struct((-F.col("_least")).alias("least"), F.col("taxid").alias("taxid"))).alias("_w"),
+            F.collect_list(F.struct("taxid", "_most")).alias("_all"))  # the taxids of one scaffold's hits
+        beats = F.forall("_all", lambda u: (u["taxid"] == F.col("_w.taxid")) | (-F.col("_w.least") > u["_most"])
+                         | ((-F.col("_w.least") == u["_most"]) & (F.col("_w.taxid") < u["taxid"])))
+        chosen = chosen.where(beats).select(*scaffold, F.col("_w.taxid").alias("_taxid"))
+        rows = cut_lineage(rows.join(chosen, scaffold, "left").where(F.col("_taxid").isNull() | (F.col("_taxid") == F.col("taxid")))
+                           .withColumn("_done", F.col("_done") | F.col("_taxid").isNotNull()).select(*rows.columns))
+        if rows.where(~F.col("_done")).isEmpty():
+            return rows.select(*names(by, "scaffold", "taxid"))
+
+
 def _by_species(orf: DataFrame, best: DataFrame, scored: DataFrame, lineage: DataFrame, min_share: float,
                 by: Sequence[str]) -> DataFrame:
     total = (orf.select(*names(by, "orf_id", "scaffold"))
@@ -153,7 +208,7 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
     hit = (best.withColumnRenamed("query", "orf_id")
            .withColumn("_frac", trunc_to(F.col("aln_len") / F.col("ref_len"), 4))
            .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")))
-    hit = spread_join(hit, about, ["subject"], "left")
+    hit = spread_join(hit, about, ["subject"], "left", counted=best)
     # Taxon, evidence and depth are put together per scaffold, so genes meet one scaffold table.
     scaffold = assigned.select(*names(by, "scaffold", "taxid", "evidence"))
     if depth is not None:
@@ -171,7 +226,7 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
     if barred is not None:
         rows = keep_or_drop(rows, barred, names(by, "scaffold"), "left_anti")
     rows = rows.join(hit, names(by, "orf_id"), "left")
-    rows = spread_join(rows, scaffold, names(by, "scaffold"), "left")
+    rows = spread_join(rows, scaffold, names(by, "scaffold"), "left", counted=orf)
     found, placed = F.col("pct_iden").isNotNull(), F.coalesce("_placed", F.lit(False))
     return rows.select(
         *names(by), *[F.coalesce(c, F.when(~placed, UNKNOWN)).alias(c) for c in taxon], "scaffold", "orf_id",

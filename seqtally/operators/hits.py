@@ -6,9 +6,12 @@ follows the search tool's order, best first.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, overlap, trunc_to
@@ -16,7 +19,6 @@ from seqtally.operators.common import names, scalar_of, spread_join, with_group_
 from seqtally.session import cut_lineage
 
 FRAC = 0.5
-MAX_HOT = 1_000_000
 
 
 def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -> DataFrame:
@@ -30,55 +32,127 @@ def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -
     return rows.join(first, [*key, "ord"], "left_semi").select(*hits.columns)
 
 
-def _strikes(kept: Column, hit: Column, frac: float) -> Column:
-    """Whether an accepted interval excludes another. Both ways below decide by this."""
-    return overlap(kept["_b"], kept["_e"], hit["_b"], hit["_e"]) > (hit["_e"] - hit["_b"] + 1) * frac
+class Accepted:
+    """The intervals that one query has accepted so far, indexed by size.
 
+    Sizes fall into classes that double; an interval stands in the one or two cells of its class's width that it
+    touches. Only an interval longer than the allowed overlap can exclude another, so a hit looks into the few cells
+    it touches in the classes from there on. As accepted intervals hardly overlap, cells stay short, and a query
+    takes time in proportion to its hits.
+    """
 
-def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str]) -> DataFrame:
-    """Greedy choice inside groups of known, moderate size: one sorted array per group, folded in order."""
-    grouped = rows.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("ord", "_tie", "_b", "_e", *payload))).alias("_h"))
-    empty = F.filter(F.col("_h"), lambda h: F.lit(False))
-    kept = F.aggregate(F.col("_h"), empty, lambda acc, h: F.when(
-        F.exists(acc, lambda k: _strikes(k, h, frac)), acc).otherwise(F.concat(acc, F.array(h))))
-    return grouped.select(*key, F.explode(kept).alias("_k")).select(*key, "_k.*")
-
-
-def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, payload: Sequence[str], group_limit: int,
-                spread: int, hint: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
-    """Greedy choice for groups too big for one task, in rounds.
-
-    The first `group_limit` remaining hits of a query depend only on earlier ones, so they can be decided
-    exactly as a small group. What they accept then strikes out every later conflicting hit, by a join on
+    def __init__(self, frac: float) -> None:
+        self.frac = frac
+        self.least_e = self.most_b = None
+        self.few: list[tuple[int, int]] = []
+        self.classes: dict[int, dict[int, list[tuple[int, int]]]] = {}
+
+    def takes(self, b: int | None, e: int | None) -> bool:
+        """Accepts a hit unless an accepted one overlaps it by more than `frac` of it."""
+        if b is None or e is None:
+            return True  # nothing is known to overlap
+        allowed = (e - b + 1) * self.frac
+        if self.least_e is not None:
+            if e < b:
+                # A reversed hit overlaps nothing, which is too much if its own length counts as negative.
+                if allowed < 0 and (self.least_e < b or self.most_b > e):
+                    return False
+            elif self._overlapped(b, e, allowed):
+                return False
+        self.least_e = e if self.least_e is None else min(self.least_e, e)
+        self.most_b = b if self.most_b is None else max(self.most_b, b)
+        if e >= b:
+            self._hold(b, e)
+        return True
+
+    def _overlapped(self, b: int, e: int, allowed: float) -> bool:
+        if not self.classes:
+            return any(min(y, e) - max(x, b) > allowed for x, y in self.few)
+        least = int(allowed).bit_length()
+        for k, cells in self.classes.items():
+            if k < least:
+                continue
+            first, last = b >> k, e >> k
+            touched = range(first, last + 1) if last - first < len(cells) else [c for c in cells if first <= c <= last]
+            for cell in touched:
+                for x, y in cells.get(cell, ()):
+                    if min(y, e) - max(x, b) > allowed:
+                        return True
+        return False
+
+    def _hold(self, b: int, e: int) -> None:
+        if not self.classes and len(self.few) < 32:
+            self.few.append((b, e))
+            return
+        for x, y in [*self.few, (b, e)]:
+            k = (y - x).bit_length()
+            cells = self.classes.setdefault(k, {})
+            for cell in range(x >> k, (y >> k) + 1):
+                cells.setdefault(cell, []).append((x, y))
+        self.few = []
+
+
+def _accept_in_order(rows: DataFrame, key: Sequence[str], frac: float, order: Sequence[str]) -> DataFrame:
+    """Greedy choice inside groups: each group's hits pass through a task in order, and only the accepted ones are held.
+
+    Needs `_b` and `_e`; the rows that are accepted come out as they are.
+    """
+    keys = list(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, Accepted(frac)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for name in keys:
+                column = batch.column(name)
+                missing = column.is_null().to_numpy(zero_copy_only=False)
+                new[1:] |= missing[1:] != missing[:-1]
+                new[1:] |= pc.fill_null(pc.not_equal(column[1:], column[:-1]), False).to_numpy(zero_copy_only=False)
+            first = [batch.column(name)[0].as_py() for name in keys]
+            new[0] = last is None or first != last
+            last = [batch.column(name)[batch.num_rows - 1].as_py() for name in keys]
+            kept = []
+            for fresh, b, e in zip(new.tolist(), batch.column("_b").to_pylist(), batch.column("_e").to_pylist()):
+                if fresh:
+                    held = Accepted(frac)
+                kept.append(held.takes(b, e))
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, rows.schema)
+
+
+def _accept_hot(rows: DataFrame, key: Sequence[str], frac: float, round_hits: int, spread: int) -> DataFrame:
+    """`_row` of the accepted hits of queries too big for one task, in rounds over narrow rows.
+
+    The first `round_hits` remaining hits of a query depend only on earlier ones, so they can be decided
+    exactly. What they accept then strikes out every later conflicting hit, by a join on
     position bins. Two accepted hits of a size cannot share much of the query, so the bins stay short and
-    each round clears far more than it decides. The rest is written for the next round. Hits that agree in all
-    columns are told apart by a number given when they are written.
+    each round clears far more than it decides. The rest is written for the next round.
     """
-    columns = [*key, "ord", "_tie", "_row", "_b", "_e", *payload]
-    rest = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()).select(*columns))
     order = ["ord", "_tie", "_row"]
-    done: list[DataFrame] = []
+    rest = cut_lineage(rows.select(*key, *order, "_b", "_e"))
+    done = None
     while not rest.isEmpty():
         # First within lanes, so that no task sorts a whole group; then among what the lanes leave.
         lane = F.pmod(F.xxhash64("_row"), F.lit(spread))
         in_lane = Window.partitionBy(*key, "_lane").orderBy(*order)
         in_key = Window.partitionBy(*key).orderBy(*order)
         head = (rest.withColumn("_lane", lane).withColumn("_n", F.row_number().over(in_lane))
-                .where(F.col("_n") <= group_limit)
-                .withColumn("_n", F.row_number().over(in_key)).where(F.col("_n") <= group_limit)
-                .select(*columns))
+                .where(F.col("_n") <= round_hits)
+                .withColumn("_n", F.row_number().over(in_key)).where(F.col("_n") <= round_hits)
+                .select(*rest.columns))
         head = cut_lineage(head)
         last = head.groupBy(*key).agg(F.max(F.struct(*order)).alias("_last"))
-        accepted = cut_lineage(_accept_in_order(head, key, frac, payload))
-        done.append(accepted)
-        undecided = rest.join(hint(last), list(key)).where(F.struct(*order) > F.col("_last")).drop("_last")
-        rest = cut_lineage(_strike_out(undecided, accepted, key, frac, hint))
+        accepted = cut_lineage(_accept_in_order(head, key, frac, order))
+        done = accepted.select("_row") if done is None else done.unionByName(accepted.select("_row"))
+        undecided = spread_join(rest, last, key).where(F.struct(*order) > F.col("_last")).drop("_last")
+        rest = cut_lineage(_strike_out(undecided, accepted, key, frac))
     return done
 
 
-def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac: float,
-                hint: Callable[[DataFrame], DataFrame], bins: int = 4096) -> DataFrame:
+def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac: float, bins: int = 4096) -> DataFrame:
     """Rows that conflict with no accepted hit.
 
     An overlap longer than `frac` of a hit contains one of the points b + t * frac * length, so a hit needs
@@ -90,7 +164,7 @@ def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac:
     span = accepted.groupBy(*key).agg(
         F.greatest(F.ceil((F.max(F.greatest("_b", "_e")) - F.min(F.least("_b", "_e")) + 1) / bins), F.lit(1)).alias("_w"),
         F.min("_e").alias("_least_e"), F.max("_b").alias("_most_b"))
-    placed = rows.join(hint(span), list(key), "left")
+    placed = spread_join(rows, span, key, "left")
     length = F.col("_e") - F.col("_b") + 1
     turned = F.col("_e") < F.col("_b")
     apart = (F.col("_least_e") < F.col("_b")) | (F.col("_most_b") > F.col("_e"))
@@ -105,7 +179,7 @@ def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac:
         looked = F.transform(F.filter(points, lambda p: p <= F.col("_e")), lambda p: F.floor(p / F.col("_w")))
     probe = (forward.where(~turned & F.col("_w").isNotNull())
              .select(*key, "_row", "_b", "_e", F.explode(F.array_distinct(looked)).alias("_bin")))
-    held = (accepted.where(~turned).join(hint(span.select(*key, "_w")), list(key))
+    held = (spread_join(accepted.where(~turned), span.select(*key, "_w"), key)
             .select(*key, F.col("_b").alias("_ab"), F.col("_e").alias("_ae"),
                     F.explode(cells(F.col("_b"), F.col("_e"))).alias("_bin")))
     condition = overlap(F.col("_ab"), F.col("_ae"), F.col("_b"), F.col("_e")) > length * frac
@@ -116,13 +190,14 @@ def _strike_out(rows: DataFrame, accepted: DataFrame, key: Sequence[str], frac:
 
 
 def greedy_nonoverlap(hits: DataFrame, max_evalue: float | None = 1e-3, frac: float = FRAC,
-                      normalize_strand: bool = False, by: Sequence[str] = (), group_limit: int = 20_000,
+                      normalize_strand: bool = False, by: Sequence[str] = (), round_hits: int = 100_000,
                       spread: int = 64) -> DataFrame:
     """Hits accepted in order: one is left out when it overlaps an accepted hit by more than `frac` of itself.
 
     Hits of equal `ord` follow each other by the content of the row, so the choice does not depend on how rows are
-    dealt out. Queries with up to `group_limit` hits are decided in one pass, those with more in rounds; the
-    result is the same for every limit. `frac` lies between 0 and 1.
+    dealt out. Every query's hits pass through the same interval index; a query with more than `round_hits` does so in
+    rounds, between which accepted hits strike out later ones everywhere. The result is the same for every
+    `round_hits`. `frac` lies between 0 and 1.
     """
     if not 0 <= frac <= 1:
         raise ValueError("frac must lie between 0 and 1")
@@ -132,18 +207,18 @@ def greedy_nonoverlap(hits: DataFrame, max_evalue: float | None = 1e-3, frac: fl
     low, high = F.col("q_b"), F.col("q_e")
     if normalize_strand:
         low, high = F.least("q_b", "q_e"), F.greatest("q_b", "q_e")
-    rows = rows.withColumn("_b", low).withColumn("_e", high).withColumn("_tie", F.xxhash64(*payload))
-    hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_hits")).where(F.col("_hits") > group_limit).select(*key)
+    rows = (rows.withColumn("_b", low.cast("long")).withColumn("_e", high.cast("long"))
+            .withColumn("_tie", F.xxhash64(*payload)))
+    hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_hits")).where(F.col("_hits") > round_hits).select(*key)
     if hot.isEmpty():
-        out = _accept_in_order(rows, key, frac, payload)
-    else:
-        # Tables with a row per hot query are broadcast only if there are few enough of those.
-        hot = cut_lineage(hot)
-        hint = F.broadcast if hot.limit(MAX_HOT + 1).count() <= MAX_HOT else lambda df: df
-        out = _accept_in_order(rows.join(hint(hot), key, "left_anti"), key, frac, payload).select(*hits.columns)
-        for part in _accept_hot(rows.join(hint(hot), key, "left_semi"), key, frac, payload, group_limit, spread, hint):
-            out = out.unionByName(part.select(*hits.columns))
-    return out.select(*hits.columns)
+        return _accept_in_order(rows, key, frac, ["ord", "_tie"]).select(*hits.columns)
+    # Rows that agree in all columns are told apart by a number given when they are written.
+    hot = cut_lineage(hot)
+    small = spread_join(rows, hot, key, "left_anti")
+    large = cut_lineage(spread_join(rows, hot, key, "left_semi").withColumn("_row", F.monotonically_increasing_id()))
+    accepted = _accept_hot(large, key, frac, round_hits, spread)
+    return (_accept_in_order(small, key, frac, ["ord", "_tie"]).select(*hits.columns)
+            .unionByName(large.join(accepted, "_row", "left_semi").select(*hits.columns)))
 
 
 def family_abundance(accepted: DataFrame, families: DataFrame, depth: DataFrame | None = None, digits: int = 6,
@@ -159,7 +234,7 @@ def family_abundance(accepted: DataFrame, families: DataFrame, depth: DataFrame
         found = rows.groupBy(*names(by, "subject")).agg(
             F.count(F.lit(1)).alias("_n"), F.sum(on_model).alias("_cov"))
     else:
-        rows = rows.join(depth.select(*names(by, "query"), "depth"), names(by, "query"), "left")
+        rows = spread_join(rows, depth.select(*names(by, "query"), "depth"), names(by, "query"), "left")
         weight = F.coalesce("depth", F.lit(1.0))
         found = rows.groupBy(*names(by, "subject")).agg(
             F.sum(weight.cast(EXACT)).cast("double").alias("_n"),

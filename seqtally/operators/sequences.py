@@ -9,10 +9,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType
 
 from seqtally.functions.expr import extract_tag, header_depth, without_space
 from seqtally.operators.common import checked_broadcast, keep_or_drop, names, spread_join
 from seqtally.session import cut_lineage
+from seqtally.sources.store import fetch_from_store
 
 
 def with_length(seq: DataFrame) -> DataFrame:
@@ -54,9 +56,46 @@ def file_number(name: Column) -> Column:
 def numbered(df: DataFrame, order: str = "ord", start: int = 1, by: Sequence[str] = ()) -> DataFrame:
     """Add `number`: start, start + 1, ... in the given order, separately within each `by` group.
 
-    The rows are range-sorted and written out, which fixes their place: the files follow the order by the part and
-    split numbers in their names, and a row knows its index in its file. A row then needs just the sizes of the
-    files before its own, a table of one row per file (and group). No task ever sees more than its range.
+    An order that ends in a running number, as readers give it (file, split, row), needs only the counts per split:
+    a row's number is its own plus those of the splits before, a table of one row per split that is joined to the
+    rows where they are. Nothing is sorted or copied. Where rows have been filtered out, so that a split's numbers
+    have gaps, its order columns alone are sorted and written, and the records meet their number by them.
+
+    The rows are read twice, so their order has to be the same for both: that of tables, landed text and
+    `read_fasta(..., ranges=True)` is; plain text scans may be split anew if the number of cores changes.
+    """
+    kind = df.schema[order].dataType
+    fields = kind.fields if isinstance(kind, StructType) else []
+    if not isinstance(kind, IntegralType) and [f.name for f in fields] != ["file", "block", "row"]:
+        return _numbered_by_sort(df, order, start, by)
+    at = F.col(f"{order}.{fields[-1].name}") if fields else F.col(order)
+    split = [F.col(f"{order}.{f.name}").alias(f"_split{i}") for i, f in enumerate(fields[:-1])]
+    splits = [f"_split{i}" for i in range(len(split))]
+    sizes = cut_lineage(df.groupBy(*by, *split).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_first"), F.max(at).alias("_last")))
+    if not sizes.where((F.col("_last") - F.col("_first") + 1 != F.col("_rows")) | F.col("_first").isNull()).isEmpty():
+        return _numbered_by_rank(df, order, start, by) if fields else _numbered_by_sort(df, order, start, by)
+    before = Window.partitionBy(*by).orderBy(*splits).rowsBetween(Window.unboundedPreceding, -1) if splits else None
+    offsets = sizes.select(*by, *splits, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) if splits else F.lit(0))
+                           .cast("long").alias("_before"), "_first")
+    if not by and not splits:
+        one = offsets.first()
+        return df.withColumn("number", at - F.lit(one._first if one else 0) + start)
+    rows = df.withColumns({name: c for name, c in zip(splits, split)})
+    return (rows.join(checked_broadcast(cut_lineage(offsets)), [*by, *splits])
+            .withColumn("number", F.col("_before") + at - F.col("_first") + start)
+            .select(*df.columns, "number"))
+
+
+def _numbered_by_rank(df: DataFrame, order: str, start: int, by: Sequence[str]) -> DataFrame:
+    """For a unique order: order columns are numbered by themselves, and meet the rows again."""
+    ranks = _numbered_by_sort(df.select(*by, order), order, start, by)
+    return df.join(ranks, [*by, order]).select(*df.columns, "number")
+
+
+def _numbered_by_sort(df: DataFrame, order: str, start: int, by: Sequence[str]) -> DataFrame:
+    """The rows are range-sorted and written out, which fixes their place: the files follow the order by the part and
+    split numbers in their names, and a row knows its index in its file. No task ever sees more than its range.
     """
     columns = df.columns
     placed = cut_lineage(df.orderBy(*by, order)).select(
@@ -137,28 +176,39 @@ def _id_list(ids: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
 
 
 def fetch_by_ids(seq: DataFrame, ids: DataFrame, tag: str | None = None, key: str = "seq_id",
-                 id_col: str = "id", by: Sequence[str] = ()) -> DataFrame:
+                 id_col: str = "id", by: Sequence[str] = (), bloom_bits: int | None = None) -> DataFrame:
     """Records whose id (or `tag|N` in the header) is listed. A header without the tag is not selected.
 
-    With `by`, a list counts for the records of its own sample only.
+    With `by`, a list counts for the records of its own sample only. `bloom_bits` (see `keep_or_drop`) keeps records
+    that are surely not listed out of the shuffle: for wide records and long lists.
     """
-    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_semi").drop("_id")
+    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_semi",
+                        bloom_bits=bloom_bits).drop("_id")
 
 
 def exclude_ids(seq: DataFrame, ids: DataFrame, tag: str | None = None, key: str = "seq_id",
-                id_col: str = "id", by: Sequence[str] = ()) -> DataFrame:
-    """Records whose id is not listed (for their sample, with `by`)."""
-    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_anti").drop("_id")
+                id_col: str = "id", by: Sequence[str] = (), bloom_bits: int | None = None) -> DataFrame:
+    """Records whose id is not listed (for their sample, with `by`). With `bloom_bits`, records that are surely not
+    listed are kept without a shuffle."""
+    return keep_or_drop(_keyed(seq, key, tag), _id_list(ids, id_col, by), names(by, "_id"), "left_anti",
+                        bloom_bits=bloom_bits).drop("_id")
 
 
-def fetch_large(store: DataFrame, ids: DataFrame, headers: DataFrame | None = None, tag: str | None = None,
+def fetch_large(store: DataFrame | str, ids: DataFrame, headers: DataFrame | None = None, tag: str | None = None,
                 id_col: str = "id") -> DataFrame:
     """Records of a large store with their full header text attached from `headers(seq_id, header)`.
 
-    Keep the store as Parquet sorted or bucketed by `seq_id`: the semi-join then reads only matching files.
+    A path names a store made by `write_store`: then only the files whose id range holds a listed id are opened.
     """
-    keyed = store if "header" in store.columns else store.withColumn("header", F.col("seq_id"))
-    out = fetch_by_ids(keyed, ids, tag, id_col=id_col)
+    if isinstance(store, str):
+        if tag:
+            raise ValueError("a store is fetched from by its key; rows of a tag need a scan")
+        listed = _id_list(ids, id_col, ()).withColumnRenamed("_id", "id")
+        found = fetch_from_store(ids.sparkSession, store, listed)
+        out = found if "header" in found.columns else found.withColumn("header", F.col("seq_id"))
+    else:
+        keyed = store if "header" in store.columns else store.withColumn("header", F.col("seq_id"))
+        out = fetch_by_ids(keyed, ids, tag, id_col=id_col)
     if headers is None:
         return out
     full = headers.select("seq_id", F.col("header").alias("_full"))

@@ -27,28 +27,30 @@ def _ti(rank: str) -> str:
     return f"{rank}_ti"
 
 
-def lineage_ids(nodes: DataFrame, leaves: DataFrame, levels_per_step: int = 4, max_levels: int = 400) -> DataFrame:
-    """Ancestor id of each leaf at each rank, found by climbing the parent links.
-
-    All leaves climb together, `levels_per_step` joins at a time, and go on from a checkpoint until no leaf is
-    left below the root. A nameless-rank child of the viruses counts as a phylum.
+def lineage_ids(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Ancestor id of each leaf at each rank, by pointer doubling over the parent table.
+
+    A node knows the ids on its way up to some ancestor, first its parent. In each round it takes over what that
+    ancestor knows and goes on from the ancestor's own, so ways double and a tree of depth d is done after log2(d)
+    rounds. What is still on its way after as many rounds as the number of nodes has binary digits is on a cycle, which
+    is an error if a leaf leads there. Of several ancestors of a rank the one nearest the root counts. A nameless-rank
+    child of the viruses counts as a phylum.
     """
     rank = F.when((F.col("parent") == VIRUSES) & (F.col("rank") == "norank"), "phylum").otherwise(F.col("rank"))
-    tree = cut_lineage(nodes.select(F.col("taxid").alias("_at"), F.col("parent").alias("_up"), rank.alias("_rank")))
-    state = leaves.select("taxid").distinct().select(
-        "taxid", F.col("taxid").alias("_at"),
-        *[F.lit(None).cast("long").alias(_ti(r)) for r in RANKS[:-1]])
-    for _ in range(0, max_levels, levels_per_step):
-        for _ in range(levels_per_step):
-            state = state.join(tree, "_at", "left").select(
-                "taxid",
-                F.when(F.col("_up") > 1, F.col("_up")).alias("_at"),
-                *[F.when(F.col("_rank") == r, F.col("_at").cast("long")).otherwise(F.col(_ti(r))).alias(_ti(r))
-                  for r in RANKS[:-1]])
-        state = cut_lineage(state)
-        if state.where(F.col("_at").isNotNull()).isEmpty():
-            return state.drop("_at").withColumn("toprank_ti", F.col("taxid").cast("long"))
-    raise ValueError(f"the taxonomy is more than {max_levels} levels deep, or has a cycle")
+    own = [F.when(rank == r, F.col("taxid").cast("long")).alias(_ti(r)) for r in RANKS[:-1]]
+    state = cut_lineage(nodes.select("taxid", F.when(F.col("parent") > 1, F.col("parent")).alias("_up"), *own))
+    wanted = cut_lineage(leaves.select("taxid").distinct())
+    for _ in range(state.count().bit_length() + 1):
+        if state.where(F.col("_up").isNotNull()).join(wanted, "taxid", "left_semi").isEmpty():
+            return (wanted.join(state.drop("_up"), "taxid", "left")
+                    .withColumn("toprank_ti", F.col("taxid").cast("long")))
+        above = state.select(F.col("taxid").alias("_up"), F.col("_up").alias("_next"),
+                             *[F.col(_ti(r)).alias(f"_{_ti(r)}") for r in RANKS[:-1]])
+        state = cut_lineage(state.join(above, "_up", "left").select(
+            "taxid", F.col("_next").alias("_up"),
+            *[F.coalesce(f"_{_ti(r)}", _ti(r)).alias(_ti(r)) for r in RANKS[:-1]]))
+    turning = state.where(F.col("_up").isNotNull()).join(wanted, "taxid", "left_semi").select("taxid").limit(5).collect()
+    raise ValueError(f"the parents of these taxids run in a cycle: {', '.join(str(r.taxid) for r in turning)}")
 
 
 def _with_names(ids: DataFrame, labels: DataFrame) -> DataFrame:
@@ -62,9 +64,9 @@ def _with_names(ids: DataFrame, labels: DataFrame) -> DataFrame:
         F.max(F.when(F.col("_p._r") == r, F.col("_name"))).alias(r) for r in RANKS])
 
 
-def lineage(nodes: DataFrame, leaves: DataFrame, names_table: DataFrame, **kwargs: int) -> DataFrame:
+def lineage(nodes: DataFrame, leaves: DataFrame, names_table: DataFrame) -> DataFrame:
     """Wide lineage (name and id per rank) of each leaf."""
-    wide = _with_names(lineage_ids(nodes, leaves, **kwargs), names_table)
+    wide = _with_names(lineage_ids(nodes, leaves), names_table)
     return wide.select("taxid", *[c for r in RANKS for c in (r, _ti(r))])
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, without_space
-from seqtally.sources.text import read_lines, read_numbered_lines
+from seqtally.sources.records import RANGE_BYTES, read_records
+from seqtally.sources.text import read_lines
 
 
 def _first_word(c: Column) -> Column:
@@ -32,8 +33,12 @@ def parse_fasta(records: DataFrame) -> DataFrame:
                     header.alias("header"), seq.alias("seq"), F.length(without_space(seq)).alias("length"), "ord"))
 
 
-def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """FASTA files, plain or gzipped; plain ones are read in parallel splits, one record per row."""
+def read_fasta(spark: SparkSession, path: str | list[str], ranges: bool = False) -> DataFrame:
+    """FASTA files, plain or gzipped; plain ones are read in parallel splits, one record per row.
+
+    With `ranges` files are read in byte ranges of a fixed size, so that `ord` is the same in every scan."""
+    if ranges:
+        return parse_fasta(read_records(spark, path, "fasta").select(F.get("lines", F.lit(0)).alias("value"), "ord"))
     return parse_fasta(read_lines(spark, path, "\n>"))
 
 
@@ -52,31 +57,43 @@ def parse_fastq(lines: DataFrame, mate: int | None = None) -> DataFrame:
         F.lit(mate).cast("int").alias("mate"), "ord")
 
 
-def read_fastq(spark: SparkSession, path: str | list[str], mate: int | None = None) -> DataFrame:
+def read_fastq(spark: SparkSession, path: str | list[str], mate: int | None = None,
+               range_bytes: int = RANGE_BYTES) -> DataFrame:
     """FASTQ files; `ord` is the 0-based number of the record in its file.
 
-    A gzipped file is one task's work; repartition after reading if there are few large ones.
+    Tasks find the records of their byte range themselves: lines are neither landed nor shuffled. A gzipped file is
+    one task's work; repartition after reading if there are few large ones.
     """
-    return parse_fastq(read_numbered_lines(spark, path), mate)
+    rows = read_records(spark, path, "fastq", range_bytes, number=True)
+    head = F.regexp_replace(F.get("lines", F.lit(0)), "^@", "")
+    return rows.select("file", _first_word(head).alias("read_id"), _after_first_word(head).alias("descr"),
+                       F.get("lines", F.lit(1)).alias("seq"), F.get("lines", F.lit(3)).alias("qual"),
+                       F.lit(mate).cast("int").alias("mate"), "ord")
+
+
+def _ann_rows(pairs: DataFrame) -> DataFrame:
+    """From the two lines `_a` and `_b` of each sequence."""
+    a, b = F.split("_a", r"\s+", 3), F.split(F.col("_b"), r"\s+")
+    out = pairs.where(F.col("_b").isNotNull()).select(
+        F.get(a, F.lit(1)).alias("ref_id"), F.coalesce(F.get(a, F.lit(2)), F.lit("")).alias("descr"),
+        F.get(b, F.lit(1)).try_cast("long").alias("length"))
+    acc = F.regexp_extract("ref_id", r"(acc\|[^|]+)", 1)
+    return out.withColumn("taxid", extract_tag("ref_id", "taxid").try_cast("long")).withColumn(
+        "acc", F.when(acc != "", acc))
 
 
 def parse_ann(lines: DataFrame) -> DataFrame:
     """Reference lengths from numbered lines: after one header line, two lines per sequence."""
     body = lines.where(F.col("line") > 0).withColumn("_pair", F.floor((F.col("line") - 1) / 2))
     first = (F.col("line") - 1) % 2 == 0
-    rows = body.groupBy("file", "_pair").agg(
-        F.max(F.when(first, F.col("value"))).alias("_a"), F.max(F.when(~first, F.col("value"))).alias("_b"))
-    a, b = F.split("_a", r"\s+", 3), F.split(F.col("_b"), r"\s+")
-    out = rows.where(F.col("_b").isNotNull()).select(
-        a[1].alias("ref_id"), F.coalesce(F.get(a, F.lit(2)), F.lit("")).alias("descr"),
-        b[1].cast("long").alias("length"))
-    acc = F.regexp_extract("ref_id", r"(acc\|[^|]+)", 1)
-    return out.withColumn("taxid", extract_tag("ref_id", "taxid").cast("long")).withColumn(
-        "acc", F.when(acc != "", acc))
+    return _ann_rows(body.groupBy("file", "_pair").agg(
+        F.max(F.when(first, F.col("value"))).alias("_a"), F.max(F.when(~first, F.col("value"))).alias("_b")))
 
 
-def read_ann(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_ann(read_numbered_lines(spark, path))
+def read_ann(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Reference-length files, read in byte ranges; the first line is a total."""
+    rows = read_records(spark, path, "ann", range_bytes)
+    return _ann_rows(rows.select(F.get("lines", F.lit(0)).alias("_a"), F.get("lines", F.lit(1)).alias("_b")))
 
 
 def read_fai(spark: SparkSession, path: str | list[str]) -> DataFrame:

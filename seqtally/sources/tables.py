@@ -20,10 +20,13 @@ def _at(parts: Column, i: int) -> Column:
 
 
 def _columns(lines: DataFrame, pattern: str, schema: Sequence[tuple[str, int, str]], limit: int = -1) -> DataFrame:
-    """Chosen fields of each line, as (name, position, type); `ord` is kept when there is one."""
+    """Chosen fields of each line, as (name, position, type); `ord` is kept when there is one.
+
+    A field that is no number is null: filters of later steps may be evaluated before the one that takes out headers.
+    """
     parts = F.col("_p")
     return lines.withColumn("_p", F.split("value", pattern, limit)).select(
-        *[_at(parts, i).cast(kind).alias(name) for name, i, kind in schema],
+        *[_at(parts, i).try_cast(kind).alias(name) for name, i, kind in schema],
         *(["ord"] if "ord" in lines.columns else []))
 
 
@@ -41,8 +44,8 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     scores = F.filter(tags, lambda t: t.contains("AS:i:"))
     score = F.regexp_extract(F.get(scores, F.lit(0)), r"AS:i:(-?\d+)", 1)
     return rows.select(
-        *[_at(F.col("_p"), i).cast(kind).alias(name) for name, i, kind in fixed], tags.alias("tags"),
-        F.when(score != "", score.cast("int")).alias("score"), F.col("value").alias("raw"),
+        *[_at(F.col("_p"), i).try_cast(kind).alias(name) for name, i, kind in fixed], tags.alias("tags"),
+        score.try_cast("int").alias("score"), F.col("value").alias("raw"),
         *(["ord"] if "ord" in lines.columns else []))
 
 
@@ -113,10 +116,10 @@ def parse_clstr_ann(records: DataFrame) -> DataFrame:
     """`ref_id, n_members, ko, descr, taxids` from records of a `>` line and its child lines."""
     lines = F.split(F.regexp_replace("value", "^>", ""), "\n")
     head = F.split(lines[0], "\t")
-    n_taxa = F.coalesce(_at(head, 2).cast("int"), F.lit(0))
-    child = F.transform(F.slice(lines, F.lit(2), n_taxa), lambda x: F.get(F.split(x, "\t"), F.lit(1)).cast("long"))
+    n_taxa = F.coalesce(_at(head, 2).try_cast("int"), F.lit(0))
+    child = F.transform(F.slice(lines, F.lit(2), n_taxa), lambda x: F.get(F.split(x, "\t"), F.lit(1)).try_cast("long"))
     return records.where(F.trim("value") != "").select(
-        head[0].alias("ref_id"), _at(head, 1).cast("int").alias("n_members"),
+        head[0].alias("ref_id"), _at(head, 1).try_cast("int").alias("n_members"),
         extract_tag(F.coalesce(_at(head, 3), F.lit("")), "KO", r"\w+").alias("ko"), _at(head, 4).alias("descr"),
         child.alias("taxids"))
 
@@ -167,7 +170,7 @@ def parse_kreport(lines: DataFrame) -> DataFrame:
     """Taxids of a classifier report: the fifth field, where it is a number."""
     taxid = F.get(F.split(F.ltrim(F.regexp_replace("value", r"^\s+", "")), r"\s+"), F.lit(4))
     return lines.select(taxid.alias("_t")).where(F.col("_t").rlike(r"^\d+$")).select(
-        F.col("_t").cast("long").alias("taxid")).distinct()
+        F.col("_t").try_cast("long").alias("taxid")).distinct()
 
 
 def read_kreport(spark: SparkSession, path: str) -> DataFrame:
@@ -178,7 +181,7 @@ def parse_names_dmp(lines: DataFrame) -> DataFrame:
     """Scientific names of a taxonomy dump."""
     p = F.split("value", r"\|")
     return lines.where(F.col("value").contains("scientific name")).select(
-        F.regexp_replace(p[0], r"\s+", "").cast("long").alias("taxid"),
+        F.regexp_replace(p[0], r"\s+", "").try_cast("long").alias("taxid"),
         F.regexp_replace(p[1], r"^\s+|\s+$", "").alias("name"))
 
 
@@ -186,7 +189,7 @@ def parse_nodes_dmp(lines: DataFrame) -> DataFrame:
     """Taxonomy tree; white space is removed from the rank (`no rank` becomes `norank`)."""
     p = F.transform(F.split("value", r"\|"), lambda x: F.regexp_replace(x, r"\s+", ""))
     return lines.where(F.col("value") != "").select(
-        p[0].cast("long").alias("taxid"), p[1].cast("long").alias("parent"), p[2].alias("rank"))
+        p[0].try_cast("long").alias("taxid"), p[1].try_cast("long").alias("parent"), p[2].alias("rank"))
 
 
 def read_taxdump(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -205,7 +208,7 @@ def parse_lineage(lines: DataFrame) -> DataFrame:
         fields += [(rank, 3 + 2 * i, "string"), (f"{rank}_ti", 4 + 2 * i, "string")]
     rows = _columns(without_comments(lines), "\t", fields).where(F.col("rank") == "toprank")
     out = [F.nullif(F.col(r), F.lit("\\N")).alias(r) for r in LINEAGE_RANKS]
-    ids = [F.nullif(F.col(f"{r}_ti"), F.lit("\\N")).cast("long").alias(f"{r}_ti") for r in LINEAGE_RANKS]
+    ids = [F.nullif(F.col(f"{r}_ti"), F.lit("\\N")).try_cast("long").alias(f"{r}_ti") for r in LINEAGE_RANKS]
     return rows.select("taxid", *[c for pair in zip(out, ids) for c in pair])
 
 
@@ -215,7 +218,7 @@ def read_lineage(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_header_taxa(seq: DataFrame, tag: str = "taxid", name_tag: str = "taxdes") -> DataFrame:
     """`taxid, taxdes` stamped into sequence headers."""
-    return seq.select(extract_tag("header", tag).cast("long").alias("taxid"),
+    return seq.select(extract_tag("header", tag).try_cast("long").alias("taxid"),
                       extract_tag("header", name_tag, r"\w+").alias("taxdes")).where(F.col("taxid").isNotNull())
 
 
@@ -248,7 +251,7 @@ def parse_variants(lines: DataFrame) -> DataFrame:
         ("chrom", 0, "string"), ("position", 1, "long"), ("ref", 2, "string"), ("cons", 3, "string"),
         ("var", 18, "string")])
     part = F.split("chrom", r"\|")
-    return rows.select(F.get(part, F.lit(1)).alias("acc"), F.get(part, F.lit(3)).cast("long").alias("taxid"),
+    return rows.select(F.get(part, F.lit(1)).alias("acc"), F.get(part, F.lit(3)).try_cast("long").alias("taxid"),
                        "position", "ref", "cons", "var")
 
 
@@ -292,7 +295,7 @@ def parse_job_log(lines: DataFrame) -> DataFrame:
     numbers = ["cores", "time_start", "time_end", "time_spent"]
     rows = lines.where(F.col("value").rlike(r"cores=\d+ time_start=\d+ time_end=\d+ time_spent=\d+"))
     return rows.select(*[field(n).alias(n) for n in ("sample", "job", "host", "queue")],
-                       *[field(n, r"\d+").cast("long").alias(n) for n in numbers])
+                       *[field(n, r"\d+").try_cast("long").alias(n) for n in numbers])
 
 
 def read_job_log(spark: SparkSession, path: str) -> DataFrame:
@@ -302,30 +305,50 @@ def read_job_log(spark: SparkSession, path: str) -> DataFrame:
 # ---- many samples --------------------------------------------------------------------------------
 
 
-def present_samples(spark: SparkSession, root: str, file: str, samples: Sequence[str]) -> list[str]:
-    """The samples whose `root/<sample>/<file>` exists and is not empty, in sheet order.
+def sample_files(spark: SparkSession, root: str, file: str) -> DataFrame:
+    """`sample_id, files, bytes` of the samples whose `root/<sample>/<file>` isn't empty; `file` may be a pattern.
 
-    Only file names and sizes are looked at, a list as long as the sample sheet.
+    A scan of names and sizes: nothing is opened, and no list of paths is kept on the driver.
     """
     depth = len(file.split("/"))
-    found = spark.read.format("binaryFile").load(f"{root}/*/{file}").select("path", "length").where("length > 0")
-    seen = {row.path.split("/")[-1 - depth] for row in found.collect()}
-    return [s for s in samples if s in seen]
+    found = spark.read.format("binaryFile").load(f"{root}/*/{file}").select("path", "length")
+    sample = F.element_at(F.split("path", "/"), -1 - depth)
+    return found.groupBy(sample.alias("sample_id")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def _sheet(spark: SparkSession, samples: DataFrame | Sequence[str]) -> DataFrame:
+    if isinstance(samples, DataFrame):
+        return samples
+    return spark.createDataFrame([(s, i) for i, s in enumerate(samples)], "sample_id string, ord long")
+
+
+def present_samples(spark: SparkSession, root: str, file: str, samples: DataFrame | Sequence[str]) -> list[str]:
+    """The samples whose `root/<sample>/<file>` exists and is not empty, in sheet order: the columns of a matrix."""
+    sheet = _sheet(spark, samples)
+    held = sheet.join(sample_files(spark, root, file).where("bytes > 0"), "sample_id", "left_semi")
+    return [r.sample_id for r in held.orderBy("ord").select("sample_id").collect()]
 
 
-def read_per_sample(spark: SparkSession, root: str, file: str, samples: Sequence[str],
-                    reader: Callable[[SparkSession, list[str]], DataFrame], on_missing: str = "error") -> DataFrame:
-    """Rows of `root/<sample>/<file>` of all samples in one scan, with `sample_id` from the path.
+def read_per_sample(spark: SparkSession, root: str, file: str, samples: DataFrame | Sequence[str],
+                    reader: Callable[[SparkSession, str], DataFrame], on_missing: str = "error") -> DataFrame:
+    """Rows of `root/<sample>/<file>` of all samples of the sheet in one scan, with `sample_id` from the path.
 
-    A missing or empty file is an error, or skipped with `on_missing="skip"`; give `merge_samples` the
-    `present_samples` then, so that a skipped sample gets no column.
+    The table of files is joined to the sheet `sample_id, ord`. A sample whose file is missing or empty is an error, or
+    skipped with `on_missing="skip"`; give `merge_samples` the `present_samples` then, so that a skipped sample gets no
+    column. Files of samples that the sheet doesn't name give no rows.
     """
-    present = present_samples(spark, root, file, samples)
-    if on_missing == "error" and len(present) < len(samples):
-        raise FileNotFoundError(f"{file} is missing or empty for: {', '.join(s for s in samples if s not in present)}")
-    rows = reader(spark, [f"{root}/{s}/{file}" for s in present])
+    sheet = _sheet(spark, samples)
+    if on_missing == "error":
+        missing = sheet.join(sample_files(spark, root, file).where("bytes > 0"), "sample_id", "left_anti")
+        named = [r.sample_id for r in missing.orderBy("ord").select("sample_id").limit(21).collect()]
+        if named:
+            more = ", ..." if len(named) > 20 else ""
+            raise FileNotFoundError(f"{file} is missing or empty for: {', '.join(named[:20])}{more}")
+    rows = reader(spark, f"{root}/*/{file}")
     depth = len(file.split("/"))
-    return rows.withColumn("sample_id", F.element_at(F.split(F.col("ord.file"), "/"), -1 - depth))
+    named = rows.withColumn("sample_id", F.element_at(F.split(F.col("ord.file"), "/"), -1 - depth))
+    # One row per sample: a cohort's sheet, which the planner may broadcast by its size.
+    return named.join(sheet.select("sample_id").distinct(), "sample_id", "left_semi").select(*named.columns)
 
 
 def read_headed_tsv(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -51,7 +51,7 @@ def test_documented_rows(spark):
 @pytest.mark.parametrize("limit", [20_000, 60])
 def test_greedy_matches_the_loop(spark, frac, limit):
     rows = random_hits(1500, seed=int(frac * 10))
-    df = ht.greedy_nonoverlap(frame(spark, rows).repartition(5), None, frac, normalize_strand=True, group_limit=limit,
+    df = ht.greedy_nonoverlap(frame(spark, rows).repartition(5), None, frac, normalize_strand=True, round_hits=limit,
                               spread=4)
     assert sorted(r["ord"] for r in df.collect()) == brute(rows, frac)
 

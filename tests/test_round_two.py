@@ -72,7 +72,7 @@ def test_one_choice_for_every_limit(spark, frac):
     ordered = sorted((r for r in rows if r[0] == "q"), key=lambda r: (r[5], tie[r]))
     expected = sorted(accepted_by_hand([(r[2], r[3]) for r in ordered], frac))
     for limit in (5, 10, 1000):
-        out = ht.greedy_nonoverlap(hits, None, frac, group_limit=limit, spread=3).collect()
+        out = ht.greedy_nonoverlap(hits, None, frac, round_hits=limit, spread=3).collect()
         assert sorted((r.q_b, r.q_e) for r in out if r.query == "q") == expected, limit
         assert [r.q_b for r in out if r.query == "r"] == [1]
 

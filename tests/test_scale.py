@@ -23,13 +23,13 @@ def test_spread_join_splits_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = spread_join(rows, lookup, ["k"])
+        joined = spread_join(rows, lookup, ["k"], small=0)
         assert joined.count() == joined.select("id").distinct().count() == 1336  # a third, and ids 7 and 8
         tasks = joined.where("k = 7").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
         assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 700
-        left = spread_join(rows, lookup, ["k"], "left")
+        left = spread_join(rows, lookup, ["k"], "left", small=0)
         assert left.count() == 4000 and left.where("v is not null").count() == 1336
-        kept, dropped = (keep_or_drop(rows, lookup, ["k"], h).count() for h in ("left_semi", "left_anti"))
+        kept, dropped = (keep_or_drop(rows, lookup, ["k"], h, small=0).count() for h in ("left_semi", "left_anti"))
         assert kept == 1336 and kept + dropped == 4000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -41,7 +41,7 @@ def test_checked_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" in plan(big.join(checked_broadcast(small), "id"))
-        assert "BroadcastHashJoin" not in plan(big.join(checked_broadcast(small, max_rows=9), "id"))
+        assert "BroadcastHashJoin" not in plan(big.join(checked_broadcast(small, max_bytes=9), "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

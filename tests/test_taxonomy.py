@@ -40,7 +40,7 @@ def test_lineage_of_a_deep_tree_and_a_cycle(spark):
     assert tx.lineage_ids(nodes, leaves(spark, 39)).collect()[0]["superkingdom_ti"] == 2
     loop = spark.createDataFrame([(5, 6, "x", "a"), (6, 5, "x", "b")], "taxid long, parent long, rank string, name string")
     with pytest.raises(ValueError):
-        tx.lineage_ids(loop, leaves(spark, 5), max_levels=8)
+        tx.lineage_ids(loop, leaves(spark, 5))
 
 
 def test_rank_table(spark, nodes):

@@ -1,11 +1,12 @@
 """Best-fit packing of token sequences.
 
 Texts become token ids inside tasks; the shuffle carries one narrow row per piece. Pieces are dealt to groups
-of about `group_size` by a hash, so every group is bounded whatever the input, and each group is packed by
-bounded-space best-fit: a fixed number of bins is open, a bitset with one bit per amount of free space finds
-the fullest bin that still takes a piece, and when one bin too many is open the fullest closes. As pieces arrive
-longest first, the bins of the long ones must stay open until the short ones come, so there is one for each piece
-of a group of the usual size.
+of about `group_size` by a hash of the piece and its place in the table, so that groups are alike in size also when
+many rows are equal, and each group is packed by bounded-space best-fit: a fixed number of bins is open, a bitset with
+one bit per amount of free space finds the fullest bin that still takes a piece, and when one bin too many is open the
+fullest closes. The bound holds for what a group takes of memory, whatever its size. Pieces arrive longest first, so the
+bins of the long ones have to stay open until the short ones come; by default there are as many as a group of the usual
+size has pieces, and a bin closes early only in a group that a chance of the hash made larger than that.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ class Ids(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.bound = bound
@@ -85,6 +86,15 @@ class Ids(dict):
             for chunk, one in zip(part, found):
                 self[chunk] = _packed(one.ids)
 
+    def of_text(self, text: str) -> bytes:
+        """The ids of a whole text as the tokenizer gives them: for texts that contain one of its added tokens, which
+        it looks for before anything else."""
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def has_added(self, text: str) -> bool:
+        low = text.lower()
+        return any(t in low for t in self.added)
+
     def _merged(self, word: str) -> bytes:
         key = word.encode()
         ids = self.get(key)
@@ -131,11 +141,12 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
         for whole in batches:
             for at in range(0, whole.num_rows, 500):  # bounds what is held besides the batch
                 batch = whole.slice(at, 500)
-                texts = [chunks_of(t or "") for t in batch.column(1).to_pylist()]
-                memory.fill(set().union(*texts))
+                whole_texts = [t or "" for t in batch.column(1).to_pylist()]
+                texts = [None if memory.has_added(t) else chunks_of(t) for t in whole_texts]
+                memory.fill(set().union(*filter(None, texts)))
                 rows = []
-                for key, chunks in zip(batch.column(0).to_pylist(), texts):
-                    ids = b"".join(map(memory.__getitem__, chunks)) + end
+                for key, text, chunks in zip(batch.column(0).to_pylist(), whole_texts, texts):
+                    ids = (memory.of_text(text) if chunks is None else b"".join(map(memory.__getitem__, chunks))) + end
                     for piece, b in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[b:b + 4 * capacity]
                         rows.append((key, piece, b // 4, len(part) // 4, zlib.crc32(part)))
@@ -212,7 +223,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, most_open: int | None = No
                 [*[batch.column(n) for n in names], pa.array(where, pa.int64()), pa.array(offsets, pa.int64())],
                 [*names, "sequence_id", "offset"])
 
-    dealt = rows.withColumn("_g", F.pmod(F.xxhash64("_id", "piece", "ids_crc32"), F.lit(groups)))
+    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))  # of the written row
+    dealt = rows.withColumn("_g", F.pmod(F.xxhash64("_id", "piece", "ids_crc32", place), F.lit(groups)))
     return (dealt.select("_g", *names).repartition(groups, "_g")
             .sortWithinPartitions("_g", F.desc("length"), "_id", "piece", "ids_crc32")
             .mapInArrow(run, PACKED.format(id=kind)))

@@ -11,9 +11,7 @@ from seqtally.llm.packing import OpenBins, Ids, chunks_of, pack, pack_documents
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def pieces_by_hand(tokenizer, rows, capacity):
@@ -84,3 +82,18 @@ def test_chunks_have_the_ids_of_the_text(tokenizer):
         memory.fill(set(chunks_of(text)))
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert b"".join(map(memory.__getitem__, chunks_of(text))) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_added_tokens_are_found_first(docs_of, tokenizer):
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    texts = [x for t in added for x in (t, f"a {t} b", f"a{t}b", f" {t}  {t}{t.upper()}", t[:-1], f"{t[:5]} {t[5:]}", "\n" + t)]
+    rows = [(i, text) for i, text in enumerate(texts + ["plain"])]
+    found = pack_documents(docs_of([(i, t, "en", "a") for i, t in rows])).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == Counter(pieces_by_hand(tokenizer, rows, 4096))
+
+
+def test_equal_rows_are_dealt_over_groups(docs_of):
+    rows = pack_documents(docs_of([(1, "one two three", "en", "a")] * 900), capacity=64, group_size=100).collect()
+    check_layout(rows, 64)
+    groups = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(groups) == 9 and max(groups.values()) < 200

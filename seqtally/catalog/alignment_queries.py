@@ -10,7 +10,7 @@ from seqtally.operators import binning as bn
 from seqtally.operators import taxonomy as tx
 from seqtally.operators.taxonomy import PROFILE_RANKS, RANKS
 from seqtally.plans import profiles as pf
-from seqtally.plans.report import report_matrices
+from seqtally.plans.report import report_matrices, report_table
 
 ALN = "read_id, flag, ref_id, taxid, pos, mate_ref, score"
 
@@ -415,3 +415,26 @@ register("bin_contigs_paf", lambda v: bn.bin_contigs_paf(v.paf, v.contig, lin(v)
         (select contig, taxid, sum(matches)::bigint as m, (sum(sum(matches)) over (partition by contig))::bigint as t from {paf}
          group by contig, taxid) x qualify row_number() over (partition by contig order by m desc, taxid) = 1) b
       on b.contig = c.contig left join {lin} l on l.taxid = b.taxid""", LINEAGE, recursive=True)
+
+
+def taxon_report(v):
+    """All taxonomic matrices of the report, each upstream table read once."""
+    p = sample_profile(v)
+    tables = {"ranks": p["ranks"].withColumn("ord", F.col("rank_taxid")),
+              "superkingdoms": p["superkingdoms"].withColumn("ord", F.col("taxid"))}
+    return report_table(tables, FIVE).select("matrix", F.array_join("ids", "|").alias("ids"), F.array_join("ann", "|").alias("ann"),
+                                             *[F.col(s).alias(s) for s in FIVE])
+
+
+_METRICS = [("taxon", "abundance", "1e-4"), ("taxon-depth", "depth", "1e-4"), ("taxon-reads", "reads", "1")]
+register("report_taxa", taxon_report, f"""
+    select matrix, ids, any_value(ann) as ann, {", ".join(f"coalesce(max(case when sample = '{s}' then round(value, 6) end), 0.0) as {s}" for s in FIVE)}
+    from (
+      {" union all ".join(f"""select '{name}-' || rank as matrix, cast(rank_taxid as varchar) as ids, sample, {value} as value,
+        concat_ws('|', {", ".join(f"nullif(\"{r}\", '')" for r in RANKS)}) as ann from {{rolled}} where {value} >= {least}""" for name, value, least in _METRICS)}
+      union all select 'taxon-superkingdom', cast(s.taxid as varchar), g.sample, floor(coalesce(r.reads, 0) + 1e-9), s.superkingdom
+      from (values (cast(2 as bigint), 'Bacteria'), (2157, 'Archaea'), (2759, 'Eukaryota'), (10239, 'Viruses'))
+        s(taxid, superkingdom) cross join (select distinct sample from {{counts}}) g
+      left join (select sample, superkingdom_ti, sum(reads) as reads from {{passed}} join {{lin}} using (taxid) group by 1, 2) r
+        on r.superkingdom_ti = s.taxid and r.sample = g.sample) x
+    group by matrix, ids""", SAMPLED, recursive=True)

@@ -13,6 +13,7 @@ from seqtally.operators import alignments as al
 from seqtally.operators import depth as dp
 from seqtally.operators import hierarchy as hi
 from seqtally.operators import sequences as sq
+from seqtally.plans.report import REPORT, hierarchy_matrices, report_table
 from seqtally.session import shared_folder
 from seqtally.sources import sequences as ss
 from seqtally.sources import sinks as sk
@@ -85,6 +86,47 @@ register("per_taxon_profiles_by_sample", lambda v: hi.per_taxon_profiles(
     "shown": """select sample, species from {g} where ko in (select ko from {listed}) group by sample, species
       having count(distinct ko) >= 0.01 * (select count(*) from {listed})"""})
 
+TWO = ["S1", "S2"]
+FILES = {"module": "Brand#11", "pathway": "Brand#22", "transporter": "Brand#33", "EC": "Brand#44", "AMR": "Brand#55"}
+
+
+def function_report(v):
+    """Quality, host and function matrices of the report for two samples."""
+    hosts = sq.with_host_rows(
+        v.sample_reads.groupBy("sample", "lang").agg(F.count(F.lit(1)).alias("reads"))
+        .select("sample", F.length("lang").cast("long").alias("taxid"), F.col("lang").alias("superkingdom"), "reads"),
+        sq.filter_summary(v.sample_hits, by=BY), by=BY)
+    tables = {"full_listing": hi.full_listing(leaves(v), _sample_profile(v), by=BY).withColumn("ord", F.col("id")),
+              "qc": sq.qc_summary(v.sample_reads.withColumn("passed", F.length("seq") > 1000), BY).withColumn("ord", F.col("reads")),
+              "superkingdoms_host": hosts.withColumn("ord", F.col("superkingdom"))}
+    wanted = [m for m in [*REPORT, *hierarchy_matrices(FILES)]
+              if m.table in ("qc", "superkingdoms_host") or m.where.get("file", "").startswith("Brand")]
+    report = report_table(tables, TWO, wanted)
+    # A leaf's number depends on the order of its file: leaves are compared by KO.
+    report = report.where("matrix not like '%-KO-%' or matrix like '%-KO-depth'")
+    return report.select("matrix", F.when(F.size("ann") == 6, F.col("ann")[4]).otherwise(F.array_join("ids", "|")).alias("ids"), *TWO).groupBy(
+        "matrix", "ids").agg(F.count(F.lit(1)).alias("rows"), *[F.max(s).alias(s) for s in TWO])
+
+
+_CELL = ", ".join(f"coalesce(max(case when sample = '{s}' then round(value, 6) end), 0.0) as {s}" for s in TWO)
+register("report_functions", function_report, f"""
+    select 'qc' as matrix, r as ids, 1::bigint as rows, {_CELL} from (
+      select sample, 'Total_reads' as r, count(*)::double as value from {{sample_reads}} group by sample
+      union all select sample, 'QC_reads', (count(*) filter (length(seq) > 1000))::double from {{sample_reads}} group by sample) x group by r
+    union all
+    select 'taxon-superkingdom-whost', ids, 1::bigint, {_CELL} from (
+      select sample, length(lang)::varchar || '|' || lang as ids, count(*)::double as value from {{sample_reads}} group by all
+      union all select sample, db, count(distinct read_id)::double from {{sample_hits}} group by sample, db
+      union all select sample, 'both', count(distinct read_id)::double from {{sample_hits}} group by sample) x group by ids
+    union all
+    select l.name || '-KO-' || m.label, l.ko, count(distinct l.leaf), {_CELL.replace("value", "case m.label when 'depth' then k.depth else 0.0 end")} from
+      (select p_partkey as leaf, case p_brand {" ".join(f"when '{b}' then '{n}'" for n, b in FILES.items())} end as name,
+         'K' || lpad(cast(p_partkey % 300 as varchar), 5, '0') as ko from part) l
+      cross join (values ('depth')) m(label) left join {{k}} k on k.ko = l.ko
+    where l.name is not null group by 1, 2""", {
+    "k": """select sample, ko, sum(cast(case when frac > 0 then frac else 1 end as decimal(38,12)))::double as depth
+      from {sample_genes} where ko <> '' group by sample, ko"""})
+
 # ---- files written and read back -----------------------------------------------------------------
 
 

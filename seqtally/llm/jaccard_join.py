@@ -9,11 +9,16 @@ that lies within distance 1 - t of another has at most n - ceil(t n) shingles ou
 the regions of that many pivots and one more. Regions of up to `small` sets are joined as they are; the number of
 regions that two sets share also bounds what they can have in common, which drops most chance meetings.
 
-Further levels. A larger region takes some of its sets as pivots, measures all others against them, and becomes
-the Voronoi cells of these pivots; a set also enters each cell whose pivot is at most twice the radius farther
-than its nearest. A pivot is done with everyone in its region. Sets that links already connect need no more links
-between them, so a region whose sets are all connected is done; what is left goes to the next level and, in the end,
-is joined as it is.
+Windows inside a region. If a region's pivot is the first that two sets share, they have at most as much in common as
+either has from this pivot on. So a set of n shingles, r of them from the pivot on, is within the radius only of sets of
+at most (1 + 1 / t) r - n shingles: its window of sizes, outside which no partner has to be looked at. Sets that are each
+far from a common template by shingles of their own have no partner in each other's windows, however many they are.
+
+Second level. In a larger region the sets nearest its pivot (with the fewest shingles before it) become pivots
+themselves, and each set is measured against those of one of its regions. Sets that links already connect need no more
+links between them, so a region whose sets are all connected is done. In the others only pairs of different components
+that are in each other's windows are left to measure. Where these are too many to list, the region is cut into blocks,
+and tasks compare the sets of two blocks where they are and pass on links alone.
 
 Equal sets are one class throughout. Distances are computed on whole sets.
 """
@@ -28,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.llm.common import written
-from seqtally.llm.components import components
+from seqtally.llm.components import UnionFind, components
 from seqtally.llm.shingles import WIDTH, set_key, shingle_sets
 
 NUMERATOR, DENOMINATOR = 4, 5  # similarity 0.8
@@ -62,51 +67,70 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, often:
     return rows.mapInArrow(run, "_id long, n long, key long, _shingle long")
 
 
-def _shown(docs: DataFrame, text_col: str, width: int, frequent: np.ndarray) -> DataFrame:
-    """`shingle, key, n` for the pivots whose regions a document is shown to; each set once per task.
+def size_window(n: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """The most shingles that a partner may have for a set of n with i shingles before the region's pivot."""
+    return (DENOMINATOR + NUMERATOR) * (n - i) // NUMERATOR - n
+
 
-    `frequent` lists shingles in the order in which they come after all others."""
+def _shown(docs: DataFrame, text_col: str, width: int, frequent: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """`shingle, key, n, i` for the pivots whose regions a document is shown to, i of its shingles before the pivot;
+    each set once per task. In regions that are known to be large n is negative.
+
+    `frequent` lists shingles in the order in which they come after all others, `hot` tells which have large regions."""
     order = np.argsort(frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order, hot[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, rank = shared.value
+        listed, rank, large = shared.value
         seen: set[int] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
-                pivots, keys, sizes = [], [], []
+                pivots, keys, sizes, places = [], [], [], []
                 for found in shingle_sets(whole.column(0).slice(at, 1000).to_pylist(), width):
                     key = set_key(found)
                     if not len(found) or key in seen:
                         continue
                     if len(seen) < 1_000_000:  # only saves repeated rows
                         seen.add(key)
-                    take = window(len(found))
+                    n = len(found)
+                    take = window(n)
+                    sign = np.ones(take, dtype=np.int32)
                     if len(listed):
                         place = np.minimum(np.searchsorted(listed, found), len(listed) - 1)
                         late = listed[place] == found
-                        last = found[late][np.argsort(rank[place[late]])]
-                        found = np.concatenate([found[~late], last])
+                        turn = np.argsort(rank[place[late]])
+                        first = found[~late]
+                        if len(first) < take:
+                            sign[len(first):] -= 2 * large[place[late]][turn][:take - len(first)].astype(np.int32)
+                        found = np.concatenate([first, found[late][turn]])
                     pivots.append(found[:take])
                     keys.append(np.full(take, key, dtype=np.int64))
-                    sizes.append(np.full(take, len(found), dtype=np.int64))
+                    sizes.append(n * sign)
+                    places.append(np.arange(take, dtype=np.int32))
                 if pivots:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(pivots).view(np.int64)), pa.array(np.concatenate(keys)),
-                         pa.array(np.concatenate(sizes))], ["shingle", "key", "n"])
+                         pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(places))],
+                        ["shingle", "key", "n", "i"])
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "shingle long, key long, n long")
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "shingle long, key long, n int, i int")
 
 
 def _meetings(shown: DataFrame, small: int) -> DataFrame:
     """Regions one by one. Of a small one, rows (a, b, na, nb) for its pairs of fitting size, region null; of a large
-    one its members (a, na) with the region's number."""
+    one its members (a, na, nb = shingles before the pivot) with the region's number.
 
-    def emit(s: np.ndarray, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    The members of regions that are known to be large are dealt out singly and pass through.
+    """
+
+    def emit(s: np.ndarray, key: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.concatenate([[True], (s[1:] != s[:-1]) | (key[1:] != key[:-1])])  # a set may come from several tasks
-        s, key, n = s[first], key[first], n[first]
+        s, key, n, place = s[first], key[first], n[first], place[first]
         starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         sizes = np.diff(np.append(starts, len(s)))
+        known = n < 0
+        n = np.abs(n)
+        sizes[known[starts]] = small + 1
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
         for size in np.unique(sizes[(sizes > 1) & (sizes <= small)]).tolist():
             i, j = np.triu_indices(size, 1)
@@ -116,7 +140,7 @@ def _meetings(shown: DataFrame, small: int) -> DataFrame:
                 x, y = (some + i).ravel(), (some + j).ravel()
                 fits = DENOMINATOR * np.minimum(n[x], n[y]) >= NUMERATOR * np.maximum(n[x], n[y])
                 pairs.append((x[fits], y[fits]))
-        large = np.repeat(sizes > small, sizes)
+        large = np.repeat(sizes > small, np.diff(np.append(starts, len(s))))
         x = np.concatenate([p for p, _ in pairs] or [np.empty(0, np.int64)])
         y = np.concatenate([p for _, p in pairs] or [np.empty(0, np.int64)])
         m = int(large.sum())
@@ -125,22 +149,24 @@ def _meetings(shown: DataFrame, small: int) -> DataFrame:
                 pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(s[large])]),
                 pa.array(np.concatenate([key[x], key[large]])),
                 pa.concat_arrays([pa.array(key[y]), pa.nulls(m, pa.int64())]),
-                pa.array(np.concatenate([n[x], n[large]])),
-                pa.concat_arrays([pa.array(n[y]), pa.nulls(m, pa.int64())])], ["region", "a", "b", "na", "nb"])
+                pa.array(np.concatenate([n[x], n[large]]).astype(np.int32)),
+                pa.array(np.concatenate([n[y], place[large]]).astype(np.int32))], ["region", "a", "b", "na", "nb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 3
+        parts: list[list[np.ndarray]] = []
         for batch in batches:
-            held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
-            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last region may go on
+            now = [c.to_numpy() for c in batch.columns]
+            cut = int(np.searchsorted(now[0], now[0][-1]))  # the last region may go on
             if cut:
-                yield from emit(*(h[:cut] for h in held))
-                held = [h[cut:] for h in held]
-        if len(held[0]):
-            yield from emit(*held)
+                yield from emit(*(np.concatenate([p[k] for p in parts] + [now[k][:cut]]) for k in range(4)))
+                parts = []
+            parts.append([c[cut:] for c in now])
+        if parts:
+            yield from emit(*(np.concatenate([p[k] for p in parts]) for k in range(4)))
 
-    return (shown.repartition("shingle").sortWithinPartitions("shingle", "key")
-            .mapInArrow(run, "region long, a long, b long, na long, nb long"))
+    deal = F.when(F.col("n") < 0, F.xxhash64("shingle", "key")).otherwise(F.col("shingle"))
+    return (shown.repartition(deal).sortWithinPartitions("shingle", "key")
+            .mapInArrow(run, "region long, a long, b long, na int, nb int"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -198,46 +224,144 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, key: str, label: str) -
     return rows.join(named, key, "left").withColumn(label, F.coalesce(label, key))
 
 
-def _pivots(region: DataFrame, round_: int, lanes: int) -> DataFrame:
-    """`region, b`: up to `lanes` sets of each region. Sets outside the region's largest connected group come first,
-    then an order that all regions share decides; lanes keep groups apart."""
-    order = F.struct((F.col("la") == F.col("_most")).alias("m"), F.xxhash64(F.lit(round_), "a").alias("o"), "a")
-    lane = F.pmod(F.xxhash64(F.lit(round_), "la"), F.lit(lanes))
-    return (region.groupBy("region", lane.alias("_lane")).agg(F.min(order).alias("_p"))
-            .select("region", F.col("_p.a").alias("b")))
+def in_windows(n: Column, i: Column, m: Column, j: Column) -> Column:
+    """Whether two sets of a region are in each other's windows of sizes."""
+    return (DENOMINATOR + NUMERATOR) * F.least(n - i, m - j) >= NUMERATOR * (n + m)
+
+
+def _star(large: DataFrame, pivots: int) -> DataFrame:
+    """`a, b`: each set with the pivots of the first of its large regions, if they are in each other's windows.
+
+    Pivots are the sets with the smallest share of shingles before the region's own pivot; lanes keep them apart."""
+    home = large.groupBy("a").agg(F.min(F.struct("i", "region", "na")).alias("_h")).select(
+        "a", "_h.region", "_h.na", "_h.i")
+    lane = F.pmod(F.xxhash64("a"), F.lit(pivots))
+    nearest = F.struct((F.col("i") / F.col("na")).alias("d"), F.xxhash64("a").alias("o"), F.col("a").alias("b"),
+                       F.col("na").alias("nb"), F.col("i").alias("j"))
+    chosen = large.groupBy("region", lane.alias("_lane")).agg(F.min(nearest).alias("_p")).select(
+        "region", "_p.b", "_p.nb", "_p.j")
+    return home.join(chosen, "region").where(
+        (F.col("a") != F.col("b")) & in_windows(F.col("na"), F.col("i"), F.col("nb"), F.col("j"))).select("a", "b")
+
+
+def _apart(region: DataFrame, small: int, block: int = 1 << 16) -> DataFrame:
+    """What regions `region, a, na, i, la` leave to measure: rows `a, b` of pairs in each other's windows from different
+    components, or, where a region has more than `small` of these a set, its members with b null.
+
+    A region of more than `block` sets is cut into as many blocks, and pairs of blocks go to a task each."""
+    sizes = region.groupBy("region").agg(F.count(F.lit(1)).alias("_size"), F.min("la").alias("_lo"),
+                                         F.max("la").alias("_hi")).where("_lo <> _hi")
+    blocks = (1 + F.floor(F.col("_size") / block)).cast("int")
+    mine = F.pmod(F.xxhash64("a"), F.col("_blocks")).cast("int")
+    open_ = (region.join(sizes.select("region", blocks.alias("_blocks")), "region").withColumn("_mine", mine)
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+             .select("region", F.least("_mine", "_other").alias("_x"), F.greatest("_mine", "_other").alias("_y"),
+                     "_mine", "a", "na", "i", "la"))
+
+    def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        (region_,), (x_,), (y_,) = (np.unique(r) for r in rows[:3])
+        mine_, a, n, i, label = rows[3:]
+        n, i = n.astype(np.int64), i.astype(np.int64)
+        order = np.lexsort((a, n))
+        mine_, a, n, most, label = mine_[order], a[order], n[order], size_window(n, i)[order], label[order]
+        labels, counts = np.unique(label, return_counts=True)
+        minor = np.flatnonzero(label != labels[np.argmax(counts)])
+        found, total = [], 0
+        for at in range(0, len(minor), 512):
+            p = minor[at:at + 512]
+            low, high = n[p[0]] * NUMERATOR // DENOMINATOR, most[p].max()
+            q = np.flatnonzero((n >= low) & (n <= high) & (most >= n[p[0]]))
+            meets = ((n[q] <= most[p, None]) & (n[p, None] <= most[q]) & (label[p, None] != label[q])
+                     & (DENOMINATOR * np.minimum(n[p, None], n[q]) >= NUMERATOR * np.maximum(n[p, None], n[q])))
+            if x_ != y_:
+                meets &= mine_[p, None] != mine_[q]
+            u, v = np.nonzero(meets)
+            found.append((a[p[u]], a[q[v]]))
+            total += len(u)
+            if total > small * len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), region_)), pa.array(a), pa.nulls(len(a), pa.int64())],
+                                                 ["region", "a", "b"])
+                return
+        if total:
+            u, v = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.nulls(total, pa.int64()), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
+                                             ["region", "a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[np.ndarray]] = []
 
-def _cells(near: DataFrame, pivots: DataFrame, measured: DataFrame) -> DataFrame:
-    """Members of the Voronoi cells around a region's pivots; `near` has a row for each member and pivot."""
-    far = measured.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("_d"))
-    radius = 1 - NUMERATOR / DENOMINATOR
-    done = pivots.select("region", F.col("b").alias("a"))  # a pivot has met everyone
-    ranked = (near.where("a <> b").join(far, ["a", "b"]).join(done, ["region", "a"], "left_anti"))
-    nearest = ranked.groupBy("region", "a").agg(F.min(F.struct("_d", "b")).alias("_n"))
-    inside = ranked.join(nearest, ["region", "a"]).where(F.col("_d") <= F.col("_n._d") + 2 * radius + 1e-9)
-    return inside.select(F.xxhash64("region", "b").alias("region"), "a", "na",
-                         (F.col("home") & (F.col("b") == F.col("_n.b"))).alias("home"))
+        def cuts(now: list[np.ndarray]) -> np.ndarray:
+            return np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0) | (np.diff(now[2]) != 0)) + 1
 
+        for batch in batches:
+            now = [c.to_numpy() for c in batch.columns]
+            if parts and any(parts[-1][k][-1] != now[k][0] for k in range(3)):
+                yield from emit([np.concatenate([p[k] for p in parts]) for k in range(8)])
+                parts = []
+            begin = 0
+            for cut in cuts(now).tolist():
+                yield from emit([np.concatenate([p[k] for p in parts] + [now[k][begin:cut]]) for k in range(8)])
+                parts, begin = [], cut
+            parts.append([c[begin:] for c in now])
+        if parts:
+            yield from emit([np.concatenate([p[k] for p in parts]) for k in range(8)])
+
+    return (open_.repartition("region", "_x", "_y").sortWithinPartitions("region", "_x", "_y")
+            .mapInArrow(run, "region long, a long, b long"))
+
+
+def _dense_links(members: DataFrame, sets: DataFrame, block: int = 1024) -> DataFrame:
+    """Links `a, b` inside regions `region, a, la` too dense to list their pairs; sets of one component are not
+    compared. Tasks hold the sets of two blocks and pass on a spanning forest of what they link."""
+    sizes = members.groupBy("region").agg((1 + F.floor(F.count(F.lit(1)) / block)).cast("int").alias("_blocks"))
+    dealt = (members.join(sizes, "region").withColumn("_mine", F.pmod(F.xxhash64("a"), F.col("_blocks")).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+             .select(F.xxhash64("region", F.least("_mine", "_other"), F.greatest("_mine", "_other")).alias("_g"), "a", "la")
+             .join(sets.withColumnRenamed("key", "a"), "a").select("_g", "a", "la", "shingles"))
+
+    def compare(keys: list[int], labels: list[int], held: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        forest = UnionFind()
+        for key, label in zip(keys, labels):
+            forest.join(key, label)
+        sizes = np.array([len(h) for h in held])
+        words, codes = np.unique(np.concatenate(held), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        mark = np.zeros(len(words), dtype=np.int64)
+        for at in range(len(held)):
+            own = codes[starts[at]:starts[at] + sizes[at]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[codes[starts[at]:]], starts[at:] - starts[at])
+            mark[own] = 0
+            near = DENOMINATOR * common >= NUMERATOR * (sizes[at:] + sizes[at] - common)
+            for other in (np.flatnonzero(near[1:]) + at + 1).tolist():
+                if forest.join(keys[at], keys[other]):
+                    yield keys[at], keys[other]
 
-def _leaf_pairs(region: DataFrame) -> DataFrame:
-    """Pairs of a region of which one is at home there, of fitting sizes, not yet connected.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, keys, labels, held = None, [], [], []
 
-    Two sets that are both at home in several regions meet in the smallest of these only.
-    """
-    homes = region.where("home").groupBy("a").agg(F.collect_set("region").alias("_in"))  # as many as windows have pivots
-    one = region.join(homes, "a", "left")
-    two = one.select("region", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("la").alias("lb"),
-                     F.col("home").alias("_home"), F.col("_in").alias("_in2"))
-    fits = DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb")
-    first = F.col("region") == F.array_min(F.array_intersect("_in", "_in2"))
-    meets = F.when(F.col("home") & F.col("_home"), first).otherwise(F.col("home") | F.col("_home"))
-    return (one.join(two, "region").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits & meets)
-            .select("a", "b").distinct())
+        def done() -> pa.RecordBatch:
+            links = list(compare(keys, labels, held))
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()),
+                                               pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for at, g in enumerate(batch.column("_g").to_pylist()):
+                if g != group and keys:
+                    yield done()
+                    keys, labels, held = [], [], []
+                group = g
+                keys.append(batch.column("a")[at].as_py())
+                labels.append(batch.column("la")[at].as_py())
+                held.append(np.frombuffer(batch.column("shingles")[at].as_py(), dtype=np.uint64))
+        if keys:
+            yield done()
+
+    return dealt.repartition("_g").sortWithinPartitions("_g", "a").mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                       small: int = 128, levels: int = 4, lanes: int = 4,
-                       most_frequent: int = 1 << 20) -> DataFrame:
+                       small: int = 128, pivots: int = 3, most_frequent: int = 1 << 20) -> DataFrame:
     """`doc_id, n_shingles, component_id`, one row per input row.
 
     Null and empty texts have no shingles and link with nothing, as do rows with a null id, whose component is null.
@@ -245,7 +369,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bound links. An empty table gives no rows. Other columns are not read. Sets are compared as 64-bit hashes of
     their shingles.
 
-    `small`, `levels` and `lanes` only steer the work. `most_frequent` bounds the list of shingles that come last,
+    `small` and `pivots` only steer the work. `most_frequent` bounds the list of shingles that come last,
     which changes no result either.
     """
     prints = written(fingerprints(docs, id_col, text_col, width))
@@ -255,10 +379,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     listed = (prints.where("key is null").groupBy("_shingle").agg(F.sum("n").alias("n"))
               .where(F.col("n") >= max(8, n_docs // 5000)).orderBy(F.desc("n"), "_shingle").limit(most_frequent).collect())
     frequent = np.array([r[0] for r in reversed(listed)], dtype=np.int64).view(np.uint64)
+    hot = np.array([r[1] > 8 * small for r in reversed(listed)], dtype=bool)
     classes = written(rows.where("n > 0 and _id is not null").groupBy("key").agg(F.min("_id").alias("_id"),
                                                                                 F.first("n").alias("n")))
-    met = written(_meetings(_shown(docs, text_col, width, frequent), small))
-    large = written(met.where("region is not null").select("region", "a", "na", F.lit(True).alias("home")))
+    met = written(_meetings(_shown(docs, text_col, width, frequent, hot), small))
+    large = met.where("region is not null").select("region", "a", "na", F.col("nb").alias("i"))
 
     # Two sets share at most the small regions where they met, the large ones both may be in, and what lies behind
     # the windows.
@@ -279,48 +404,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = involved.join(classes, "key").select("_id", "key")
     sets = written(_sets_of(docs, wanted, id_col, text_col, width))
 
-    labels = None
-
-    def measure(found: DataFrame) -> DataFrame:
-        """Distances of pairs; `labels` takes in the links among them."""
-        nonlocal labels
-        done = written(_measured(found, sets))
-        more = done.where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b")
+    def labelled(found: DataFrame, labels: DataFrame | None, more: DataFrame | None = None) -> DataFrame:
+        """Components by the links among the pairs found, those known and those given."""
+        links = _measured(found, sets).where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b")
         if labels is not None:
-            more = more.union(labels.select(F.col("node").alias("a"), F.col("component_id").alias("b")))
-        labels = components(more, "a", "b")
-        return done
+            links = links.union(labels.select(F.col("node").alias("a"), F.col("component_id").alias("b")))
+        return components(links if more is None else links.union(more), "a", "b")
 
     # One partner of each set, and a few pivots for all of a large region, first; then what these have not connected.
     partner = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("b"))
-    pivots = _pivots(large.withColumn("la", F.col("a")).withColumn("_most", F.lit(None).cast("long")), 0, 4 * lanes)
-    once = large.groupBy("a").agg(F.min("region").alias("region"))  # here one region of each set will do
-    star = once.join(pivots, "region").where("a <> b").select("a", "b")
-    measure(partner.union(star).distinct())
-    left = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
-
-    region, level = large, 0
-    while True:
-        named = _labelled(region, labels, "a", "la")
-        open_ = (named.groupBy("region", "la").agg(F.count(F.lit(1)).alias("_n")).groupBy("region").agg(
-            F.count(F.lit(1)).alias("_groups"), F.max_by("la", F.struct("_n", "la")).alias("_most"),
-            F.sum("_n").alias("_size"), F.sum(F.col("_n") * F.col("_n")).alias("_squares")).where("_groups > 1"))
-        # Pairs between groups: a region where almost all sets are connected is joined as it is, too.
-        pairs_left = (F.col("_size") * F.col("_size") - F.col("_squares")) / 2
-        region = written(named.join(open_.select("region", "_size", "_most", pairs_left.alias("_left")), "region"))
-        level += 1
-        small_enough = F.lit(level > levels) | (F.col("_size") <= small) | (F.col("_left") <= small * F.col("_size"))
-        due = _leaf_pairs(region.where(small_enough))
-        due = due if left is None else due.union(left)
-        left = None
-        rest = region.where(~small_enough)
-        if rest.isEmpty():
-            measure(due.distinct())
-            break
-        pivots = _pivots(rest, level, lanes)
-        near = written(rest.join(pivots, "region"))
-        measured = measure(due.union(near.where("a <> b").select("a", "b")).distinct())
-        region = written(_cells(near, pivots, measured))
+    labels = labelled(partner.union(_star(large, pivots)).distinct(), None)
+    left = written(_apart(_labelled(large, labels, "a", "la"), small))
+    due = (_labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
+           .union(left.where("b is not null").select("a", "b")).distinct())
+    dense = left.where("b is null").select("region", "a").distinct()
+    links = None if dense.isEmpty() else _dense_links(_labelled(dense, labels, "a", "la"), sets)
+    labels = labelled(due, labels, links)
 
     # From class keys to smallest ids.
     placed = _labelled(classes, labels, "key", "_label")

@@ -57,7 +57,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"small": 3, "levels": 2}, {"small": 3, "levels": 0}, {"small": 2, "levels": 5, "lanes": 2}])
+@pytest.mark.parametrize("options", [{}, {"small": 3}, {"small": 1, "pivots": 1}, {"small": 2, "pivots": 5}])
 def test_components(docs_of, rows, options):
     docs = docs_of([(i, t, "en", "a") for i, t in rows])
     assert found(docs, **options) == by_hand(rows)
@@ -86,3 +86,53 @@ def test_long_chain_of_links(spark):
     links = list(zip(order, order[1:]))[:250] + [(700, 700), (None, 3), (901, 900), (900, 901), (901, 900)]
     got = {r.node: r.component_id for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {x: min(order[:251]) for x in order[:251]} | {900: 900, 901: 900}
+
+
+def template(n, own, seed=1):
+    """Texts of 140 words of which the last `own` are their own: at a similarity that falls with `own`."""
+    base = words(seed, 140).split()
+    return [(i, " ".join(base[:140 - own] + words(1000 + i, own).split())) for i in range(n)]
+
+
+@pytest.mark.parametrize("own", [4, 9, 14, 22])
+@pytest.mark.parametrize("options", [{"small": 16}, {"small": 1, "pivots": 1}])
+def test_one_template(docs_of, own, options):
+    rows = template(60, own) + [(100 + i, t) for i, t in template(30, 9)] + [(200, words(1, 140))]
+    assert found(docs_of([(i, t, "en", "a") for i, t in rows]), **options) == by_hand(rows)
+
+
+def test_far_copies_of_one_template_take_rows_in_proportion(docs_of, monkeypatch):
+    import seqtally.llm.jaccard_join as jj
+    measured, real = [], jj._measured
+
+    def counting(pairs, sets):
+        measured[-1] += pairs.select("a", "b").distinct().count()
+        return real(pairs, sets)
+
+    monkeypatch.setattr(jj, "_measured", counting)
+    for n in (600, 1200):
+        measured.append(0)
+        rows = jaccard_components(docs_of([(i, t, "en", "a") for i, t in template(n, 22)])).collect()
+        assert all(r.component_id == r.doc_id for r in rows)
+    assert measured[1] <= 2.5 * max(measured[0], 300) and measured[1] < 6000
+
+
+def test_dense_region_with_links_across_blocks(spark):
+    import seqtally.llm.jaccard_join as jj
+    pick = random.Random(3)
+    sets, groups = [], []
+    for g in range(12):
+        base = set(range(1000 * g, 1000 * g + 40)) | set(range(10))
+        for _ in range(6):
+            s = set(base)
+            s.discard(pick.choice(sorted(base)))
+            sets.append(np.array(sorted(s), dtype=np.uint64))
+            groups.append(g)
+    rows = [(7, i, i) for i in range(len(sets))]
+    members = spark.createDataFrame(rows, "region long, a long, la long")
+    bytes_of = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "key long, shingles binary")
+    for block in (4, 1000):
+        links = jj._dense_links(members, bytes_of, block)
+        label = {r.node: r.component_id for r in components(links, "a", "b").collect()}
+        assert {label[i] for i in range(len(sets))} == {6 * g for g in range(12)}
+        assert all(groups[i] == groups[j] for i, j in label.items())

@@ -307,6 +307,12 @@ for _level in "ABC":
     register(f"level_rollup_{_level}",
              lambda v, x=_level: hi.level_rollup(ko(v), leaves(v), hi.brite_nodes(v.keg), [x])
              .withColumnRenamed("node_ord", "node_order"), _ROLL + f" where a.level = '{_level}'", LEVEL)
+register("level_rollup_D", lambda v: hi.level_rollup(ko(v), hi.flatten_brite(v.module_keg), hi.brite_nodes(v.module_keg), ["D"])
+         .select("file", "level", "node", "descr", "members", "found", "coverage", "depth", "depth_adj"), """
+    select file, 'D' as level, node, 'Module ' || cast(cast(substr(node, 2) as int) as varchar) as descr, members, found,
+      round(trunc(found / members * 1000) / 1000, 6) as coverage, round(d, 6) as depth, round(da, 6) as depth_adj from {agg}""", {
+    **LEVEL, "members": """select p_brand as file, 'D' as level, 'M' || lpad(cast(p_partkey % 7 as varchar), 5, '0') as node,
+        'K' || lpad(cast(p_partkey % 300 as varchar), 5, '0') as ko from {part}"""})
 register("full_listing", lambda v: hi.full_listing(leaves(v), ko(v)), """
     select file, leaf_ord + 1000001 as id, "A", "B", "C", "D", l.ko, l.descr,
       """ + ", ".join(f"round(coalesce(k.{c}, 0.0), 6) as {c}" for c in (

@@ -18,6 +18,8 @@ from seqtally.session import shared_folder
 from seqtally.sources import sequences as ss
 from seqtally.sources import sinks as sk
 from seqtally.sources import tables as ts
+from seqtally.sources.store import write_store
+from seqtally.sources.text import read_lines
 
 BY = ["sample"]
 
@@ -162,6 +164,56 @@ def sam_files(v):
     return ts.read_sam(v.spark, again).select("read_id", "flag", "ref_id", "pos", "score")
 
 
+def sam_header_files(v):
+    """Host groups removed from SAM text whose header is passed through to every file."""
+    path = _folder(v)
+    _sam_lines(v).write.text(path)
+    again = _folder(v)
+    heads = ts.sam_headers(read_lines(v.spark, path))
+    sk.write_sam(al.drop_host_groups(ts.read_sam(v.spark, path), 60), again, heads, one_section=False)
+    lines = read_lines(v.spark, again)
+    rows = ts.parse_sam(lines).select(F.concat_ws("|", "read_id", "flag", "ref_id", "pos").alias("value"))
+    return ts.sam_headers(lines).select("value").distinct().unionByName(rows)
+
+
+def key_files(v):
+    """One text file per sample, each with a header, read back as tables."""
+    path = _folder(v)
+    sk.write_by_key(v.long.select("sample", F.concat_ws("\t", "feature", F.col("ord").cast("string")).alias("value"), "ord"),
+                    path, "sample", header="#feature\tnumber\n")
+    table = ts.read_headed_tsv(v.spark, path)
+    return table.select(F.regexp_extract("ord.file", r"([^/]+)\.tsv$", 1).alias("sample"), "feature",
+                        F.col("number").cast("long").alias("number"))
+
+
+def sample_folders(v):
+    """A file per sample of the sheet, one of them missing and one empty: both modes."""
+    path = _folder(v)
+    long = v.long.select("sample", "feature", F.col("ord").alias("number"))
+    long.write.partitionBy("sample").csv(path, sep="\t", header=True)
+    v.spark.range(0).select(F.lit("").alias("value")).coalesce(1).write.text(f"{path}/sample=none")
+    listed = long.select(F.concat(F.lit("sample="), "sample").alias("sample_id")).distinct().withColumn("ord", F.lit(0))
+    odd = v.spark.createDataFrame([("sample=none", 1), ("sample=nowhere", 2)], "sample_id string, ord int")
+    read = lambda sheet, mode: ts.read_per_sample(
+        v.spark, path, "part-*", sheet, ts.read_headed_tsv, mode).select(
+            F.lit(mode).alias("mode"), F.substring_index("sample_id", "=", -1).alias("sample"), "feature",
+            F.col("number").cast("long").alias("number"))
+    return read(listed, "error").unionByName(read(listed.unionByName(odd), "skip"))
+
+
+def store_files(v):
+    """A sequence store, and the records of an id list from the files that may hold them."""
+    path = _folder(v)
+    write_store(v.seq.select("seq_id", "header", "seq"), path)
+    return sq.fetch_large(path, v.id_list).select("seq_id", "header")
+
+
+def filtered_ids(v):
+    """Listed and other records, told apart by a filter of the ids before anything is shuffled."""
+    kept = sq.fetch_by_ids(v.seq, v.id_list, bloom_bits=1 << 20).select("seq_id", F.lit(True).alias("listed"))
+    return kept.unionByName(sq.exclude_ids(v.seq, v.id_list, bloom_bits=1 << 20).select("seq_id", F.lit(False).alias("listed")))
+
+
 def tsv_files(v):
     path = _folder(v)
     sk.write_tsv(v.catalog.select("acc", "taxid", "name"), path)
@@ -209,6 +261,17 @@ register("sam_files_host_groups", sam_files, """
     select cast(read_id as varchar) as read_id, flag, ref_id, cast(pos as int) as pos, case when flag <> 67 then score end as score
     from {aln} where flag % 2 = 1 and read_id not in (
       select read_id from {aln} where flag % 2 = 1 and flag <> 67 and score >= 60)""")
+register("sam_header_files", sam_header_files, """
+    select '@SQ' || chr(9) || 'SN:' || ref_id || chr(9) || 'LN:' || length as value from {ref}
+    union all select read_id || '|' || flag || '|' || ref_id || '|' || pos from {aln} where flag % 2 = 1 and read_id not in (
+      select read_id from {aln} where flag % 2 = 1 and flag <> 67 and score >= 60)""")
+register("key_files", key_files, "select sample, feature, ord as number from {long}")
+register("sample_folders", sample_folders, """
+    select mode, sample, feature, ord as number from {long} cross join (values ('error'), ('skip')) m(mode)""")
+register("store_files", store_files, """
+    select seq_id, header from {seq} where seq_id in (select split_part(id, ' ', 1) from {id_list})""")
+register("filtered_ids", filtered_ids, """
+    select seq_id, seq_id in (select split_part(id, ' ', 1) from {id_list}) as listed from {seq}""")
 register("tsv_files", tsv_files, "select acc, taxid::varchar as taxid, name from {catalog}")
 register("split_files", split_files, "select sample, feature, round(value, 6) as value, ord as number from {long}")
 register("parquet_files", parquet_files, "select sample as sample_id, feature, ord as number from {long}")

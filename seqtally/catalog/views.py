@@ -165,6 +165,16 @@ VIEWS: dict[str, str] = {
           'D      K' || lpad(cast(p_partkey % 300 as string), 5, '0') || '  gene ' || cast(p_partkey % 300 as string) from {part}
         union all select p_brand, '~1', '!' from {part} group by p_brand
         union all select p_brand, '~2', 'D      K99999  after the end' from {part} group by p_brand""",
+    # The same with modules on the fourth level and KOs on the fifth.
+    "module_keg": """
+        select * from {keg} where substring(value, 1, 1) <> 'D'
+        union all select p_brand, p_type || '/' || split_part(p_name, ' ', 1) || '/' || lpad(cast(p_size as string), 5, '0')
+            || '/' || cast(p_partkey % 7 as string),
+          'D      M' || lpad(cast(p_partkey % 7 as string), 5, '0') || '  Module ' || cast(p_partkey % 7 as string)
+          from {part} group by p_brand, p_type, split_part(p_name, ' ', 1), p_size, p_partkey % 7
+        union all select p_brand, p_type || '/' || split_part(p_name, ' ', 1) || '/' || lpad(cast(p_size as string), 5, '0')
+            || '/' || cast(p_partkey % 7 as string) || '/' || lpad(cast(p_partkey as string), 12, '0'),
+          'E        K' || lpad(cast(p_partkey % 300 as string), 5, '0') || '  gene ' || cast(p_partkey % 300 as string) from {part}""",
     "ref_kos": """
         select case when p_size <= 4 then 'J  K' || lpad(cast(p_partkey % 300 as string), 5, '0') || ' ' || p_name
           else '# K' || lpad(cast(p_partkey % 300 as string), 5, '0') end as value from {part}""",

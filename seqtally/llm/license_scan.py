@@ -1,7 +1,8 @@
 """License passages by diagonal voting, in DataFrame functions only.
 
 Every pair of neighbouring words of every text meets the template positions that hold the same pair. A match
-votes for the diagonal text position minus template position. Neighbouring diagonals, which insertions and
+votes for the diagonal text position minus template position. A long template has many common pairs, so it needs a
+few votes on a diagonal before that counts. Neighbouring diagonals, which insertions and
 deletions separate, are merged into spans, and a span stands if it shows enough of the template within a
 bounded stretch of text. The words themselves are compared, not only their hashes.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqtally.llm.common import lower_ascii
+from seqtally.llm.license_texts import BODIES
 
 # Phrases of the contract with their labels.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -35,6 +37,9 @@ NOTICES = [
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
 ]
 
+TEMPLATES = [*NOTICES, *BODIES]
+LONG, LONG_VOTES = 64, 3  # templates of so many word pairs need so many votes on a diagonal
+
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -49,7 +54,7 @@ def pairs_of(words: Column) -> Column:
 
 
 def template_pairs(spark: SparkSession, base: Sequence[tuple[str, str]] = tuple(BASE),
-                   notices: Sequence[tuple[str, str]] = tuple(NOTICES)) -> DataFrame:
+                   notices: Sequence[tuple[str, str]] = tuple(TEMPLATES)) -> DataFrame:
     """A row for each pair of neighbouring words in a template: a table as small as the template texts."""
     rows = []
     for number, (text, label) in enumerate([*base, *notices]):
@@ -61,7 +66,7 @@ def template_pairs(spark: SparkSession, base: Sequence[tuple[str, str]] = tuple(
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         base: Sequence[tuple[str, str]] = tuple(BASE), notices: Sequence[tuple[str, str]] = tuple(NOTICES),
+         base: Sequence[tuple[str, str]] = tuple(BASE), notices: Sequence[tuple[str, str]] = tuple(TEMPLATES),
          min_shown: float = 0.8, max_gap: int = 3) -> DataFrame:
     """`_id, _text_hash, n_words, n_rows, label, is_base, start, end, shown`: a row per place found, and one with
     a null label per document, which alone has `n_words` and the number of equal input rows.
@@ -91,7 +96,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at_diagonal = F.when(F.col("is_base"), F.col("_diagonal"))  # places of a phrase stay apart
     in_text = Window.partitionBy(*key, "template").orderBy("_diagonal")
     apart = F.coalesce(F.col("_diagonal") - F.lag("_diagonal").over(in_text) > max_gap, F.lit(False)).cast("int")
-    spans = (votes.withColumn("_apart", apart)
+    enough = F.col("template").isNull() | (F.col("n_pairs") < LONG) | (F.size("_seen") >= LONG_VOTES)
+    spans = (votes.where(enough).withColumn("_apart", apart)
              .withColumn("_span", F.coalesce(at_diagonal, F.sum("_apart").over(in_text)))
              .groupBy(*key, *what, "_span")
              .agg(F.max("n_words").alias("n_words"), F.sum("n_rows").alias("n_rows"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from seqtally.llm.chat_format import MARK
-from seqtally.llm.license_scan import BASE, NOTICES
+from seqtally.llm.license_scan import BASE, LONG, LONG_VOTES, TEMPLATES
 
 NEAR_DUPLICATES = """
 with recursive v as (
@@ -68,7 +68,7 @@ from n left join sizes using (doc_id) left join kept using (doc_id)
 
 def _templates() -> str:
     rows = []
-    for number, (text, label) in enumerate([*BASE, *NOTICES]):
+    for number, (text, label) in enumerate([*BASE, *TEMPLATES]):
         words = text.split()
         rows += [f"({number}, '{label}', {number < len(BASE)}, {len(words) - 1}, {at}, '{w}', '{v}')"
                  for at, (w, v) in enumerate(zip(words, words[1:]))]
@@ -80,8 +80,10 @@ with t(template, label, is_base, n_pairs, t_pos, w, v) as (values {_templates()}
 d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as words from documents),
 p as (select doc_id, i - 1 as pos, words[i] as w, words[i + 1] as v from d, unnest(range(1, len(words))) x(i)),
-votes as (select doc_id, template, label, is_base, n_pairs, pos - t_pos as diagonal, pos, t_pos
+all_votes as (select doc_id, template, label, is_base, n_pairs, pos - t_pos as diagonal, pos, t_pos
   from p join t on p.w = t.w and p.v = t.v),
+votes as (select * from all_votes
+  qualify n_pairs < {LONG} or count(*) over (partition by doc_id, template, pos - t_pos) >= {LONG_VOTES}),
 apart as (select *, diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) > 3 as new from votes),
 runs as (select *, case when is_base then diagonal
   else sum(coalesce(new, false)::int) over (partition by doc_id, template order by diagonal) end as run from apart),

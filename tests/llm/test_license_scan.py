@@ -1,6 +1,8 @@
+import random
 import re
 
 from seqtally.llm.license_scan import BASE, license_labels, scan
+from seqtally.llm.license_texts import BODIES
 from tests.llm.conftest import words
 
 
@@ -56,3 +58,21 @@ def test_empty_table(no_docs):
 def test_stays_in_the_engine(docs_of):
     plan = license_labels(docs_of([(1, "a b", "en", "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_bodies_stand_with_edits_in_long_texts(docs_of):
+    pick = random.Random(5)
+    rows, expected = [], {}
+    for i, (text, label) in enumerate(BODIES):
+        w = text.split()
+        for place in pick.sample(range(len(w)), len(w) // 40):
+            w[place] = pick.choice(["", "x", w[place] + " really"])  # left out, replaced, followed by another
+        common = " of the and or the software in the use of this software ".split()
+        before = " ".join(pick.choice(common) if pick.random() < 0.3 else words(100 + i, 1) for _ in range(3000))
+        rows.append((i, f"{before} {' '.join(w)} {words(i, 500)}", "en", "a"))
+        expected[i] = label
+    rows.append((50, " ".join(BODIES[0][0].split()[:60]) + " " + words(7, 100), "en", "a"))
+    got = {r.doc_id: r for r in license_labels(docs_of(rows)).collect()}
+    assert all(expected[i] in got[i].labels.split(",") and got[i].score >= 0.8 for i in expected)
+    assert "isc" not in got[0].labels and "zlib" not in got[1].labels
+    assert got[50].labels == "mit"  # by its first words, a notice of its own

@@ -5,12 +5,13 @@ Components are terms and their integer values impacts. Documents are cut into bl
 term. The sum of a query's best products with these maxima bounds every score in the block. Each query visits
 blocks from the highest bound down, scores them whole through the forward index, and stops when the next bound
 is below its k-th score. Blocks are gathered into ranges and queries into batches; a pair of the two is one
-task's work, and each query's few best rows of each range are merged at the end.
+task's work, and each query's few best rows of each range are merged at the end. Within a range vectors stand in order
+of their signs, strongest components first, so that a block's maxima are those of vectors that point alike. A few
+ranges are searched first: the k-th score they give a query is where all other ranges begin.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,11 @@ class Blocks:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, block_size: int) -> None:
         self.starts = np.arange(0, len(ids), block_size)
-        self.ids, self.vectors, self.size = ids, vectors, block_size
+        strongest = np.argsort(-np.abs(vectors).sum(axis=0), kind="stable")[:62]
+        signs = (vectors[:, strongest] > 0) @ (np.int64(1) << np.arange(len(strongest), dtype=np.int64)[::-1])
+        order = np.argsort(signs, kind="stable")
+        self.ids, self.vectors, self.size = ids[order], vectors[order], block_size
+        vectors = self.vectors
         self.high = np.maximum.reduceat(vectors, self.starts, axis=0)
         self.low = np.minimum.reduceat(vectors, self.starts, axis=0)
 
@@ -56,19 +61,26 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+LOWEST = np.iinfo(np.int64).min + 1
+
+
+def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int,
+            least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(ids, scores) of the k best rows per query, unused places at the lowest score, and how many of the
-    query-block pairs were scored. Ties go to the smaller id; a query's own id does not count."""
-    lowest = np.iinfo(np.int64).min + 1
+    query-block pairs were scored. Ties go to the smaller id; a query's own id does not count. Rows below the
+    score `least` of their query may be left out."""
+    lowest = LOWEST
     n = len(q_ids)
     top = np.full((n, k), lowest)
+    least = np.full(n, lowest) if least is None else least
     top_ids = np.full((n, k), np.iinfo(np.int64).max)
     bounds = blocks.bounds(queries)
     order = np.argsort(-bounds, axis=1, kind="stable")
     waiting, scored = np.arange(n), 0
     for step in range(order.shape[1]):
         next_block = order[waiting, step]
-        going = bounds[waiting, next_block] >= top[waiting, -1]  # an equal score may still win by its id
+        # An equal score may still win by its id.
+        going = bounds[waiting, next_block] >= np.maximum(top[waiting, -1], least[waiting])
         waiting, next_block = waiting[going], next_block[going]
         if not len(waiting):
             break
@@ -89,64 +101,76 @@ def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int) -> t
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str = "vec_id",
            vec_col: str = "embedding", scale: int = 1024, block_size: int = 64, range_size: int = 4096,
-           batch_size: int = 4096) -> DataFrame:
+           batch_size: int = 4096, probe: int = 4) -> DataFrame:
     """`query_id, rank, vec_id, score`: each query's k best candidates by the inner product of quantized vectors.
 
     Rows with a null id, a null vector, or null or non-finite components take no part; an empty vector scores 0
-    with everything, and missing components of shorter vectors count as 0. Rows that repeat an id and a vector
-    count once; different vectors under one id all count, as candidates and as queries of one id. A query's own
-    id is no candidate. Fewer candidates than k give fewer rows; an empty table gives none. Other columns are
-    not read.
+    with everything, and missing components of shorter vectors count as 0. Every candidate row counts, repeated ones as
+    often as they occur; equal query rows are one query, different vectors under one id are queries of that id each. A
+    query's own id is no candidate. Fewer candidates than k give fewer rows; an empty table gives none. Other columns are
+    not read. `block_size`, `range_size`, `batch_size` and `probe`, the ranges searched first, only steer the work.
     """
     def prepared(df: DataFrame) -> DataFrame:
         x = F.col(vec_col)
         bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
         kept = df.where(F.col(id_col).isNotNull() & x.isNotNull() & ~bad)
-        return kept.select(F.col(id_col).cast("long").alias("_id"), quantized(x, scale).alias("_x")).distinct()
+        return kept.select(F.col(id_col).cast("long").alias("_id"), quantized(x, scale).alias("_x"))
 
-    docs, asked = written(prepared(candidates)), written(prepared(queries))
+    docs = written(prepared(candidates))
+    asked = written(prepared(queries).distinct().withColumn("_mark", F.xxhash64("_id", "_x")))  # tells queries of one id apart
     n_ranges = max(1, -(-docs.count() // range_size))
     n_batches = max(1, -(-asked.count() // batch_size))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Up to `range_size` neighbouring rows as one row: their first id, ids, lengths and components."""
+        """Up to `range_size` neighbouring rows as one row: their first id, ids, marks, scores to begin with, lengths and
+        components."""
         for whole in batches:
             for at in range(0, whole.num_rows, range_size):
-                ids, x = (c.slice(0) for c in whole.slice(at, range_size).columns)
-                lengths = np.diff(x.offsets.to_numpy())
+                part = [c.slice(0) for c in whole.slice(at, range_size).columns]
+                lengths = np.diff(part[1].offsets.to_numpy())
+                blobs = (part[0].to_numpy(), part[2].to_numpy(), part[3].to_numpy(), lengths, part[1].flatten().to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[0].as_py()]), *[pa.array([v.astype(np.int64).tobytes()], pa.binary())
-                                                   for v in (ids.to_numpy(), lengths, x.flatten().to_numpy())]],
-                    ["_first", "_ids", "_lengths", "_values"])
+                    [pa.array([part[0][0].as_py()]), *[pa.array([v.astype(np.int64).tobytes()], pa.binary()) for v in blobs]],
+                    ["_first", "_ids", "_marks", "_least", "_lengths", "_values"])
 
-    def opened(row: dict, side: str) -> tuple[np.ndarray, list[np.ndarray]]:
-        ids, lengths, values = (np.frombuffer(row[side + n], dtype=np.int64) for n in ("ids", "lengths", "values"))
-        return ids, np.split(values, np.cumsum(lengths)[:-1])
+    def opened(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        ids, marks, least, lengths, values = (np.frombuffer(row[side + n], dtype=np.int64)
+                                              for n in ("ids", "marks", "least", "lengths", "values"))
+        return ids, marks, least, np.split(values, np.cumsum(lengths)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
-            (q_ids, q_rows), (ids, rows) = opened(row, "_q_"), opened(row, "_d_")
+            (q_ids, marks, least, q_rows), (ids, _, _, rows) = opened(row, "_q_"), opened(row, "_d_")
             width = max(1, max(map(len, q_rows)), max(map(len, rows)))
             blocks = Blocks(ids, _padded(rows, width), block_size)
-            top_ids, top, _ = best_of(q_ids, _padded(q_rows, width), blocks, k)
-            who, place = np.nonzero(top_ids != np.iinfo(np.int64).max)
-            marks = np.array([zlib.crc32(r.tobytes()) for r in q_rows], dtype=np.int64)
+            top_ids, top, _ = best_of(q_ids, _padded(q_rows, width), blocks, k, least)
+            who, place = np.nonzero((top_ids != np.iinfo(np.int64).max) & (top >= least[:, None]))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
                 q_ids[who], marks[who], top_ids[who, place], top[who, place])],
                 ["query_id", "_mark", "vec_id", "score"])
 
     # A range's number only says where it is worked on: ranges and batches meet by an equality join on both.
-    blob = "_first long, _ids binary, _lengths binary, _values binary"
-    named = lambda side: [F.col(n).alias(side + n[1:]) for n in ("_ids", "_lengths", "_values")]
-    ranges = (docs.repartitionByRange(n_ranges, "_id").sortWithinPartitions("_id", "_x").mapInArrow(packed, blob)
-              .select(F.pmod(F.xxhash64("_first"), F.lit(n_ranges)).cast("int").alias("_range"),
-                      F.explode(F.sequence(F.lit(0), F.lit(n_batches - 1))).alias("_batch"), *named("_d_")))
-    dealt = asked.repartitionByRange(n_batches, F.xxhash64("_id", "_x")).mapInArrow(packed, blob)
-    batches = (dealt.select(F.pmod(F.xxhash64("_first"), F.lit(n_batches)).cast("int").alias("_batch"),
-                            F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1))).alias("_range"), *named("_q_")))
-    found = ranges.join(batches, ["_range", "_batch"]).mapInArrow(
-        run, "query_id long, _mark long, vec_id long, score long")
-    # `_mark` tells queries of one id apart. A query has at most k rows of each range here.
-    order = Window.partitionBy("query_id", "_mark").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    blob = "_first long, _ids binary, _marks binary, _least binary, _lengths binary, _values binary"
+    named = lambda side: [F.col(n).alias(side + n[1:]) for n in ("_ids", "_marks", "_least", "_lengths", "_values")]
+    none = F.lit(LOWEST).cast("long")
+    ranges = written(docs.select("_id", "_x", F.lit(0).cast("long").alias("_mark"), none.alias("_least"))
+                     .repartitionByRange(n_ranges, "_id").sortWithinPartitions("_id", "_x").mapInArrow(packed, blob)
+                     .select(F.pmod(F.xxhash64("_first"), F.lit(n_ranges)).cast("int").alias("_range"), *named("_d_")))
+
+    def ranked(some: DataFrame, rows: DataFrame) -> DataFrame:
+        dealt = (rows.select("_id", "_x", "_mark", "_least").repartitionByRange(n_batches, "_mark").mapInArrow(packed, blob)
+                 .select(F.pmod(F.xxhash64("_first"), F.lit(n_batches)).cast("int").alias("_batch"), *named("_q_"))
+                 .withColumn("_range", F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1)))))
+        here = some.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(n_batches - 1))))
+        found = here.join(dealt, ["_range", "_batch"]).mapInArrow(run, "query_id long, _mark long, vec_id long, score long")
+        # A query has at most k rows of each range here.
+        order = Window.partitionBy("query_id", "_mark").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    asked = asked.withColumn("_least", none)
+    if n_ranges > 4 * probe:
+        first = ranked(ranges.where(F.col("_range") < probe), asked).where(F.col("rank") == k)
+        least = written(first.select(F.col("query_id").alias("_id"), "_mark", F.col("score").alias("_known")))
+        asked = (asked.join(least, ["_id", "_mark"], "left")
+                 .withColumn("_least", F.coalesce("_known", "_least")).drop("_known"))
+    return ranked(ranges, asked).select("query_id", "rank", "vec_id", "score")

@@ -86,20 +86,39 @@ def test_recall_at_the_bound():
 
 
 def test_top_k(spark, rows):
-    part = [(i, v) for i, v in dict.fromkeys((i, None if v is None else tuple(v)) for i, v in rows)
+    part = [(i, tuple(v)) for i, v in rows
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    whole = [(i, [math.floor(1024 * x) for x in np.array(v, dtype=np.float64)]) for i, v in part]
+    whole = [(i, [math.floor(1024 * x) for x in np.array(v, dtype=np.float64)]) for i, v in part]  # repeated rows count
     expected = []
-    for i, q in whole:
+    for i, q in dict.fromkeys((i, tuple(x)) for i, x in whole):
         if i % 4 == 0:
             scored = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in whole if j != i)
             expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scored[:10])]
     vectors = table(spark, rows)
-    for sizes in ({}, {"block_size": 3, "range_size": 20, "batch_size": 9}):
+    for sizes in ({}, {"block_size": 3, "range_size": 20, "batch_size": 9}, {"block_size": 2, "range_size": 6, "probe": 1}):
         found = search(vectors.where("vec_id % 4 = 0"), vectors, **sizes)
         assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
 
 
+def test_a_known_score_saves_blocks():
+    rng = np.random.default_rng(3)
+    vectors = rng.choice([-80, 80], (4096, 8)) + rng.integers(-20, 20, (4096, 8))
+    queries, none = rng.choice([-80, 80], (20, 8)) + rng.integers(-40, 40, (20, 8)), np.full(20, -1)
+    blocks = Blocks(np.arange(4096), vectors, 64)
+    ids, top, scored = best_of(none, queries, blocks, 10)
+    again, top_again, fewer = best_of(none, queries, blocks, 10, top[:, -1])
+    assert (ids == again).all() and (top == top_again).all() and fewer <= scored
+    assert scored < 20 * 64 / 4  # signs keep blocks apart
+    weak = Blocks(np.arange(4096, 8192), vectors // 4, 64)  # another range, without any of the best
+    assert best_of(none, queries, weak, 10, top[:, -1])[2] == 0 < best_of(none, queries, weak, 10)[2]
+
+
+def test_repeated_candidates_all_count(spark):
+    vectors = table(spark, [(0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [1.0])])
+    got = [(r.rank, r.vec_id) for r in search(vectors.where("vec_id = 0"), vectors).collect()]
+    assert sorted(got) == [(1, 1), (2, 1), (3, 2)]
+
+
 def test_fewer_candidates_than_k(spark):
     vectors = table(spark, [(0, [1.0, 2.0]), (1, [3.0, 0.5]), (2, [3.0, 0.5])])
     got = [tuple(r) for r in search(vectors.where("vec_id = 0"), vectors).collect()]

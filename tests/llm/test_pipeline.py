@@ -55,3 +55,34 @@ def test_documents_that_lose_everything_go(docs_of):
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_against_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), connect(FOLDER), SQL[name]) is None
+
+
+def test_mixing_cuts_only_what_the_weights_ask_for(docs_of):
+    rows = [(i, words(i, 20), "en", "s1") for i in range(60)] + [(100 + i, words(i, 20), "de", "s1") for i in range(10)]
+    rows += [(200 + i, words(i, 20), "fr", "s1") for i in range(40)] + [(300 + i, words(i, 20), "la", "s1") for i in range(5)]
+    rows += [(400, words(1, 20), None, "s1"), (401, None, None, None), (402, words(2, 9), "en", "s2"), (None, words(3, 5), "la", None)]
+    docs = docs_of(rows)
+    kept = stages.weighted(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids))
+    count = lambda lo, hi: sum(i is not None and lo <= i < hi for i in ids)
+    # en 4, de 2, fr 2: all of de, which is the scarcest, twice as much en, as much fr; others have no target.
+    assert count(100, 110) == 10 and count(0, 60) in (20, 21) and count(200, 240) in (10, 11)
+    assert count(300, 305) == 5 and {400, 401, 402, None} <= set(ids)
+
+
+def test_stages_keep_repeated_odd_and_clashing_rows(spark, odd_docs):
+    docs = odd_docs.withColumnRenamed("_key", "_was_null").withColumnRenamed("_id", "_row").withColumnRenamed("n", "_kept")
+    before = docs.collect()
+    assert len({r._was_null for r in before}) == 1
+    out = stages.without_repeats(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert all((r._was_null, r._row, r._kept) == ("k", 1, "n") for r in rows)
+    assert sorted(str(r.doc_id) for r in rows if r.text is None) == sorted(str(r.doc_id) for r in before if r.text is None)
+    for stage in (stages.identified, stages.one_of_each_group, stages.weighted):
+        done = stage(docs)
+        assert done.columns == docs.columns and done.count() <= len(before)
+    assert stages.one_of_each_group(docs).where("doc_id is null").count() == sum(r.doc_id is None for r in before)
+    assert stages.packed(docs).where("piece = 0").count() == len(before)

@@ -15,7 +15,7 @@ from seqtally.operators import matrix as mx
 from seqtally.operators import sequences as sq
 from seqtally.operators import summaries as su
 from seqtally.operators.alignments import fractional_counts, reference_abundance
-from seqtally.plans.report import Matrix, report_matrices
+from seqtally.plans.report import Matrix, report_matrices, report_table
 from seqtally.sources.tables import parse_job_log
 
 SAMPLES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -305,19 +305,53 @@ _LEVELS = {
     "weighed": """select r.*, coalesce(d.depth, 1.0) as depth, coalesce(b.taxid, 'Unknown') as bin from {level_rows} r
         left join {gene_depth} d on d.orf_id = r.orf_id left join {housed} b on b.contig = r.scaffold where value <> ''""",
 }
-register("resistance_rollup", lambda v: su.resistance_rollup(v.rgi, v.gene_depth, host_bins(v)), """
+_RESISTANCE = """
     select level, value, 'all' as bin, count(*) as genes, round(sum(depth)::double, 6) as depth from {weighed} group by 1, 2
-    union all select level, value, bin, count(*), round(sum(depth)::double, 6) from {weighed} group by 1, 2, 3""",
-         {**GENE_TABLES, **_LEVELS}, recursive=True)
-register("assembly_summary", lambda v: su.assembly_summary(scaffold_tables(v, an.scaffold_annotation), v.ref), """
+    union all select level, value, bin, count(*), round(sum(depth)::double, 6) from {weighed} group by 1, 2, 3"""
+_ASSEMBLY = """
     select 'genome' as level, taxid as key, n as scaffolds, len as length, round(len / rl, 6) as coverage,
       round(ld / len, 6) as depth, g as genes from {genome}
     union all select 'species', species_ti, cast(sum(n) as bigint), cast(sum(len) as bigint), round(sum(len) / max(rl), 6),
       round(sum(ld) / sum(len), 6), cast(sum(g) as bigint) from {genome} group by species_ti
     union all select 'sample', 'all', cast(sum(n) as bigint), cast(sum(len) as bigint), null,
-      round(sum(ld) / sum(len), 6), cast(sum(g) as bigint) from {genome}""", {
+      round(sum(ld) / sum(len), 6), cast(sum(g) as bigint) from {genome}"""
+_GENOMES = {
     **GENE_TABLES,
     "genome": """select s.taxid, s.species_ti, count(*) as n, cast(sum(s.length) as bigint) as len, cast(sum(n_genes) as bigint) as g,
           sum(s.length * depth) as ld, any_value(r.length) as rl
-        from {scaffolds} s left join {ref} r on cast(r.taxid as varchar) = s.taxid group by s.taxid, s.species_ti"""},
-         recursive=True)
+        from {scaffolds} s left join {ref} r on cast(r.taxid as varchar) = s.taxid group by s.taxid, s.species_ti"""}
+
+
+def resistance(v):
+    return su.resistance_rollup(v.rgi, v.gene_depth, host_bins(v))
+
+
+def assembly(v):
+    return su.assembly_summary(scaffold_tables(v, an.scaffold_annotation), v.ref)
+
+
+register("resistance_rollup", resistance, _RESISTANCE, {**GENE_TABLES, **_LEVELS}, recursive=True)
+register("assembly_summary", assembly, _ASSEMBLY, _GENOMES, recursive=True)
+
+
+def assembly_report(v):
+    """Assembly and resistance matrices of the report for one sample, each upstream table read once."""
+    def one(df, order):
+        return df.withColumn("sample", F.lit("S1")).withColumn("ord", F.col(order))
+
+    found = v.stage("resistance", resistance)
+    tables = {"assembly": one(assembly(v), "key"), "resistance": one(found, "value"),
+              "resistance_bins": one(found.where("bin <> 'all'"), "value")}
+    return report_table(tables, ["S1"]).select("matrix", F.array_join("ids", "|").alias("ids"), "S1")
+
+
+_OF_ASSEMBLY = [(f"assembly-{level}-{m}", m, level) for level in ("genome", "species")
+                for m in ("scaffolds", "length", "coverage", "depth", "genes")] + [
+    ("assembly-num_scaffolds", "scaffolds", "sample"), ("assembly-len_scaffolds", "length", "sample"), ("assembly-num_ORFs", "genes", "sample")]
+_OF_RESISTANCE = [("aro", "RGI"), ("gene_family", "RGI.AMR"), ("drug_class", "RGI.drug"), ("mechanism", "RGI.Mech")]
+register("report_assembly", assembly_report, " union all ".join(
+    [f"select '{name}' as matrix, key as ids, cast({value} as double) as S1 from {{assembly}} where level = '{level}' and {value} >= 0"
+     for name, value, level in _OF_ASSEMBLY]
+    + [f"select '{name}', value, depth from {{resistance}} where level = '{level}' and bin = 'all'" for level, name in _OF_RESISTANCE]
+    + [f"select '{name}-bin', value || '|' || bin, depth from {{resistance}} where level = '{level}' and bin <> 'all'"
+       for level, name in _OF_RESISTANCE]), {**_GENOMES, **_LEVELS, "assembly": _ASSEMBLY, "resistance": _RESISTANCE}, recursive=True)

@@ -51,6 +51,11 @@ def slot_sizes(rows: DataFrame, n_slots: int = N_SLOTS) -> list[tuple[int, int,
     return [(s, *found.get(s, (0, 0))) for s in range(n_slots)]
 
 
+def even_map(sizes: list[tuple[int, int, int]], n_shards: int) -> list[tuple]:
+    """Version 0 before any size is known: every shard has as many slots. The sizes are those it turns out to have."""
+    return [(0, slot, slot % n_shards, rows, size) for slot, rows, size in sizes]
+
+
 def first_map(sizes: list[tuple[int, int, int]], n_shards: int) -> list[tuple]:
     """Version 0: the largest slots first, each to the shard with the fewest bytes."""
     load = [(0, 0, shard) for shard in range(n_shards)]
@@ -137,8 +142,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     Null text has size 1 and the checksum of no bytes. Rows that repeat an id, and rows with a null id, are spread
     over virtual slots; repeated rows keep a place each. An empty table gives no rows. Other columns are not read.
 
-    The map is stored at `map_path`, by default in the checkpoint folder: version 0 unless there is one already, and
-    then an edit of the latest version for these sizes and shards, which is read back and places the rows.
+    The map is stored at `map_path`, by default in the checkpoint folder. Where there is none yet, version 0 gives every
+    shard as many slots. The latest version is then edited for the bytes that the slots have and for the number of shards;
+    only slots that even out the shards move. The edit is stored as the next version, read back, and places the rows.
     """
     spark = docs.sparkSession
     path = map_path or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
@@ -149,7 +155,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        store_map(spark, first_map(sizes, n_shards), path)
+        store_map(spark, even_map(sizes, n_shards), path)
         latest = stored_map(spark, path)
     store_map(spark, rebalanced(latest, sizes, n_shards), path)
     return placed(rows, stored_map(spark, path)).select(

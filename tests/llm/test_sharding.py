@@ -80,3 +80,17 @@ def test_rows_of_one_id_are_spread(docs_of):
         load[r.shard] += r["size"]
     assert Counter((r.doc_id, r["size"]) for r in found) == Counter((i, len(t) + 1) for i, t, *_ in rows)
     assert max(load.values()) - min(load.values()) <= 0.02 * sum(load.values()) / 8
+
+
+def test_the_first_edit_moves_slots_until_shards_are_even(spark, docs_of, tmp_path):
+    rows = [(i, "x" * (1 + i * 37 % 900), "en", "a") for i in range(3000)]
+    path = str(tmp_path / "map")
+    out = shard_documents(docs_of(rows), map_path=path).collect()
+    sizes = Counter()
+    for r in out:
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) - min(sizes.values()) <= 900 and {r.map_version for r in out} == {1}
+    before, after = ({e[1]: e[2] for e in stored_map(spark, path, v)} for v in (0, 1))
+    assert all(shard == slot % 8 for slot, shard in before.items())
+    moved = sum(before[s] != after[s] for s in before)
+    assert 0 < moved < len(before) / 4

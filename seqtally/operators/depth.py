@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, trunc_to
-from seqtally.operators.common import checked_broadcast, names
+from seqtally.operators.common import checked_broadcast, names, spread_join
 from seqtally.session import cut_lineage
 
 
@@ -25,7 +25,7 @@ def windowed_depth(depth: DataFrame, columns: Sequence[str], step: int = 20, by:
     per = (nodes.where(F.col("node") > 0).groupBy(*key, "node")
            .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in columns]))
     last = depth.groupBy(*key).agg(F.max("pos").alias("_last"))
-    return (per.join(last, key).where(F.col("node") <= F.col("_last"))
+    return (spread_join(per, last, key, counted=depth).where(F.col("node") <= F.col("_last"))
             .select(*key, "node", *[trunc_to(F.col(c) / F.col("_n"), 1).alias(c) for c in columns]))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, index_quartiles
-from seqtally.operators.common import names, with_group_total
+from seqtally.operators.common import names, spread_join, with_group_total
 
 STATS = ["max", "min", "med", "mean", "range", "low_quartile", "high_quartile"]
 
@@ -65,7 +65,7 @@ def pool_groups(df: DataFrame, samples: DataFrame, group_col: int = 1, group: st
     """
     name = F.lit(group) if group is not None else F.get("data", F.lit(group_col - 1))
     sheet = samples.select("sample_id", F.regexp_replace(name, r"\s", "_").alias("group"))
-    return df.join(sheet, "sample_id")
+    return spread_join(df, sheet, ["sample_id"])
 
 
 def missing_sources(df: DataFrame, samples: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, expected_breadth, trunc_to
-from seqtally.operators.alignments import classified_targets
 from seqtally.operators.common import checked_broadcast, names, with_group_total, with_totals
 from seqtally.session import cut_lineage
 
@@ -263,7 +262,7 @@ def mapped_reads(cls: DataFrame, failed: DataFrame, by: Sequence[str] = ()) -> D
 
     The list of a read holds distinct taxids only, so it is bounded by the taxonomy.
     """
-    pairs = classified_targets(cls, by).select(*names(by, "read_id", "taxid"))
+    pairs = cls.select(*names(by, "read_id", "taxid")).distinct()
     # Give a written table: then the check costs nothing and, if it is small, the pairs stay where they are.
     return (pairs.join(checked_broadcast(failed.select(*names(by, "taxid"))), names(by, "taxid"), "left_anti")
             .groupBy(*names(by, "read_id"))

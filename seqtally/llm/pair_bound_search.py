@@ -43,6 +43,13 @@ def weight(n_docs: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
+def relative_lengths(n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
+    """(25 n n_docs) div n_terms, in big integers where 64 bits could be too few."""
+    if 25 * int(n.max(initial=0)) * n_docs < 1 << 63:
+        return 25 * n * n_docs // max(n_terms, 1)
+    return np.array([25 * x * n_docs // n_terms for x in n.tolist()], np.int64)
+
+
 SEGMENTS = ("segment long, n_docs long, n_terms long, ids array<long>, sizes binary, term binary, doc binary, tf binary")
 
 
@@ -135,7 +142,7 @@ def indexed(table: DataFrame, weights: np.ndarray, n_docs: int, n_terms: int, pa
             for at in range(batch.num_rows):
                 n, term, doc, tf = (np.frombuffer(batch.column(c)[at].as_py(), kind) for c, kind in (
                     ("sizes", np.int64), ("term", np.int32), ("doc", np.int32), ("tf", np.int64)))
-                length = 75 + 25 * n * n_docs // max(n_terms, 1)
+                length = 75 + relative_lengths(n, n_docs, n_terms)
                 impacts = weight_of[term] * (1_000_000_000 * tf // (1000 * tf + 12 * length[doc]))
                 some = impacts > 0
                 term, doc, impacts = term[some], doc[some], impacts[some]

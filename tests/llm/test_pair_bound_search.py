@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from seqtally.llm.pair_bound_search import Index, best_in_segment, chain_bounds, ranked_search, terms_of, weight
+from seqtally.llm.pair_bound_search import Index, best_in_segment, chain_bounds, ranked_search, relative_lengths, terms_of, weight
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
@@ -112,3 +112,9 @@ def test_bounds_hold_and_nothing_is_lost(seed):
     least = int(np.sort(total)[-5])
     docs, scores, _ = best_in_segment(index, chain, max(least, 1))
     assert dict(zip(docs.tolist(), scores.tolist())) == {d: int(s) for d, s in enumerate(total) if s >= max(least, 1)}
+
+
+def test_lengths_beyond_64_bits():
+    n = np.array([0, 7, 3 * 10 ** 9], np.int64)
+    assert relative_lengths(n, 10 ** 10, 3 * 10 ** 12).tolist() == [25 * x * 10 ** 10 // (3 * 10 ** 12) for x in n.tolist()]
+    assert relative_lengths(n[:2], 5, 9).tolist() == [0, 97] and relative_lengths(n[:0], 5, 0).tolist() == []

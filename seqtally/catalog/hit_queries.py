@@ -116,11 +116,11 @@ PREBIN = {
 
 
 def genes(v):
-    return an.genes(v.orf)
+    return v.stage("genes", lambda w: an.genes(w.orf))
 
 
 def best(v):
-    return an.with_ref_len(ht.top_hit(v.orf_hits, 0.05))
+    return v.stage("best", lambda w: an.with_ref_len(ht.top_hit(w.orf_hits, 0.05)))
 
 
 def prebinned(v):

@@ -44,20 +44,28 @@ def _seeds(bins: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     return seeded, barred
 
 
-def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Score of each taxid on each scaffold: identity x aligned length, shared by the taxids of the hit."""
+def _per_ref(orf: DataFrame, best: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`_w`, identity x aligned length, of each reference on each scaffold."""
+    weight = (F.col("pct_iden") * F.col("aln_len")).cast(EXACT)
+    return (orf.select(*names(by, "orf_id", "scaffold"))
+            .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
+            .groupBy(*names(by, "scaffold", "subject")).agg(F.sum(weight).alias("_w")))
+
+
+def _shared_scores(per_ref: DataFrame, best: DataFrame, clusters: DataFrame, by: Sequence[str]) -> DataFrame:
     shared = clusters.where(F.size("taxids") > 0).select(
         F.col("ref_id").alias("subject"), F.size("taxids").alias("_n"), "taxids")
-    weight = (F.col("pct_iden") * F.col("aln_len")).cast(EXACT)
-    per_ref = (orf.select(*names(by, "orf_id", "scaffold"))
-               .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
-               .groupBy(*names(by, "scaffold", "subject")).agg(F.sum(weight).alias("_w")))
     return (spread_join(per_ref, shared, ["subject"], counted=best)
             .select(*names(by, "scaffold"), F.explode("taxids").alias("taxid"),
                     (F.col("_w").cast("double") / F.col("_n")).cast(EXACT).alias("_s"))
             .groupBy(*names(by, "scaffold", "taxid")).agg(F.sum("_s").alias("score")))
 
 
+def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Score of each taxid on each scaffold: identity x aligned length, shared by the taxids of the hit."""
+    return _shared_scores(_per_ref(orf, best, by), best, clusters, by)
+
+
 def assign_scaffolds(orf: DataFrame, best: DataFrame, clusters: DataFrame, bins: DataFrame | None = None,
                      rule: str = "unique", lineage: DataFrame | None = None, min_share: float = 0.5,
                      by: Sequence[str] = (), ties: str = "together") -> DataFrame:
@@ -70,8 +78,11 @@ def assign_scaffolds(orf: DataFrame, best: DataFrame, clusters: DataFrame, bins:
     first and then by id, each on what the ones before have added. With `rule="species"` a
     scaffold needs a single taxid, a single species, or a species with more than `min_share` of the score.
     """
-    counts = _gene_counts(orf, by)
-    scored = scaffold_scores(orf, best, clusters, by)
+    counts = cut_lineage(_gene_counts(orf, by))  # a row per scaffold, read three times
+    per_ref = _per_ref(orf, best, by)
+    if rule == "species":  # summed again for the scaffold's total
+        per_ref = cut_lineage(per_ref)
+    scored = _shared_scores(per_ref, best, clusters, by)
     seeded = None
     if bins is not None:
         seeded, barred = _seeds(bins, by)
@@ -84,7 +95,7 @@ def assign_scaffolds(orf: DataFrame, best: DataFrame, clusters: DataFrame, bins:
     if rule == "species":
         if lineage is None:
             raise ValueError("the species rule needs a lineage table")
-        chosen = _by_species(orf, best, scored, lineage, min_share, by)
+        chosen = _by_species(per_ref, scored, lineage, min_share, by)
     else:
         chosen = _by_score(scored, counts, seeds, by, ties)
     out = chosen.join(counts, names(by, "scaffold")).withColumn("evidence", F.lit("kegg"))
@@ -97,8 +108,7 @@ def _by_score(scored: DataFrame, counts: DataFrame, seeds: DataFrame | None, by:
     of_scaffold = Window.partitionBy(*names(by, "scaffold"))  # one row per taxid of a scaffold
     tops = (scored.withColumn("_top", F.max("score").over(of_scaffold)).where(F.col("score") == F.col("_top"))
             .withColumn("_ties", F.count(F.lit(1)).over(of_scaffold)))
-    if ties == "in_order":
-        tops = cut_lineage(tops)
+    tops = cut_lineage(tops)  # read for the clear ones, for the tied ones and for what stands before the ties
     clear = tops.where(F.col("_ties") == 1).select(*names(by, "scaffold", "taxid"))
     standing = clear.join(counts, names(by, "scaffold")).select(*names(by, "taxid", "n_genes"))
     if seeds is not None:
@@ -160,12 +170,9 @@ def settled_in_order(tied: DataFrame, standing: DataFrame, by: Sequence[str] = (
             return rows.select(*names(by, "scaffold", "taxid"))
 
 
-def _by_species(orf: DataFrame, best: DataFrame, scored: DataFrame, lineage: DataFrame, min_share: float,
+def _by_species(per_ref: DataFrame, scored: DataFrame, lineage: DataFrame, min_share: float,
                 by: Sequence[str]) -> DataFrame:
-    total = (orf.select(*names(by, "orf_id", "scaffold"))
-             .join(best.withColumnRenamed("query", "orf_id"), names(by, "orf_id"))
-             .groupBy(*names(by, "scaffold"))
-             .agg(F.sum((F.col("pct_iden") * F.col("aln_len")).cast(EXACT)).alias("_total")))
+    total = per_ref.groupBy(*names(by, "scaffold")).agg(F.sum("_w").alias("_total"))
     per_taxid = spread_join(scored, lineage.select("taxid", "species_ti"), ["taxid"], "left")
     per_species = (per_taxid.groupBy(*names(by, "scaffold", "species_ti"))
                    .agg(F.sum("score").alias("_sp"), F.count(F.lit(1)).alias("_taxids"),
@@ -210,18 +217,17 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
            .select(*names(by, "orf_id", "subject", "pct_iden", "_frac")))
     hit = spread_join(hit, about, ["subject"], "left", counted=best)
     # Taxon, evidence and depth are put together per scaffold, so genes meet one scaffold table.
-    scaffold = assigned.select(*names(by, "scaffold", "taxid", "evidence"))
+    scaffold, taxon = _with_taxon(assigned.select(*names(by, "scaffold", "taxid", "evidence"))
+                                  .withColumn("_placed", F.col("taxid").isNotNull()), lineage)
     if depth is not None:
         known = depth.select(*names(by), F.col("contig").alias("scaffold"), "depth")
         scaffold = scaffold.join(known, names(by, "scaffold"), "full")
     else:
         scaffold = scaffold.withColumn("depth", F.lit(None).cast("double"))
-    scaffold = scaffold.withColumn("_placed", F.col("taxid").isNotNull())
     barred = None if bins is None else _seeds(bins, by)[1]
     if contaminants is not None:
         listed = (assigned.join(contaminants.select("taxid"), "taxid", "left_semi").select(*names(by, "scaffold")))
         barred = listed if barred is None else barred.unionByName(listed)
-    scaffold, taxon = _with_taxon(scaffold, lineage)
     rows = orf.select(*names(by, "orf_id", "scaffold", "header"))
     if barred is not None:
         rows = keep_or_drop(rows, barred, names(by, "scaffold"), "left_anti")
@@ -240,14 +246,18 @@ def orf_annotation(orf: DataFrame, best: DataFrame, clusters: DataFrame, assigne
 
 def _scaffold_rows(bins: DataFrame, orf: DataFrame, assigned: DataFrame, depth: DataFrame,
                    by: Sequence[str]) -> DataFrame:
-    """All scaffolds of the binning that are not host or contaminant, with length, genes, depth and taxid."""
+    """All scaffolds of the binning that are not host or contaminant, with length, genes, depth and taxid.
+
+    A narrow row per scaffold, written once: lists and lineages look at its taxids before they join.
+    """
     scaffolds = (bins.where(~F.col("taxid").isin("Host", "contaminant"))
                  .select(*names(by), F.col("contig").alias("scaffold"), "length"))
-    return (scaffolds.join(_gene_counts(orf, by), names(by, "scaffold"), "left")
+    rows = (scaffolds.join(_gene_counts(orf, by), names(by, "scaffold"), "left")
             .join(assigned.select(*names(by, "scaffold", "taxid", "evidence")), names(by, "scaffold"), "left")
             .join(depth.select(*names(by), F.col("contig").alias("scaffold"), "depth"), names(by, "scaffold"), "left")
             .withColumn("n_genes", F.coalesce("n_genes", F.lit(0)))
             .withColumn("evidence", F.coalesce("evidence", F.lit("None"))))
+    return cut_lineage(rows)
 
 
 def scaffold_annotation(bins: DataFrame, orf: DataFrame, assigned: DataFrame, depth: DataFrame, lineage: DataFrame,

@@ -24,12 +24,14 @@ FRAC = 0.5
 def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -> DataFrame:
     """First hit of each query with an e-value of at most `max_evalue`.
 
-    Chosen on narrow columns; the whole rows are then met on query and order.
+    The hits are read once: the rank is limited before the shuffle as well, so a task passes on a query's first hit alone.
     """
     key = names(by, "query")
     rows = hits.where(F.col("evalue") <= max_evalue)
-    first = rows.groupBy(*key).agg(F.min("ord").alias("ord"))
-    return rows.join(first, [*key, "ord"], "left_semi").select(*hits.columns)
+    for c in [*key, "ord"]:
+        rows = rows.where(F.col(c).isNotNull())
+    in_query = Window.partitionBy(*key).orderBy("ord")
+    return rows.withColumn("_n", F.rank().over(in_query)).where(F.col("_n") == 1).select(*hits.columns)
 
 
 class Accepted:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, FIRST_IN_PAIR, flag_is
-from seqtally.operators.common import names, spread_join
+from seqtally.operators.common import dealt, names, spread_join
 
 UNKNOWN = "Unknown"
 
@@ -16,13 +16,15 @@ UNKNOWN = "Unknown"
 def _contig_reads(aln: DataFrame, first_only: bool, by: Sequence[str]) -> DataFrame:
     """Rows per (contig, read). Neither a big contig nor a repeated read stays a long run of rows."""
     rows = aln.where(flag_is("flag", FIRST_IN_PAIR)) if first_only else aln
+    rows = dealt(rows.select(*names(by, "contig", "read_id")), names(by, "read_id"))
     return rows.groupBy(*names(by, "contig", "read_id")).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def _read_taxa(aln: DataFrame, max_taxa: int, first_only: bool, by: Sequence[str]) -> DataFrame:
     rows = aln.where(flag_is("flag", FIRST_IN_PAIR)) if first_only else aln
+    rows = dealt(rows.where(F.col("taxid").isNotNull()).select(*names(by, "read_id", "taxid")), names(by, "read_id"))
     of_read = Window.partitionBy(*names(by, "read_id"))
-    return (rows.where(F.col("taxid").isNotNull()).select(*names(by, "read_id", "taxid")).distinct()
+    return (rows.distinct()
             .withColumn("_n", F.count(F.lit(1)).over(of_read)).where(F.col("_n") <= max_taxa))
 
 
@@ -77,7 +79,7 @@ def bin_contigs_species(contig_aln: DataFrame, ref_aln: DataFrame, contigs: Data
     """
     totals, support = _contig_taxa(contig_aln, ref_aln, max_taxa, False, by)
     taxa = lineage.select("taxid", "species_ti", "species", F.col("toprank").alias("strain"))
-    per_species = (spread_join(support, taxa.select("taxid", "species_ti"), ["taxid"])
+    per_species = (spread_join(support, taxa.select("taxid", "species_ti"), ["taxid"], counted=ref_aln)
                    .groupBy(*names(by, "contig", "species_ti"))
                    .agg(F.sum("_support").alias("_sp"),
                         F.min(F.struct((-F.col("_support")).alias("neg"), F.col("taxid"))).alias("_best")))
@@ -117,13 +119,12 @@ def bin_host(bins: DataFrame, contig_aln: DataFrame, host_aln: DataFrame, min_sc
     open_bins = bins.where(~binned)
     host = (host_aln.where((F.col("score") >= min_score) & flag_is("flag", FIRST_IN_PAIR))
             .select(*names(by, "read_id")).distinct().withColumn("_host", F.lit(1)))
-    reads = (contig_aln.where(flag_is("flag", FIRST_IN_PAIR))
-             .groupBy(*names(by, "contig", "read_id")).agg(F.count(F.lit(1)).alias("_rows"))
-             .join(open_bins.select(*names(by, "contig")), names(by, "contig"), "left_semi")
-             .join(host, names(by, "read_id"), "left")
+    # Reads meet the host where they lie; only a row per contig is shuffled to the open bins.
+    reads = (_contig_reads(contig_aln, True, by).join(host, names(by, "read_id"), "left")
              .groupBy(*names(by, "contig")).agg(
                  F.sum("_rows").alias("_all"),
                  F.sum(F.when(F.col("_host") == 1, F.col("_rows")).otherwise(0)).alias("_from_host"))
+             .join(open_bins.select(*names(by, "contig")), names(by, "contig"), "left_semi")
              .withColumn("_share", F.col("_from_host") / F.col("_all")))
     is_host = F.coalesce(F.col("_share") >= min_share, F.lit(False))
     text = ["species_taxid", "species", "taxid", "strain"]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqtally.operators import annotation as an
+from seqtally.operators import binning as bn
 from seqtally.operators import common
 from seqtally.operators.hits import top_hit
 
@@ -47,3 +48,19 @@ def test_scaffolds_are_scored_once(spark, monkeypatch, tmp_path):
     read = {f.rsplit("/", 2)[-2] for f in out.inputFiles()}
     assert not read & {"orf", "best", "clusters"}, read
     assert sorted((r.scaffold, r.taxid, r.n_genes) for r in out.collect()) == [("s1", 1, 1), ("s2", 1, 1)]
+
+
+def test_reads_of_bins_stay_in_bounded_tasks(hits, monkeypatch):
+    """The number of tasks follows the input and isn't merged again, however well the keys compress."""
+    assert common.dealt(hits, ["query"]) is hits  # little input
+    monkeypatch.setattr(common, "TASK_INPUT", 64)
+    aln = hits.selectExpr("query as read_id", "subject as contig", "67 as flag", "cast(ord as long) as taxid")
+    most = -(-common.input_bytes(aln) // 64)
+    totals, support = bn._contig_taxa(aln, aln, 3, True, ())
+    for df in (bn._contig_reads(aln, True, ()), bn._read_taxa(aln, 3, True, ())):
+        df.collect()
+        assert "REPARTITION_BY_NUM" in str(df._jdf.queryExecution().executedPlan())
+        assert df.rdd.getNumPartitions() == most
+    assert sorted((r.contig, r.n_reads) for r in totals.collect()) == [(c, 1) for c in "abcdef"]
+    assert sorted((r.contig, r.taxid) for r in support.collect()) == [
+        ("a", 1), ("a", 2), ("b", 1), ("b", 2), ("c", 1), ("c", 2), ("d", 7), ("e", 7)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import extract_tag, trunc_to
-from seqtally.operators.common import checked_broadcast, names, spread_join
+from seqtally.operators.common import checked_broadcast, dealt, names, spread_join
 from seqtally.session import cut_lineage
 
 
@@ -115,9 +115,11 @@ def variant_presence(variants: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def variant_matrix(variants: DataFrame, samples: Sequence[str], sample: str = "sample") -> DataFrame:
     """Presence (0/1) of every variant of every taxid across the samples.
 
-    Repeated calls are one before the pivot. Variants seen only in samples that are not listed have a row of zeros.
+    Calls are dealt by variant and meet in one grouping, as few of them repeat. Variants seen only in samples that are
+    not listed have a row of zeros.
     """
-    seen = variant_presence(variants, [sample]).distinct()
-    wide = seen.groupBy("taxid", "variant").pivot(sample, list(samples)).agg(F.max("present"))
-    return wide.select("taxid", "variant", *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).alias(s) for s in samples])
+    key = ["taxid", "variant"]
+    seen = dealt(variant_presence(variants, [sample]), key)
+    return seen.groupBy(*key).agg(*[
+        F.max(F.when(F.col(sample) == F.lit(s), F.col("present")).otherwise(0)).alias(s) for s in samples])
 

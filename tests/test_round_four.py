@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from seqtally.operators import annotation as an
 from seqtally.operators import binning as bn
 from seqtally.operators import common
+from seqtally.operators.depth import variant_matrix
 from seqtally.operators.hits import top_hit
 
 
@@ -64,3 +65,12 @@ def test_reads_of_bins_stay_in_bounded_tasks(hits, monkeypatch):
     assert sorted((r.contig, r.n_reads) for r in totals.collect()) == [(c, 1) for c in "abcdef"]
     assert sorted((r.contig, r.taxid) for r in support.collect()) == [
         ("a", 1), ("a", 2), ("b", 1), ("b", 2), ("c", 1), ("c", 2), ("d", 7), ("e", 7)]
+
+
+def test_variants_take_one_grouping(spark):
+    calls = spark.createDataFrame([("x", 1, 5, "A", "C", "S1"), ("x", 1, 5, "A", "C", "S1"), ("x", 1, 5, "A", "C", "S2"),
+                                   ("x", 1, 6, "A", "G", "other"), ("x", 1, 7, "A", "G", None)],
+                                  "acc string, taxid long, position long, ref string, var string, sample string")
+    wide = variant_matrix(calls, ["S1", "S2"])
+    assert str(wide._jdf.queryExecution().optimizedPlan()).count("Aggregate") == 1
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, "x|5|A|C", 1, 1), (1, "x|6|A|G", 0, 0), (1, "x|7|A|G", 0, 0)]

@@ -64,7 +64,7 @@ register("read_domtbl", lambda v: ts.parse_domtbl(_dom_lines(v)), """
 
 
 def _domain_abundance(v):
-    dom = ts.parse_domtbl(_dom_lines(v))
+    dom = v.stage("domains", lambda w: ts.parse_domtbl(_dom_lines(w)))  # lines are parsed once, for the hits and the families
     return family_abundance(greedy_nonoverlap(ts.domain_hits(dom), 0.05), ts.domain_families(dom, 0.05))
 
 

@@ -1,8 +1,11 @@
 """Steps that several queries share: read once, in tasks of bounded rows."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from seqtally.operators import annotation as an
 from seqtally.operators import binning as bn
 from seqtally.operators import common
@@ -74,3 +77,10 @@ def test_variants_take_one_grouping(spark):
     wide = variant_matrix(calls, ["S1", "S2"])
     assert str(wide._jdf.queryExecution().optimizedPlan()).count("Aggregate") == 1
     assert sorted(tuple(r) for r in wide.collect()) == [(1, "x|5|A|C", 1, 1), (1, "x|6|A|G", 0, 0), (1, "x|7|A|G", 0, 0)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_domain_lines_are_parsed_once(spark):
+    """Hits and families come from one written table, so the result doesn't go back to the lines."""
+    out = queries()["domain_abundance"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in out.inputFiles() if f.endswith(("lineitem.parquet", "part.parquet"))]

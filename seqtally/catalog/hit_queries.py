@@ -116,7 +116,7 @@ PREBIN = {
 
 
 def genes(v):
-    return v.stage("genes", lambda w: an.genes(w.orf))
+    return an.genes(v.written("orf"))
 
 
 def best(v):

@@ -34,6 +34,11 @@ class Inputs:
             self._stages[name] = cut_lineage(build(self))
         return self._stages[name]
 
+    def written(self, name: str) -> DataFrame:
+        """A view that several steps and later views read, written once."""
+        self._views[name] = self.stage(name, lambda v: getattr(v, name))
+        return self._views[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name, self._views)
 

@@ -323,6 +323,7 @@ _GENOMES = {
 
 
 def resistance(v):
+    v.written("orf")  # what the hits and the depths of genes are made from
     return su.resistance_rollup(v.rgi, v.gene_depth, host_bins(v))
 
 

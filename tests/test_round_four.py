@@ -84,3 +84,10 @@ def test_domain_lines_are_parsed_once(spark):
     """Hits and families come from one written table, so the result doesn't go back to the lines."""
     out = queries()["domain_abundance"](spark, "/root/testdata/sf0.001")
     assert not [f for f in out.inputFiles() if f.endswith(("lineitem.parquet", "part.parquet"))]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_genes_are_made_once(spark):
+    """Resistance hits, gene depths and genes come from one written table."""
+    out = queries()["resistance_rollup"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in out.inputFiles() if f.endswith("lineitem.parquet")]

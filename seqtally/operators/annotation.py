@@ -173,7 +173,7 @@ def settled_in_order(tied: DataFrame, standing: DataFrame, by: Sequence[str] = (
 def _by_species(per_ref: DataFrame, scored: DataFrame, lineage: DataFrame, min_share: float,
                 by: Sequence[str]) -> DataFrame:
     total = per_ref.groupBy(*names(by, "scaffold")).agg(F.sum("_w").alias("_total"))
-    per_taxid = spread_join(scored, lineage.select("taxid", "species_ti"), ["taxid"], "left")
+    per_taxid = spread_join(scored, lineage.select("taxid", "species_ti"), ["taxid"], "left", computed=True)
     per_species = (per_taxid.groupBy(*names(by, "scaffold", "species_ti"))
                    .agg(F.sum("score").alias("_sp"), F.count(F.lit(1)).alias("_taxids"),
                         F.min(F.struct((-F.col("score")).alias("_s"), F.col("taxid"))).alias("_best")))

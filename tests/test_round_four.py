@@ -91,3 +91,26 @@ def test_genes_are_made_once(spark):
     """Resistance hits, gene depths and genes come from one written table."""
     out = queries()["resistance_rollup"](spark, "/root/testdata/sf0.001")
     assert not [f for f in out.inputFiles() if f.endswith("lineitem.parquet")]
+
+
+def test_scores_are_written_before_a_sketch_reads_them(spark, monkeypatch):
+    """A lookup that the planner doesn't broadcast has the species rule's scores computed once, not again for hot keys."""
+    read = _sketched(monkeypatch)
+    orf = spark.createDataFrame([("s1_1", "s1"), ("s2_1", "s2")], "orf_id string, scaffold string")
+    best = spark.createDataFrame([("s1_1", "r1", 90.0, 10), ("s2_1", "r2", 90.0, 10)],
+                                 "query string, subject string, pct_iden double, aln_len int")
+    clusters = spark.createDataFrame([("r1", [1]), ("r2", [1, 2])], "ref_id string, taxids array<long>")
+    lineage = spark.createDataFrame([(1, 10), (2, 20)], "taxid long, species_ti long")
+    out = an.assign_scaffolds(orf, best, clusters, rule="species", lineage=lineage)
+    assert sorted((r.scaffold, r.taxid) for r in out.collect()) == [("s1", 1)]
+    assert read and not any("Join" in plan or "Aggregate" in plan for plan in read)
+
+
+def _sketched(monkeypatch):
+    """The plans of what is read for hot keys, with all joins taken for large ones."""
+    read, found = [], common.hot_keys
+    monkeypatch.setattr(common, "input_bytes", lambda _: common.UNKNOWN_BYTES)
+    monkeypatch.setattr(common, "planner_broadcasts", lambda _: False)
+    monkeypatch.setattr(common, "hot_keys", lambda rows, on, *more: (
+        read.append(str(rows._jdf.queryExecution().optimizedPlan())), found(rows, on, *more))[1])
+    return read

@@ -79,7 +79,7 @@ def bin_contigs_species(contig_aln: DataFrame, ref_aln: DataFrame, contigs: Data
     """
     totals, support = _contig_taxa(contig_aln, ref_aln, max_taxa, False, by)
     taxa = lineage.select("taxid", "species_ti", "species", F.col("toprank").alias("strain"))
-    per_species = (spread_join(support, taxa.select("taxid", "species_ti"), ["taxid"], counted=ref_aln)
+    per_species = (spread_join(support, taxa.select("taxid", "species_ti"), ["taxid"], computed=True)
                    .groupBy(*names(by, "contig", "species_ti"))
                    .agg(F.sum("_support").alias("_sp"),
                         F.min(F.struct((-F.col("_support")).alias("neg"), F.col("taxid"))).alias("_best")))
@@ -88,11 +88,11 @@ def bin_contigs_species(contig_aln: DataFrame, ref_aln: DataFrame, contigs: Data
               .agg(F.min(F.struct((-F.col("_sp")).alias("neg"), F.col("species_ti"), F.col("_best.taxid").alias("taxid")))
                    .alias("_w"))
               .select(*names(by, "contig"), (-F.col("_w.neg")).alias("_sp"), "_w.species_ti", "_w.taxid"),
-              taxa.drop("species_ti"), ["taxid"])
+              taxa.drop("species_ti"), ["taxid"], computed=True)
     listed = (contaminants.select("taxid", F.lit(True).alias("_bad")).distinct() if contaminants is not None
               else taxa.select("taxid", F.lit(False).alias("_bad")))
     out = (contigs.join(totals, names(by, "contig"), "left")
-           .join(spread_join(chosen, listed, ["taxid"], "left"), names(by, "contig"), "left")
+           .join(spread_join(chosen, listed, ["taxid"], "left", computed=True), names(by, "contig"), "left")
            .withColumn("_p", _share(F.col("_sp"), F.col("n_reads")))
            .withColumn("_ok", F.coalesce(F.col("_p") >= min_share, F.lit(False))))
     bad = F.col("_ok") & F.coalesce("_bad", F.lit(False))

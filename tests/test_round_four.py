@@ -106,6 +106,20 @@ def test_scores_are_written_before_a_sketch_reads_them(spark, monkeypatch):
     assert read and not any("Join" in plan or "Aggregate" in plan for plan in read)
 
 
+def test_species_of_contigs_are_written_before_a_sketch_reads_them(spark, monkeypatch):
+    """The reads of the binning aren't joined and counted again for each of its lookups."""
+    read = _sketched(monkeypatch)
+    contig_aln = spark.createDataFrame([("r1", "c1", 67), ("r2", "c1", 67), ("r3", "c2", 67)], "read_id string, contig string, flag int")
+    ref_aln = spark.createDataFrame([("r1", 67, 1), ("r2", 67, 1), ("r3", 67, 2)], "read_id string, flag int, taxid long")
+    contigs = spark.createDataFrame([("c1", 900), ("c2", 800), ("c3", 700)], "contig string, length int")
+    lineage = spark.createDataFrame([(1, 10, "a", "a1"), (2, 20, "b", "b1")], "taxid long, species_ti long, species string, toprank string")
+    listed = spark.createDataFrame([(2,)], "taxid long")
+    out = bn.bin_contigs_species(contig_aln, ref_aln, contigs, lineage, listed)
+    assert sorted((r.contig, r.taxid, r.species, r.n_reads) for r in out.collect()) == [
+        ("c1", "1", "a", 2), ("c2", "contaminant", "sptid:20", 1), ("c3", "Unknown", "Unknown", 0)]
+    assert len(read) == 3 and not any("Join" in plan or "Aggregate" in plan for plan in read)
+
+
 def _sketched(monkeypatch):
     """The plans of what is read for hot keys, with all joins taken for large ones."""
     read, found = [], common.hot_keys

@@ -120,7 +120,8 @@ def genes(v):
 
 
 def best(v):
-    return v.stage("best", lambda w: an.with_ref_len(ht.top_hit(w.orf_hits, 0.05)))
+    return v.stage("best", lambda w: an.with_ref_len(ht.top_hit(w.orf_hits, 0.05)).select(
+        "query", "subject", "pct_iden", "aln_len", "ref_len"))  # the order has served its turn
 
 
 def prebinned(v):

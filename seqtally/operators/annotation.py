@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, contig_of, extract_tag, orf_info, trunc_to
-from seqtally.operators.common import keep_or_drop, names, spread_join
+from seqtally.operators.common import dealt, keep_or_drop, names, spread_join
 from seqtally.operators.sequences import numbered
 from seqtally.operators.taxonomy import RANKS
 from seqtally.session import cut_lineage
@@ -55,10 +55,11 @@ def _per_ref(orf: DataFrame, best: DataFrame, by: Sequence[str]) -> DataFrame:
 def _shared_scores(per_ref: DataFrame, best: DataFrame, clusters: DataFrame, by: Sequence[str]) -> DataFrame:
     shared = clusters.where(F.size("taxids") > 0).select(
         F.col("ref_id").alias("subject"), F.size("taxids").alias("_n"), "taxids")
-    return (spread_join(per_ref, shared, ["subject"], counted=best)
-            .select(*names(by, "scaffold"), F.explode("taxids").alias("taxid"),
-                    (F.col("_w").cast("double") / F.col("_n")).cast(EXACT).alias("_s"))
-            .groupBy(*names(by, "scaffold", "taxid")).agg(F.sum("_s").alias("score")))
+    shares = (spread_join(per_ref, shared, ["subject"], counted=best)
+              .select(*names(by, "scaffold"), F.explode("taxids").alias("taxid"),
+                      (F.col("_w").cast("double") / F.col("_n")).cast(EXACT).alias("_s")))
+    # By scaffold, as what follows needs it; a scaffold has a row per reference and taxid at most.
+    return dealt(shares, names(by, "scaffold")).groupBy(*names(by, "scaffold", "taxid")).agg(F.sum("_s").alias("score"))
 
 
 def scaffold_scores(orf: DataFrame, best: DataFrame, clusters: DataFrame, by: Sequence[str] = ()) -> DataFrame:

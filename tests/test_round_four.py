@@ -1,11 +1,15 @@
 """Steps that several queries share: read once, in tasks of bounded rows."""
 
 import os
+import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from seqtally.catalog import hit_queries
+from seqtally.catalog.registry import Inputs
 from seqtally.operators import annotation as an
 from seqtally.operators import binning as bn
 from seqtally.operators import common
@@ -128,3 +132,30 @@ def _sketched(monkeypatch):
     monkeypatch.setattr(common, "hot_keys", lambda rows, on, *more: (
         read.append(str(rows._jdf.queryExecution().optimizedPlan())), found(rows, on, *more))[1])
     return read
+
+
+def test_scores_move_once_by_scaffold(spark, monkeypatch, tmp_path):
+    """The sum per taxid and the best taxid of a scaffold share a shuffle."""
+    monkeypatch.setattr(common, "TASK_INPUT", 64)
+
+    def table(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    orf = table("orf", [("s1_1", "s1"), ("s1_2", "s1"), ("s2_1", "s2")], "orf_id string, scaffold string")
+    best = table("best", [("s1_1", "r1", 90.0, 10), ("s1_2", "r2", 50.0, 10), ("s2_1", "r2", 90.0, 10)],
+                 "query string, subject string, pct_iden double, aln_len int")
+    clusters = table("clusters", [("r1", [1]), ("r2", [1, 2])], "ref_id string, taxids array<long>")
+    scored = an.scaffold_scores(orf, best, clusters)
+    top = scored.withColumn("top", F.max("score").over(Window.partitionBy("scaffold")))
+    plan = str(top._jdf.queryExecution().executedPlan())
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    assert not re.search(r"Exchange hashpartitioning\(scaffold#\d+, taxid", plan)
+    assert sorted((r.scaffold, r.taxid, float(r.score), float(r.top)) for r in top.collect()) == [
+        ("s1", 1, 1150.0, 1150.0), ("s1", 2, 250.0, 1150.0), ("s2", 1, 450.0, 450.0), ("s2", 2, 450.0, 450.0)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_best_hits_are_written_without_their_order(spark):
+    assert hit_queries.best(Inputs(spark, "/root/testdata/sf0.001")).columns == [
+        "query", "subject", "pct_iden", "aln_len", "ref_len"]

@@ -382,7 +382,7 @@ SPECIES_BINS = {
 
 def species_bins(v):
     bad = v.supplier.where("s_nationkey >= 20 or s_suppkey = 2").selectExpr("200000000 + s_suppkey as taxid")
-    return bn.bin_contigs_species(v.contig_aln, v.contig_ref, v.contig, lin(v), bad, max_taxa=3)
+    return bn.bin_contigs_species(v.by_read("contig_aln"), v.by_read("contig_ref"), v.contig, lin(v), bad, max_taxa=3)
 
 
 register("bin_contigs_species", species_bins, "select * from {named}", SPECIES_BINS, recursive=True)
@@ -390,7 +390,8 @@ register("bin_contigs_species", species_bins, "select * from {named}", SPECIES_B
 
 def host_bins(v):
     return v.stage("host_bins", lambda w: bn.bin_host(
-        w.stage("species_bins", species_bins), w.contig_aln, w.contig_ref.where("taxid = 200000001"), min_share=0.3))
+        w.stage("species_bins", species_bins), w.by_read("contig_aln"), w.by_read("contig_ref").where("taxid = 200000001"),
+        min_share=0.3))
 
 
 HOST_BINS = {

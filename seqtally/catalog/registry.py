@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtally.catalog.views import view, with_views
+from seqtally.operators.common import dealt
 from seqtally.session import cut_lineage
 
 
@@ -27,6 +28,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         self._stages: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
+        self._by_read: dict[str, DataFrame] = {}
 
     def stage(self, name: str, build: Callable[[Inputs], DataFrame]) -> DataFrame:
         """An intermediate table that several later steps read, written once."""
@@ -39,6 +41,13 @@ class Inputs:
         self._views[name] = self.stage(name, lambda v: getattr(v, name))
         return self._views[name]
 
+    def by_read(self, name: str) -> DataFrame:
+        """A view of lines joined to their orders, for steps that deal its rows by read: lines are dealt before the join."""
+        if not self._by_read:
+            lines = dealt(self.lineitem, ["l_orderkey"], beside=[self.orders])
+            self._by_read |= {"lineitem": lines, "orders": self.orders, "supplier": self.supplier}
+        return view(self.spark, self.sf_dir, name, self._by_read)
+
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name, self._views)
 

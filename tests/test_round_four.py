@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from seqtally.catalog import hit_queries
+from seqtally.catalog import alignment_queries, hit_queries
 from seqtally.catalog.registry import Inputs
 from seqtally.operators import annotation as an
 from seqtally.operators import binning as bn
@@ -159,3 +159,19 @@ def test_scores_move_once_by_scaffold(spark, monkeypatch, tmp_path):
 def test_best_hits_are_written_without_their_order(spark):
     assert hit_queries.best(Inputs(spark, "/root/testdata/sf0.001")).columns == [
         "query", "subject", "pct_iden", "aln_len", "ref_len"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_lines_of_bins_move_once_by_read(spark, monkeypatch):
+    """Lines are joined to their orders where the binning then groups them by read."""
+    monkeypatch.setattr(common, "TASK_INPUT", 4096)
+    given = []
+    monkeypatch.setattr(bn, "bin_contigs_species", lambda *tables, **_: given.extend(tables))
+    v = Inputs(spark, "/root/testdata/sf0.001")
+    alignment_queries.species_bins(v)
+    for df, plain in ((bn._contig_reads(given[0], False, ()), bn._contig_reads(v.contig_aln, False, ())),
+                      (bn._read_taxa(given[1], 3, False, ()), bn._read_taxa(v.contig_ref, 3, False, ()))):
+        plan = str(df._jdf.queryExecution().executedPlan())
+        moves = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+        assert moves == ["l_orderkey", "o_orderkey"] and plan.count("REPARTITION_BY_NUM") == 1, plan
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))

@@ -119,9 +119,14 @@ def genes(v):
     return an.genes(v.written("orf"))
 
 
+def gene_ids(v):
+    """Genes for steps that read their ids and scaffolds alone: written once, without headers."""
+    return v.stage("gene_ids", lambda w: an.genes(w.orf.select("orf_id")))
+
+
 def best(v):
-    return v.stage("best", lambda w: an.with_ref_len(ht.top_hit(w.orf_hits, 0.05)).select(
-        "query", "subject", "pct_iden", "aln_len", "ref_len"))  # the order has served its turn
+    return an.with_ref_len(v.stage("best", lambda w: ht.top_hit(w.orf_hits, 0.05).select(
+        "query", "subject", "pct_iden", "aln_len")))  # the order has served its turn
 
 
 def prebinned(v):
@@ -132,7 +137,7 @@ def assigned_prebin(v):
     return v.stage("assigned", prebinned)
 
 
-register("assign_scaffolds", lambda v: an.assign_scaffolds(genes(v), best(v), v.clstr), "select * from {assigned}", PLAIN,
+register("assign_scaffolds", lambda v: an.assign_scaffolds(gene_ids(v), best(v), v.clstr), "select * from {assigned}", PLAIN,
          recursive=True)
 IN_ORDER = {
     **PLAIN,
@@ -148,7 +153,7 @@ IN_ORDER = {
                 -list_max(list_transform(t.taxids, lambda x: struct_pack(n := coalesce(s.genes[x], 0), t := -x))).t as taxid
               from settled s join {turns} t on t.turn = s.turn + 1) x""",
 }
-register("assign_scaffolds_in_order", lambda v: an.assign_scaffolds(genes(v), best(v), v.clstr, ties="in_order"), """
+register("assign_scaffolds_in_order", lambda v: an.assign_scaffolds(gene_ids(v), best(v), v.clstr, ties="in_order"), """
     select scaffold, taxid, 'kegg' as evidence, n_genes from {lead} join {n_of} using (scaffold) where ties = 1
     union all select scaffold, taxid, 'kegg', n_genes from {settled} where turn > 0""", IN_ORDER, recursive=True)
 register("assign_scaffolds_prebin", prebinned, "select * from {assigned}", PREBIN, recursive=True)
@@ -162,7 +167,7 @@ SPECIES_RULE = {
               "qualify row_number() over (partition by scaffold order by s desc, species_ti) = 1",
 }
 register("assign_scaffolds_species",
-         lambda v: an.assign_scaffolds(genes(v), best(v), v.clstr, rule="species", lineage=lin(v)), """
+         lambda v: an.assign_scaffolds(gene_ids(v), best(v), v.clstr, rule="species", lineage=lin(v)), """
     select f.scaffold, f.taxid, 'kegg' as evidence, n_genes from {firsts} f join {total} t on t.scaffold = f.scaffold
       join {n_of} c on c.scaffold = f.scaffold where f.n = 1 or f.s > 0.5 * t.t""", SPECIES_RULE, recursive=True)
 

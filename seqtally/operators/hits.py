@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtally.functions.expr import EXACT, overlap, trunc_to
-from seqtally.operators.common import names, scalar_of, spread_join, with_group_total
+from seqtally.operators.common import key_hash, names, scalar_of, spread_join, with_group_total
 from seqtally.session import cut_lineage
 
 FRAC = 0.5
@@ -25,13 +25,16 @@ def top_hit(hits: DataFrame, max_evalue: float = 1e-6, by: Sequence[str] = ()) -
     """First hit of each query with an e-value of at most `max_evalue`.
 
     The hits are read once: the rank is limited before the shuffle as well, so a task passes on a query's first hit alone.
+    Text ids are sorted by their hash first, as ids with a common beginning are slow to compare.
     """
     key = names(by, "query")
     rows = hits.where(F.col("evalue") <= max_evalue)
     for c in [*key, "ord"]:
         rows = rows.where(F.col(c).isNotNull())
-    in_query = Window.partitionBy(*key).orderBy("ord")
-    return rows.withColumn("_n", F.rank().over(in_query)).where(F.col("_n") == 1).select(*hits.columns)
+    hashed = ["_h"] if any(kind == "string" for c, kind in rows.dtypes if c in key) else []
+    in_query = Window.partitionBy(*hashed, *key).orderBy("ord")
+    rows = rows.withColumns({h: key_hash(key) for h in hashed}).withColumn("_n", F.rank().over(in_query))
+    return rows.where(F.col("_n") == 1).select(*hits.columns)
 
 
 class Accepted:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from seqtally.catalog import alignment_queries, hit_queries
 from seqtally.catalog.registry import Inputs
+from seqtally.catalog.views import VIEWS
 from seqtally.operators import annotation as an
 from seqtally.operators import binning as bn
 from seqtally.operators import common
@@ -175,3 +176,31 @@ def test_lines_of_bins_move_once_by_read(spark, monkeypatch):
         moves = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
         assert moves == ["l_orderkey", "o_orderkey"] and plan.count("REPARTITION_BY_NUM") == 1, plan
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_text_queries_are_sorted_by_their_hash(hits):
+    sorts = lambda df: re.findall(r"Sort \[([^#]+)#", df._jdf.queryExecution().executedPlan().toString())
+    first = top_hit(hits, 10)
+    assert set(sorts(first)) == {"_h"} and first.columns == hits.columns
+    assert set(sorts(top_hit(hits.withColumn("query", F.col("ord").cast("long")), 10))) == {"query"}
+
+
+def test_genes_are_told_apart_by_numbers(spark, tmp_path):
+    """No text of a gene is shuffled; the rows are those of the view's SQL."""
+    lines = [(4, 9), (4, 2), (4, 3), (5, 9), (5, 9), (5, -9), (5, -2), (4, None), (4, None), (None, 1), (None, 8)]
+    spark.createDataFrame(lines, "l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    orf = Inputs(spark, str(tmp_path)).orf
+    plain = spark.sql(VIEWS["orf"], lineitem=spark.read.parquet(str(tmp_path / "lineitem.parquet")))
+    assert orf.schema == plain.schema and plain.count() == 6
+    assert sorted(map(str, orf.collect())) == sorted(map(str, plain.collect()))
+    moved = set(re.findall(r"Exchange hashpartitioning\((.*)\)", str(orf._jdf.queryExecution().executedPlan())))
+    assert len(moved) == 1 and not re.search("orf_id|header", moved.pop())
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_scaffolds_are_assigned_without_headers(spark):
+    v = Inputs(spark, "/root/testdata/sf0.001")
+    genes = hit_queries.gene_ids(v)
+    assert genes.columns == ["orf_id", "scaffold"]
+    whole = v.orf.select("orf_id", F.concat(F.lit("ctg"), F.col("p").cast("string")).alias("scaffold"))
+    assert sorted(genes.collect()) == sorted(whole.collect())

@@ -20,6 +20,10 @@ links between them, so a region whose sets are all connected is done. In the oth
 that are in each other's windows are left to measure. Where these are too many to list, the region is cut into blocks,
 and tasks compare the sets of two blocks where they are and pass on links alone.
 
+Sketches. A set's sketch tells for each of about as many places as it has shingles whether an odd number of them falls
+there. Where two sketches differ the sets differ, so sketches bound from above what the sets have in common, in a
+fiftieth of their bytes. Only pairs that their sketches allow are measured, and only their sets are made once more.
+
 Equal sets are one class throughout. Distances are computed on whole sets.
 """
 
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from seqtally.llm.common import written
 from seqtally.llm.components import UnionFind, components
 from seqtally.llm.shingles import WIDTH, set_key, shingle_sets
+from seqtally.session import discard
 
 NUMERATOR, DENOMINATOR = 4, 5  # similarity 0.8
 
@@ -44,9 +49,30 @@ def window(n: np.ndarray | int, num: int = NUMERATOR, den: int = DENOMINATOR) ->
     return n - (-(-num * n // den)) + 1
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """For each of a power of two of places, at least 64 and at least as many as shingles, a bit: whether an odd number
+    of shingles falls there."""
+    places = max(64, 1 << (max(1, len(found)) - 1).bit_length())
+    at = (found & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=places) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, both: int) -> bool:
+    """Whether sets of these sketches, of `both` shingles together, may be within the radius: shingles that only one
+    set has are at least as many as the places where the sketches differ."""
+    p, q = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    if len(x) < len(y):
+        x, y, p, q = y, x, q, p
+    n = 8 * len(x)
+    while n > 8 * len(y):  # half the places: those that fall together
+        n //= 2
+        p = (p >> n) ^ (p & ((1 << n) - 1))
+    return (DENOMINATOR + NUMERATOR) * (both - (p ^ q).bit_count()) >= 2 * NUMERATOR * both
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, often: float = 0.0003) -> DataFrame:
-    """`_id, n, key` per document, and rows with a null key for shingles that are frequent among the documents a task
-    saw together: the shingle in `_shingle` and in n the documents that held it."""
+    """`_id, n, key, sketch` per document, and rows with a null key for shingles that are frequent among the documents a
+    task saw together: the shingle in `_shingle` and in n the documents that held it."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +87,11 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, often:
                     pa.concat_arrays([batch.column(0), pa.nulls(k, pa.int64())]),
                     pa.array(np.concatenate([[len(f) for f in found], counts[some]]).astype(np.int64)),
                     pa.concat_arrays([pa.array([set_key(f) for f in found], pa.int64()), pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([pa.array([sketch(f) for f in found], pa.binary()), pa.nulls(k, pa.binary())]),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(shingles[some].view(np.int64))])],
-                    ["_id", "n", "key", "_shingle"])
+                    ["_id", "n", "key", "sketch", "_shingle"])
 
-    return rows.mapInArrow(run, "_id long, n long, key long, _shingle long")
+    return rows.mapInArrow(run, "_id long, n long, key long, sketch binary, _shingle long")
 
 
 def size_window(n: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -169,21 +196,52 @@ def _meetings(shown: DataFrame, small: int) -> DataFrame:
             .mapInArrow(run, "region long, a long, b long, na int, nb int"))
 
 
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of `pairs(a, b)` that may be links by the sizes and sketches in `classes(key, n, sketch)`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link(x, y, n + m) for x, y, n, m in
+                    zip(*(batch.column(c).to_pylist() for c in ("_x", "_y", "_n", "_m")))]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = classes.select(F.col("key").alias("a"), F.col("n").alias("_n"), F.col("sketch").alias("_x"))
+    two = classes.select(F.col("key").alias("b"), F.col("n").alias("_m"), F.col("sketch").alias("_y"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
+def _bitmap(ids: DataFrame, most: int = 27) -> tuple[np.ndarray, int]:
+    """Words of a bitmap of 2^bits places, of which those that the hashes of `_id` begin with are marked; a table of ids
+    that is never gathered itself. Beyond 2^most places more ids than the listed ones hit a mark."""
+    bits = min(most, max(16, (32 * ids.count()).bit_length()))
+    places = ids.select(F.shiftrightunsigned(F.xxhash64("_id"), 64 - bits).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64), bits
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """`key, shingles` for the classes in `wanted(_id, key)`."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    """`key, shingles` for the classes in `wanted(_id)` at least; texts of other documents, but for a few, stay where
+    they are."""
+    marks, bits = _bitmap(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+    i = F.col(id_col).cast("long")
+    rows = docs.select(F.xxhash64(i).alias("_h"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                found = [(set_key(f), f.tobytes()) for f in shingle_sets(whole.column(1).slice(at, 1000).to_pylist(), width)]
-                keep = [i for i, (k, want) in enumerate(zip([k for k, _ in found],
-                                                            whole.column(0).slice(at, 1000).to_pylist())) if k == want]
-                yield pa.RecordBatch.from_arrays([pa.array([found[i][0] for i in keep], pa.int64()),
-                                                  pa.array([found[i][1] for i in keep], pa.binary())], ["key", "shingles"])
+            at = whole.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            hit = np.flatnonzero(listed[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1))
+            for b in range(0, len(hit), 500):
+                texts = whole.column(1).take(pa.array(hit[b:b + 500])).to_pylist()
+                found = [(set_key(f), f.tobytes()) for f in shingle_sets(texts, width)]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()),
+                                                  pa.array([x for _, x in found], pa.binary())], ["key", "shingles"])
 
-    return (rows.join(wanted, "_id").select("key", "_text").mapInArrow(run, "key long, shingles binary")
-            .dropDuplicates(["key"]))
+    return rows.mapInArrow(run, "key long, shingles binary").dropDuplicates(["key"])
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -380,8 +438,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .where(F.col("n") >= max(8, n_docs // 5000)).orderBy(F.desc("n"), "_shingle").limit(most_frequent).collect())
     frequent = np.array([r[0] for r in reversed(listed)], dtype=np.int64).view(np.uint64)
     hot = np.array([r[1] > 8 * small for r in reversed(listed)], dtype=bool)
-    classes = written(rows.where("n > 0 and _id is not null").groupBy("key").agg(F.min("_id").alias("_id"),
-                                                                                F.first("n").alias("n")))
+    classes = written(prints.where("key is not null and n > 0 and _id is not null").groupBy("key").agg(
+        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     met = written(_meetings(_shown(docs, text_col, width, frequent, hot), small))
     large = met.where("region is not null").select("region", "a", "na", F.col("nb").alias("i"))
 
@@ -398,28 +456,34 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .join(in_large.select(F.col("a").alias("b"), F.col("_l").alias("_m")), "b", "left"))
     bound = (F.col("_c") + F.least(F.coalesce("_l", F.lit(0)), F.coalesce("_m", F.lit(0)))
              + F.greatest(behind("na"), behind("nb")))
-    pairs = written(counted.where(is_link(bound, F.col("na"), F.col("nb"))).select("a", "b"))
+    pairs = written(_possible(counted.where(is_link(bound, F.col("na"), F.col("nb"))).select("a", "b"), classes))
 
-    involved = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("a")).distinct())
-    wanted = involved.join(classes, "key").select("_id", "key")
-    sets = written(_sets_of(docs, wanted, id_col, text_col, width))
+    def sets_of(keys: DataFrame) -> DataFrame:
+        return written(_sets_of(docs, keys.distinct().join(classes, "key").select("_id"), id_col, text_col, width))
 
     def labelled(found: DataFrame, labels: DataFrame | None, more: DataFrame | None = None) -> DataFrame:
         """Components by the links among the pairs found, those known and those given."""
+        found = written(found)
+        sets = sets_of(found.select(F.col("a").alias("key")).union(found.select("b")))
         links = _measured(found, sets).where(is_link(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b")
         if labels is not None:
             links = links.union(labels.select(F.col("node").alias("a"), F.col("component_id").alias("b")))
-        return components(links if more is None else links.union(more), "a", "b")
+        out = components(links if more is None else links.union(more), "a", "b")
+        discard(found, sets)
+        return out
 
     # One partner of each set, and a few pivots for all of a large region, first; then what these have not connected.
     partner = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("b"))
-    labels = labelled(partner.union(_star(large, pivots)).distinct(), None)
+    labels = labelled(partner.union(_possible(_star(large, pivots), classes)).distinct(), None)
     left = written(_apart(_labelled(large, labels, "a", "la"), small))
-    due = (_labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
-           .union(left.where("b is not null").select("a", "b")).distinct())
+    discard(met)
+    near = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
+    due = near.union(_possible(left.where("b is not null").select("a", "b").distinct(), classes)).distinct()
     dense = left.where("b is null").select("region", "a").distinct()
-    links = None if dense.isEmpty() else _dense_links(_labelled(dense, labels, "a", "la"), sets)
+    links = None if dense.isEmpty() else written(_dense_links(
+        _labelled(dense, labels, "a", "la"), sets_of(dense.select(F.col("a").alias("key")))))
     labels = labelled(due, labels, links)
+    discard(pairs, left)
 
     # From class keys to smallest ids.
     placed = _labelled(classes, labels, "key", "_label")

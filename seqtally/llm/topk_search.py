@@ -4,10 +4,11 @@ Components are terms and their integer values impacts. Documents are cut into bl
 (document ranges); a block keeps its vectors as a forward index and the largest and smallest value of every
 term. The sum of a query's best products with these maxima bounds every score in the block. Each query visits
 blocks from the highest bound down, scores them whole through the forward index, and stops when the next bound
-is below its k-th score. Blocks are gathered into ranges and queries into batches; a pair of the two is one
-task's work, and each query's few best rows of each range are merged at the end. Within a range vectors stand in order
-of their signs, strongest components first, so that a block's maxima are those of vectors that point alike. A few
-ranges are searched first: the k-th score they give a query is where all other ranges begin.
+is below its k-th score. Blocks are gathered into ranges and queries into batches. A task holds the batches of one part
+of the queries and passes one group of ranges by them; each query's few best rows of each group are merged at the end.
+So a query is sent to as many tasks as there are groups, a bounded number, and a range to as many as there are parts.
+Within a range vectors stand in order of their signs, strongest components first, so that a block's maxima are those of
+vectors that point alike. A few ranges are searched first: the k-th score they give a query is where all others begin.
 """
 
 from __future__ import annotations
@@ -29,13 +30,23 @@ def quantized(x: Column, scale: int = 1024) -> Column:
     return F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("long"))
 
 
-def _padded(rows: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width), dtype=np.int64)
-    for i, r in enumerate(rows):
-        out[i, :len(r)] = r
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes each as hold all of them."""
+    least, most = int(values.min(initial=0)), int(values.max(initial=0))
+    return values.astype(next(t for t in ("i1", "i2", "i4", "i8") if np.iinfo(t).min <= least and most <= np.iinfo(t).max))
+
+
+def _padded(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The rows of these lengths that follow each other in `values`, shorter ones filled with 0."""
+    out = np.zeros((len(lengths), int(lengths.max(initial=1))), dtype=values.dtype)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = values
     return out
 
 
+def _widened(rows: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(rows.astype(np.int64), ((0, 0), (0, width - rows.shape[1])))
+
+
 class Blocks:
     """Forward index and term maxima of consecutive blocks."""
 
@@ -53,29 +64,33 @@ class Blocks:
         return product(np.maximum(queries, 0), self.high) + product(np.minimum(queries, 0), self.low)
 
 
+def factors(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as floating point if their products are exact so, else as they are."""
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    return (a.astype(np.float64), b.astype(np.float64)) if most < EXACT_FLOAT else (a, b)
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a @ b.T in integers; by floating point where that is exact."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < EXACT_FLOAT:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    a, b = factors(a, b)
+    return (a @ b.T).astype(np.int64)
 
 
 LOWEST = np.iinfo(np.int64).min + 1
 
 
-def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int,
-            least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int, least: np.ndarray | None = None,
+            known: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(ids, scores) of the k best rows per query, unused places at the lowest score, and how many of the
     query-block pairs were scored. Ties go to the smaller id; a query's own id does not count. Rows below the
-    score `least` of their query may be left out."""
-    lowest = LOWEST
+    score `least` of their query may be left out. `known` has the ids and scores of best rows found elsewhere."""
+    lowest, no_id = LOWEST, np.iinfo(np.int64).max
     n = len(q_ids)
-    top = np.full((n, k), lowest)
     least = np.full(n, lowest) if least is None else least
-    top_ids = np.full((n, k), np.iinfo(np.int64).max)
+    top_ids, top = (np.full((n, k), no_id), np.full((n, k), lowest)) if known is None else (c.copy() for c in known)
     bounds = blocks.bounds(queries)
     order = np.argsort(-bounds, axis=1, kind="stable")
+    left, right = factors(queries, blocks.vectors)
     waiting, scored = np.arange(n), 0
     for step in range(order.shape[1]):
         next_block = order[waiting, step]
@@ -88,11 +103,14 @@ def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int,
         for b in np.unique(next_block).tolist():
             who = waiting[next_block == b]
             part = slice(blocks.starts[b], blocks.starts[b] + blocks.size)
-            ids = np.broadcast_to(blocks.ids[part], (len(who), len(blocks.ids[part])))
-            scores = product(queries[who], blocks.vectors[part])
-            own = ids == q_ids[who, None]
-            scores = np.concatenate([top[who], np.where(own, lowest, scores)], axis=1)
-            ids = np.concatenate([top_ids[who], np.where(own, np.iinfo(np.int64).max, ids)], axis=1)
+            scores = (left[who] @ right[part].T).astype(np.int64)
+            hit = (scores >= np.maximum(top[who, -1], least[who])[:, None]) & (blocks.ids[part] != q_ids[who, None])
+            some = hit.any(axis=1)
+            if not some.any():
+                continue
+            who, scores, hit = who[some], scores[some], hit[some]
+            scores = np.concatenate([top[who], np.where(hit, scores, lowest)], axis=1)
+            ids = np.concatenate([top_ids[who], np.where(hit, blocks.ids[part], no_id)], axis=1)
             best = np.lexsort((ids, -scores), axis=1)[:, :k]
             top[who] = np.take_along_axis(scores, best, axis=1)
             top_ids[who] = np.take_along_axis(ids, best, axis=1)
@@ -101,14 +119,15 @@ def best_of(q_ids: np.ndarray, queries: np.ndarray, blocks: Blocks, k: int,
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str = "vec_id",
            vec_col: str = "embedding", scale: int = 1024, block_size: int = 64, range_size: int = 4096,
-           batch_size: int = 4096, probe: int = 4) -> DataFrame:
+           batch_size: int = 4096, probe: int = 4, groups: int = 128, held: int = 1 << 22) -> DataFrame:
     """`query_id, rank, vec_id, score`: each query's k best candidates by the inner product of quantized vectors.
 
     Rows with a null id, a null vector, or null or non-finite components take no part; an empty vector scores 0
     with everything, and missing components of shorter vectors count as 0. Every candidate row counts, repeated ones as
     often as they occur; equal query rows are one query, different vectors under one id are queries of that id each. A
     query's own id is no candidate. Fewer candidates than k give fewer rows; an empty table gives none. Other columns are
-    not read. `block_size`, `range_size`, `batch_size` and `probe`, the ranges searched first, only steer the work.
+    not read. `block_size`, `range_size`, `batch_size`, `probe`, the ranges searched first, `groups` of ranges and `held`,
+    the components of all queries that a task holds, only steer the work.
     """
     def prepared(df: DataFrame) -> DataFrame:
         x = F.col(vec_col)
@@ -118,59 +137,79 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str =
 
     docs = written(prepared(candidates))
     asked = written(prepared(queries).distinct().withColumn("_mark", F.xxhash64("_id", "_x")))  # tells queries of one id apart
-    n_ranges = max(1, -(-docs.count() // range_size))
-    n_batches = max(1, -(-asked.count() // batch_size))
+    n_docs = docs.count()
+    n_asked, components = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_x")), F.lit(0))).first()
+    n_ranges = max(1, -(-n_docs // range_size))
+    n_batches = max(1, -(-n_asked // batch_size))
+    n_parts = min(n_batches, max(1, -(-components // held)))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Up to `range_size` neighbouring rows as one row: their first id, ids, marks, scores to begin with, lengths and
-        components."""
+        """Up to `range_size` neighbouring rows as one row: ids, marks, scores to begin with, lengths, components, and
+        the bytes of a component."""
         for whole in batches:
             for at in range(0, whole.num_rows, range_size):
                 part = [c.slice(0) for c in whole.slice(at, range_size).columns]
                 lengths = np.diff(part[1].offsets.to_numpy())
-                blobs = (part[0].to_numpy(), part[2].to_numpy(), part[3].to_numpy(), lengths, part[1].flatten().to_numpy())
+                values = _narrow(part[1].flatten().to_numpy())
+                blobs = (*(c.to_numpy().astype(np.int64) for c in (part[0], part[2], part[3])), lengths.astype(np.int64), values)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part[0][0].as_py()]), *[pa.array([v.astype(np.int64).tobytes()], pa.binary()) for v in blobs]],
-                    ["_first", "_ids", "_marks", "_least", "_lengths", "_values"])
-
-    def opened(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        ids, marks, least, lengths, values = (np.frombuffer(row[side + n], dtype=np.int64)
-                                              for n in ("ids", "marks", "least", "lengths", "values"))
-        return ids, marks, least, np.split(values, np.cumsum(lengths)[:-1])
+                    [*[pa.array([v.tobytes()], pa.binary()) for v in blobs], pa.array([values.itemsize], pa.int32())],
+                    ["_ids", "_marks", "_least", "_lengths", "_values", "_bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cells one by one: the batches of a part of the queries, and then the ranges of a group."""
+        cell, mine = None, []  # of each batch: ids, marks, least scores, vectors, and the ids and scores of its best rows
+
+        def best() -> Iterator[pa.RecordBatch]:
+            for ids, marks, least, _, (top_ids, top) in mine:
+                who, place = np.nonzero((top_ids != np.iinfo(np.int64).max) & (top >= least[:, None]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
+                    ids[who], marks[who], top_ids[who, place], top[who, place])], ["query_id", "_mark", "vec_id", "score"])
+
         for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
-            (q_ids, marks, least, q_rows), (ids, _, _, rows) = opened(row, "_q_"), opened(row, "_d_")
-            width = max(1, max(map(len, q_rows)), max(map(len, rows)))
-            blocks = Blocks(ids, _padded(rows, width), block_size)
-            top_ids, top, _ = best_of(q_ids, _padded(q_rows, width), blocks, k, least)
-            who, place = np.nonzero((top_ids != np.iinfo(np.int64).max) & (top >= least[:, None]))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
-                q_ids[who], marks[who], top_ids[who, place], top[who, place])],
-                ["query_id", "_mark", "vec_id", "score"])
-
-    # A range's number only says where it is worked on: ranges and batches meet by an equality join on both.
-    blob = "_first long, _ids binary, _marks binary, _least binary, _lengths binary, _values binary"
-    named = lambda side: [F.col(n).alias(side + n[1:]) for n in ("_ids", "_marks", "_least", "_lengths", "_values")]
+            if row["_cell"] != cell:
+                yield from best()
+                cell, mine = row["_cell"], []
+            ids, marks, least, lengths = (np.frombuffer(row[n], dtype=np.int64) for n in ("_ids", "_marks", "_least", "_lengths"))
+            rows = _padded(np.frombuffer(row["_values"], dtype=f"i{row['_bytes']}"), lengths)
+            if row["_side"] == 0:
+                none = np.full((len(ids), k), np.iinfo(np.int64).max), np.full((len(ids), k), LOWEST)
+                mine.append((ids, marks, least, rows, none))
+                continue
+            width = max([rows.shape[1], *(q.shape[1] for *_, q, _ in mine)])
+            blocks = Blocks(ids, _widened(rows, width), block_size)
+            mine = [(i, m, s, q, best_of(i, _widened(q, width), blocks, k, s, known)[:2]) for i, m, s, q, known in mine]
+        yield from best()
+
+    blob = ["_ids", "_marks", "_least", "_lengths", "_values", "_bytes"]
+    schema = "_ids binary, _marks binary, _least binary, _lengths binary, _values binary, _bytes int"
     none = F.lit(LOWEST).cast("long")
+    # A range's number only says where it is worked on: in turn, one of each partition and then the next of each.
+    at = F.monotonically_increasing_id()
+    turn = (F.shiftright(at, 33) + at.bitwiseAND(F.lit((1 << 33) - 1)) * n_ranges).alias("_turn")
     ranges = written(docs.select("_id", "_x", F.lit(0).cast("long").alias("_mark"), none.alias("_least"))
-                     .repartitionByRange(n_ranges, "_id").sortWithinPartitions("_id", "_x").mapInArrow(packed, blob)
-                     .select(F.pmod(F.xxhash64("_first"), F.lit(n_ranges)).cast("int").alias("_range"), *named("_d_")))
-
-    def ranked(some: DataFrame, rows: DataFrame) -> DataFrame:
-        dealt = (rows.select("_id", "_x", "_mark", "_least").repartitionByRange(n_batches, "_mark").mapInArrow(packed, blob)
-                 .select(F.pmod(F.xxhash64("_first"), F.lit(n_batches)).cast("int").alias("_batch"), *named("_q_"))
-                 .withColumn("_range", F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1)))))
-        here = some.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(n_batches - 1))))
-        found = here.join(dealt, ["_range", "_batch"]).mapInArrow(run, "query_id long, _mark long, vec_id long, score long")
-        # A query has at most k rows of each range here.
+                     .repartitionByRange(n_ranges, "_id").sortWithinPartitions("_id", "_x").mapInArrow(packed, schema)
+                     .select(turn, *blob))
+
+    def ranked(some: DataFrame, rows: DataFrame, n_groups: int) -> DataFrame:
+        cell = (F.col("_part") * n_groups + F.col("_group")).cast("int").alias("_cell")
+        dealt = (rows.select("_id", "_x", "_mark", "_least").repartitionByRange(n_batches, "_mark").mapInArrow(packed, schema)
+                 .withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(n_parts)))
+                 .withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+                 .select(cell, F.lit(0).alias("_side"), *blob))
+        here = (some.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+                .withColumn("_group", F.pmod("_turn", F.lit(n_groups))).select(cell, F.lit(1).alias("_side"), *blob))
+        found = (dealt.union(here).repartitionById(n_parts * n_groups, "_cell").sortWithinPartitions("_cell", "_side")
+                 .mapInArrow(run, "query_id long, _mark long, vec_id long, score long"))
+        # A query has at most k rows of each group here.
         order = Window.partitionBy("query_id", "_mark").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     asked = asked.withColumn("_least", none)
     if n_ranges > 4 * probe:
-        first = ranked(ranges.where(F.col("_range") < probe), asked).where(F.col("rank") == k)
+        some = ranges.where(F.pmod(F.xxhash64("_turn"), F.lit(n_ranges)) < probe)
+        first = ranked(some, asked, probe).where(F.col("rank") == k)
         least = written(first.select(F.col("query_id").alias("_id"), "_mark", F.col("score").alias("_known")))
         asked = (asked.join(least, ["_id", "_mark"], "left")
                  .withColumn("_least", F.coalesce("_known", "_least")).drop("_known"))
-    return ranked(ranges, asked).select("query_id", "rank", "vec_id", "score")
+    return ranked(ranges, asked, min(n_ranges, groups)).select("query_id", "rank", "vec_id", "score")

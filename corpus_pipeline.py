@@ -1,7 +1,7 @@
 """A training corpus from `documents`: language ID, near-duplicates, repeated strings, mixing, packing.
 
-Each stage is written as Parquet and read again as the next one's documents. All but the last return the columns of
-`documents`; the last returns the packed pieces.
+Each stage is written as Parquet and read again as the next one's documents, and removed when that is written. All but
+the last return the columns of `documents`; the last returns the packed pieces.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seqtally.llm import stages
-from seqtally.session import cut_lineage
+from seqtally.session import cut_lineage, discard
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        discard(*before)  # the stage has read it and is written
+        before = [docs]
     return docs

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import seqtally.llm.jaccard_join as jj
 from seqtally.session import cut_lineage, discard, shared_folder
 from tests.llm.conftest import words
@@ -66,3 +67,19 @@ def test_sets_are_not_left_on_disk(spark, docs_of):
     assert found(docs_of([(i, t, "en", "a") for i, t in rows])) == by_hand(rows)
     for path in tables() - before:
         assert not {"shingles", "region"} & set(spark.read.parquet(path).columns)
+
+
+def test_the_pipeline_keeps_the_last_stage_alone(spark, tmp_path, monkeypatch):
+    spark.range(50).withColumn("text", F.lit("a b c")).write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def stage(s, docs, sf_dir):
+        seen.append(docs)
+        return docs.withColumn("id", F.col("id") + 1).repartition(2, "id")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage), ("three", stage)])
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.id for r in done.collect()) == list(range(3, 53)) and spark.read.parquet(f"{tmp_path}/documents.parquet").count() == 50
+    for docs in seen[1:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(docs._cut_path)
+        assert not folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
